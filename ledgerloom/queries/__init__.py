@@ -1,0 +1,6 @@
+"""The queries over the Parquet tables, and their SQL twins."""
+
+from ledgerloom.queries import catalogue, cleaning, relational, validation
+from ledgerloom.queries.registry import ORACLES, QUERIES, Tables
+
+__all__ = ["ORACLES", "QUERIES", "Tables", "catalogue", "cleaning", "relational", "validation"]
