@@ -5,17 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode white space plus the four separator control characters.
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
-
-# A plain decimal number, optionally with an exponent. Words such as "nan",
+# The characters that count as white space.
+_WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+# A plain decimal number, optionally with an exponent and space around. Words such as "nan",
 # "inf" and suffixed literals such as "1d" are not numbers in a sales file.
-_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def strip_text(text: Column) -> Column:
     """Remove white space of every kind from both ends; inner space stays."""
-    return F.regexp_replace(text.cast("string"), _EDGE_SPACE, "")
+    return F.btrim(text.cast("string"), F.lit(_WHITE_SPACE))
 
 
 def capitalize_first(text: Column) -> Column:
@@ -33,8 +37,7 @@ def decimal_point(text: Column) -> Column:
 
 def to_number(text: Column) -> Column:
     """Parse a number as DOUBLE; anything that is not a number becomes null."""
-    bare = strip_text(text)
-    return F.when(bare.rlike(_NUMBER), bare.try_cast("double"))
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
 def to_whole(number: Column) -> Column:

@@ -57,11 +57,6 @@ def error_codes(rules: Sequence[Rule]) -> Column:
     return F.array_compact(F.array(*[F.when(r.fails, F.lit(r.name)) for r in rules]))
 
 
-def any_failure(rules: Sequence[Rule]) -> Column:
-    """True where at least one rule fails, false otherwise, never null."""
-    return reduce(lambda a, b: a | b, [F.coalesce(r.fails, F.lit(False)) for r in rules])
-
-
 def order_time_rules(
     date_raw: str, date: str, stamp_raw: str, stamp: str, single: bool = False
 ) -> list[Rule]:

@@ -19,7 +19,7 @@ from ledgerloom.functions.text import (
     to_whole,
 )
 from ledgerloom.operators.keys import drop_exact_copies
-from ledgerloom.operators.quality import Rule, any_failure, attrition_report, require_columns
+from ledgerloom.operators.quality import Rule, attrition_report, require_columns
 from ledgerloom.sources.csv import read_csv, write_csv
 
 REQUIRED = (
@@ -60,7 +60,11 @@ def cleaning_rules(iso_day_first: bool = False) -> list[Rule]:
 def clean_sales(raw: DataFrame, iso_day_first: bool = False) -> DataFrame:
     """Clean, typed lines with ``total_amount``; other columns pass through."""
     require_columns(raw, REQUIRED)
-    good = drop_exact_copies(raw).filter(~any_failure(cleaning_rules(iso_day_first)))
+    # What passes all cleaning rules, with each value parsed once.
+    date = parse_mixed_date(F.col("order_date"), iso_day_first)
+    good = drop_exact_copies(raw).filter(
+        F.col("country").isNotNull() & (_quantity() > 0) & (_price() > 0) & date.isNotNull()
+    )
     texts = {c: strip_text(F.col(c)) for c in TEXT_COLUMNS}
     for column in ("country", "category"):
         texts[column] = capitalize_first(texts[column])
@@ -69,7 +73,7 @@ def clean_sales(raw: DataFrame, iso_day_first: bool = False) -> DataFrame:
             **texts,
             "quantity": to_whole(_quantity()),
             "unit_price": _price(),
-            "order_date": parse_mixed_date(F.col("order_date"), iso_day_first),
+            "order_date": date,
         }
     ).withColumn("total_amount", F.col("quantity") * F.col("unit_price"))
 

@@ -20,7 +20,7 @@ from ledgerloom.operators.windows import (
     time_slices,
 )
 from ledgerloom.plans import order_quality
-from ledgerloom.queries.registry import Tables, as_types, money, query
+from ledgerloom.queries.registry import Tables, as_source, as_types, money, query
 
 # --- line items as versions -------------------------------------------------------
 
@@ -204,13 +204,14 @@ def _history(t: Tables) -> DataFrame:
     month = F.concat(F.date_format(F.trunc("l_shipdate", "month"), "yyyy-MM-dd"), F.lit(" 10:00:00"))
     unknown = (F.col("l_linenumber") == 7) & (F.col("l_discount").cast("decimal(4,2)") == 0.10)
     joined = old.join(t.part, F.col("p_partkey") == F.col("l_partkey"))
-    return joined.select(
+    rows = joined.select(
         _market().alias("market"),
         F.col("l_partkey").alias("product_id"),
         F.concat("p_name", F.lit(" v"), F.col("l_linenumber").cast("string")).alias("product_name"),
         F.col("p_type").alias("category"),
         F.when(unknown, "unknown").otherwise(month).alias("updated_at_raw"),
     )
+    return as_source(rows)
 
 
 def _order_lines(t: Tables) -> DataFrame:
@@ -224,7 +225,7 @@ def _order_lines(t: Tables) -> DataFrame:
     discount = F.col("l_discount").cast("decimal(4,2)")
     tax = F.col("l_tax").cast("decimal(4,2)")
     iso = F.date_format(shipped, "yyyy-MM-dd")
-    return newest.select(
+    rows = newest.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line_id"),
         _market().alias("market"),
@@ -241,6 +242,7 @@ def _order_lines(t: Tables) -> DataFrame:
         .otherwise(F.concat(iso, F.lit(" 09:15:00")))
         .alias("updated_at_raw"),
     )
+    return as_source(rows)
 
 
 def _job(t: Tables) -> order_quality.OrderQuality:

@@ -18,7 +18,7 @@ from ledgerloom.functions.text import (
     to_whole,
 )
 from ledgerloom.plans import sales_cleaning
-from ledgerloom.queries.registry import Tables, query
+from ledgerloom.queries.registry import Tables, as_source, query
 
 # --- single functions ----------------------------------------------------------
 
@@ -73,7 +73,7 @@ def _dirty_numbers(t: Tables) -> DataFrame:
     quantity = F.col("l_quantity").cast("int").cast("string")
     price = F.col("l_extendedprice").cast("decimal(12,2)").cast("string")
     line = F.col("l_linenumber")
-    return t.lineitem.select(
+    rows = t.lineitem.select(
         "l_orderkey",
         "l_linenumber",
         F.when(line == 7, "two")
@@ -89,6 +89,7 @@ def _dirty_numbers(t: Tables) -> DataFrame:
         .otherwise(price)
         .alias("raw_price"),
     )
+    return as_source(rows)
 
 
 # A number as the SQL side reads it: digits, point, exponent, nothing else.
@@ -128,7 +129,7 @@ _DIRTY_DATES = """
 
 def _dirty_dates(t: Tables) -> DataFrame:
     date, priority, status = (F.col(f"o_order{c}") for c in ("date", "priority", "status"))
-    return t.orders.select(
+    rows = t.orders.select(
         "o_orderkey",
         F.when(priority == "1-URGENT", F.date_format(date, "yyyy-MM-dd"))
         .when(priority == "2-HIGH", F.date_format(date, "yyyy/MM/dd"))
@@ -138,6 +139,7 @@ def _dirty_dates(t: Tables) -> DataFrame:
         .when(status == "O", "not_a_date")
         .alias("raw_date"),
     )
+    return as_source(rows)
 
 
 def _sql_date(text: str, *formats: str) -> str:
@@ -265,8 +267,9 @@ def _dirty_sales(t: Tables) -> DataFrame:
         "l_returnflag",
     )
     # The second delivery is made on each row: the joins run once.
-    copies = F.when(returned == "R", F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    return once.withColumn("delivery", F.explode(copies)).drop("delivery", "l_returnflag")
+    line = F.struct(*sales_cleaning.REQUIRED)
+    deliveries = F.when(returned == "R", F.array(line, line)).otherwise(F.array(line))
+    return once.select(F.inline(deliveries))
 
 
 def _sql_strip(column: str) -> str:

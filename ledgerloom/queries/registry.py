@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,17 +10,19 @@ from pyspark.sql import functions as F
 QueryFunction = Callable[["Tables"], DataFrame]
 
 
-@dataclass(frozen=True)
 class Tables:
-    """The Parquet tables of one folder, each read in full."""
+    """The Parquet tables of one folder as attributes, each opened once."""
 
-    spark: SparkSession
-    folder: str
+    def __init__(self, spark: SparkSession, folder: str):
+        self._spark = spark
+        self._folder = folder
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        table = self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+        setattr(self, name, table)
+        return table
 
 
 QUERIES: dict[str, QueryFunction] = {}
@@ -47,3 +48,12 @@ def money(column: str) -> Column:
 def as_types(df: DataFrame, **types: str) -> DataFrame:
     """Cast result columns, so both engines report the same types."""
     return df.withColumns({c: F.col(c).cast(t) for c, t in types.items()})
+
+
+def as_source(df: DataFrame) -> DataFrame:
+    """Columns as a source would hold them: made once per row.
+
+    Expressions that stand in for raw text would otherwise be repeated inside
+    every later expression that reads that text.
+    """
+    return df.select(F.inline(F.array(F.struct(*df.columns))))

@@ -93,15 +93,20 @@ def _dimension(t: Tables, name: str) -> DataFrame:
     return build_dimension(_SOURCES[name](t), *star_schema.ENTITIES[name])
 
 
-def _dimensions(t: Tables, sales: DataFrame) -> dict[str, DataFrame]:
-    dims = {name: _dimension(t, name) for name in _SOURCES}
-    return {**dims, "dim_date": build_date_dimension(sales)}
+def _dates(t: Tables) -> DataFrame:
+    """Dates of all sales; dropping older lines of an order loses no date."""
+    return build_date_dimension(_sales(t, t.lineitem))
+
+
+def _dimensions(t: Tables, *names: str) -> dict[str, DataFrame]:
+    names = names or tuple(DIMENSION_KEYS)
+    return {name: _dates(t) if name == "dim_date" else _dimension(t, name) for name in names}
 
 
-def _model(t: Tables) -> tuple[DataFrame, dict[str, DataFrame]]:
-    sales = _sales(t)
-    dims = _dimensions(t, sales)
-    return build_fact(sales, dims), dims
+def _model(t: Tables, *names: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The fact with its dimensions; a report names the ones it uses."""
+    dims = _dimensions(t, *names)
+    return build_fact(_sales(t), dims), dims
 
 
 # --- dimensions and fact ---------------------------------------------------------
@@ -141,7 +146,7 @@ def dim_store(t: Tables) -> DataFrame:
     FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS full_date
           FROM orders JOIN lineitem ON l_orderkey = o_orderkey)""")
 def dim_date(t: Tables) -> DataFrame:
-    return build_date_dimension(_sales(t, t.lineitem))
+    return _dates(t)
 
 
 _FACT = f"""
@@ -225,9 +230,15 @@ def _checks_sql(sales: str, listed: str = "", damage: str = "") -> str:
     return f"WITH {', '.join(ctes)} {' UNION ALL '.join(counts)}"
 
 
+def _checked(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """The checks over materialized tables, as the job runs them before publishing."""
+    dims = {**dims, "dim_date": dims["dim_date"].checkpoint()}
+    return model_checks(fact.checkpoint(), dims)
+
+
 @query(_checks_sql(_GRAIN_SALES))
 def star_model_checks(t: Tables) -> DataFrame:
-    return model_checks(*_model(t))
+    return _checked(*_model(t))
 
 
 # A candidate model with faults: repeated grain, products that left the list,
@@ -244,13 +255,13 @@ def star_model_faults(t: Tables) -> DataFrame:
     faulty = sales.withColumn(
         "quantity", F.when(cheap, -F.col("quantity")).otherwise(F.col("quantity"))
     )
-    dims = _dimensions(t, sales)
+    dims = _dimensions(t)
     dims["dim_product"] = dims["dim_product"].join(
         t.part.filter("p_size <= 40").select(F.col("p_partkey").alias("product_id")),
         "product_id",
         "left_semi",
     )
-    return model_checks(build_fact(faulty, dims), dims)
+    return _checked(build_fact(faulty, dims), dims)
 
 
 # --- reports ------------------------------------------------------------------------
@@ -262,7 +273,7 @@ def star_model_faults(t: Tables) -> DataFrame:
            CAST(SUM(net) AS DOUBLE) AS monthly_revenue
     FROM ({_GRAIN_SALES}) GROUP BY 1, 2, 3 ORDER BY year, month""")
 def monthly_revenue(t: Tables) -> DataFrame:
-    fact, dims = _model(t)
+    fact, dims = _model(t, "dim_date")
     return as_types(
         star_queries.monthly_revenue(fact, dims["dim_date"]), monthly_revenue="double"
     )
@@ -272,7 +283,7 @@ def monthly_revenue(t: Tables) -> DataFrame:
     SELECT p_type AS category, CAST(SUM(net) AS DOUBLE) AS revenue_by_category
     FROM ({_GRAIN_SALES}) JOIN part ON p_partkey = product_id GROUP BY p_type ORDER BY p_type""")
 def revenue_by_category(t: Tables) -> DataFrame:
-    fact, dims = _model(t)
+    fact, dims = _model(t, "dim_product")
     report = star_queries.revenue_by_category(fact, dims["dim_product"])
     return as_types(report, revenue_by_category="double")
 
@@ -292,7 +303,7 @@ def revenue_by_category(t: Tables) -> DataFrame:
            CAST(revenue AS DOUBLE) AS revenue_product_store, position
     FROM placed WHERE position <= 3 ORDER BY store_name, position""")
 def top3_per_group(t: Tables) -> DataFrame:
-    fact, dims = _model(t)
+    fact, dims = _model(t, "dim_product", "dim_store")
     best = star_queries.top_products_by_store(fact, dims["dim_product"], dims["dim_store"])
     return as_types(best, revenue_product_store="double", position="bigint")
 
@@ -303,7 +314,7 @@ _DAILY = f"""
 
 
 def _daily(t: Tables) -> DataFrame:
-    fact, dims = _model(t)
+    fact, dims = _model(t, "dim_store", "dim_date")
     return star_queries.daily_store_revenue(fact, dims["dim_store"], dims["dim_date"])
 
 

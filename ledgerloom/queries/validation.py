@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators.quality import reconcile_split, split_on_errors
 from ledgerloom.plans import order_quality
-from ledgerloom.queries.registry import Tables, as_types, money, query
+from ledgerloom.queries.registry import Tables, as_source, as_types, money, query
 
 # Orders with raw times: some missing, some in another notation, some impossible.
 RAW_ORDERS = """
@@ -30,7 +30,7 @@ RAW_ORDERS = """
 def _raw_orders(t: Tables) -> DataFrame:
     date, status, priority = (F.col(f"o_order{c}") for c in ("date", "status", "priority"))
     iso = F.date_format(date, "yyyy-MM-dd")
-    return t.orders.select(
+    rows = t.orders.select(
         F.col("o_orderkey").alias("order_id"),
         "o_orderpriority",
         money("o_totalprice").alias("amount"),
@@ -47,6 +47,7 @@ def _raw_orders(t: Tables) -> DataFrame:
         .otherwise(F.concat(iso, F.lit(" 09:15:00")))
         .alias("updated_at_raw"),
     )
+    return as_source(rows)
 
 
 _SHAPE = "'[0-9]{4}-[0-9]{2}-[0-9]{2}'"

@@ -9,6 +9,8 @@ from pyspark.sql import SparkSession
 # Skewed joins are split at run time from the real shuffle sizes, also where
 # splitting costs one more shuffle: a hot key then never pins a single task.
 # The number of shuffle partitions is left to the cluster and to AQE.
+# The JVM never compiles methods above 8000 bytes of bytecode, so where a fused
+# stage would need one, its operators run one by one, each compiled.
 SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -16,6 +18,7 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
