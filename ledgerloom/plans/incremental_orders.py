@@ -6,16 +6,21 @@ import logging
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ledgerloom.operators.incremental import (
-    append_batch,
+    IGNORE,
+    INSERT,
+    UPDATE,
     apply_changes,
     change_report,
     classify_changes,
     effective_changes,
 )
-from ledgerloom.operators.quality import require_columns
+from ledgerloom.operators.joins import with_partner
+from ledgerloom.operators.keys import require_unique
+from ledgerloom.operators.quality import RuleViolation, require_columns
 from ledgerloom.sources.contracts import ORDER_LINES, TableContract
 from ledgerloom.sources.csv import read_csv
 from ledgerloom.sources.run_log import RunLog
@@ -41,12 +46,39 @@ def core_orders(store: Snapshots, contract: TableContract = ORDER_LINES) -> Data
     return store.read("core", contract.schema)
 
 
+def check_core(store: Snapshots, contract: TableContract = ORDER_LINES) -> None:
+    """The standing checks: keys unique, required columns filled, values in range."""
+    contract.require_table(core_orders(store, contract))
+
+
+def _month() -> Column:
+    return F.date_format("order_date", "yyyy-MM")
+
+
+def _write_core(store: Snapshots, changes: DataFrame, contract: TableContract) -> dict:
+    """Write the months of the core that the changes touch; folders to publish.
+
+    These are the months of the new rows, and those of the rows they replace,
+    since a newer version may carry another date.
+    """
+    updated = changes.filter(F.col("action") == UPDATE).select(*contract.key)
+    replaced = with_partner(core_orders(store, contract), updated, contract.key)
+    months = changes.select(_month().alias("month")).union(replaced.select(_month()))
+    touched = [r["month"] for r in months.distinct().collect()]
+    core = store.read("core", contract.schema, touched)
+    written = store.write_parts("core", apply_changes(core, changes, contract.key), _month())
+    return {**{f"core/{month}": None for month in touched}, **written}
+
+
 def load_initial(store: Snapshots, raw: DataFrame, contract: TableContract = ORDER_LINES) -> int:
-    """Append a whole batch to the core; a rule or a repeated key rejects it."""
+    """Append a whole batch to the core; a rule or a known key rejects it."""
     batch = contract.require_batch(contract.typed(raw))
-    folder, core = store.write("core", append_batch(core_orders(store, contract), batch))
-    contract.require_table(core)
-    return store.publish({"core": folder})
+    require_unique(batch, contract.key, "initial batch")
+    known = with_partner(core_orders(store, contract), batch, contract.key).count()
+    if known:
+        raise RuleViolation(contract.name, {"key_unique": known})
+    changes = batch.withColumn("action", F.lit(INSERT))
+    return store.publish(_write_core(store, changes, contract))
 
 
 def load_batch(
@@ -88,20 +120,18 @@ def _stage_and_merge(store, raw, contract, version, dedup, run_id):
     ties = [c for c in contract.columns if c not in (*contract.key, version)]
     core = core_orders(store, contract)
     classified = classify_changes(core, batch, contract.key, version, ties, dedup)
-    # Written, since both the counts and the new core are made from it.
+    # Written, since the counts, the months and the new core are made from it.
     _, classified = store.write("changes", classified)
     counts = {r["action"]: r["row_count"] for r in change_report(classified).collect()}
-    new_core = apply_changes(core, effective_changes(classified), contract.key)
-    folder, written = store.write("core", new_core)
-    contract.require_table(written)
+    folders = _write_core(store, effective_changes(classified), contract)
     result = LoadResult(
         run_id,
         staged.count(),
-        counts.get("insert", 0),
-        counts.get("update", 0),
-        counts.get("ignore", 0),
+        counts.get(INSERT, 0),
+        counts.get(UPDATE, 0),
+        counts.get(IGNORE, 0),
     )
-    return result, {"staging": staging, "core": folder}
+    return result, {"staging": staging, **folders}
 
 
 def run(store: Snapshots, log: RunLog, path: str) -> LoadResult:

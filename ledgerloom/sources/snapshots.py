@@ -5,14 +5,18 @@ a small Parquet table with one row per publish, naming the folder of each
 layer. A publish appends one row, which is one file that Spark's committer
 moves into place; before that nothing a reader sees has changed. ``root`` is a
 folder on storage that all machines share. There is one writer at a time.
+
+A large layer is kept in parts, such as months, named ``layer/part``. A change
+then rewrites the parts it touches and the other parts stay where they are.
 """
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,17 +54,41 @@ class Snapshots:
         folder = f"{layer}/{uuid4()}"
         return folder, write_and_read(df, f"{self.root}/{folder}")
 
-    def publish(self, tables: dict[str, str]) -> int:
-        """Make candidate folders current, all at once; other layers stay."""
+    def write_parts(self, layer: str, df: DataFrame, part: Column) -> dict[str, str]:
+        """Write candidate parts of a layer, in one job; their folders by name."""
+        folder = f"{layer}/{uuid4()}"
+        parted = df.withColumn("part", part)
+        parted.write.partitionBy("part").parquet(f"{self.root}/{folder}")
+        written = self.spark.read.schema("part string").parquet(f"{self.root}/{folder}")
+        # One row per part: as many as the layer has, such as months.
+        names = [r["part"] for r in written.select("part").distinct().collect()]
+        return {f"{layer}/{name}": f"{folder}/part={name}" for name in names}
+
+    def publish(self, tables: dict[str, str | None]) -> int:
+        """Make candidate folders current, all at once; other layers stay.
+
+        None takes a layer or part away.
+        """
         version, current = self._latest()
-        row = [(version + 1, {**current, **tables})]
-        commit = self.spark.createDataFrame(row, _COMMITS).coalesce(1)
+        named = {name: f for name, f in {**current, **tables}.items() if f is not None}
+        commit = self.spark.createDataFrame([(version + 1, named)], _COMMITS).coalesce(1)
         commit.write.mode("append").parquet(f"{self.root}/commits")
         return version + 1
 
-    def read(self, layer: str, schema: T.StructType) -> DataFrame:
-        """The current table of a layer; empty before its first publish."""
-        folder = self._latest()[1].get(layer)
-        if folder is None:
+    def parts(self, layer: str) -> dict[str, str]:
+        """The current folders of a layer, by the name of the layer or part."""
+        tables = self._latest()[1]
+        return {n: f for n, f in tables.items() if n == layer or n.startswith(f"{layer}/")}
+
+    def read(
+        self, layer: str, schema: T.StructType, parts: Collection[str] | None = None
+    ) -> DataFrame:
+        """The current table of a layer, or some of its parts; empty if there is none."""
+        folders = [
+            f"{self.root}/{folder}"
+            for name, folder in self.parts(layer).items()
+            if parts is None or name.removeprefix(f"{layer}/") in parts
+        ]
+        if not folders:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{folder}")
+        return self.spark.read.schema(schema).parquet(*folders)

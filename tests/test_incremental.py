@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import incremental as inc
 from ledgerloom.operators.quality import RuleViolation
-from ledgerloom.plans.incremental_orders import core_orders, load_batch, load_initial, run
+from ledgerloom.plans.incremental_orders import check_core, core_orders, load_batch, load_initial, run
 from ledgerloom.sources.contracts import ORDER_LINES
 from ledgerloom.sources.run_log import RunLog
 from ledgerloom.sources.snapshots import Snapshots
@@ -57,6 +57,7 @@ def test_sequence_of_batches(spark, tmp_path, table, store):
         assert totals(core_orders(store)) == tuple(core)
         assert store.read("staging", ORDER_LINES.schema).count() == staged
     assert log.state().filter("status = 'SUCCESS'").count() == 6
+    check_core(store)
 
 
 def test_a_bad_batch_changes_nothing_and_can_be_repaired(spark, tmp_path, table, store):
@@ -111,6 +112,28 @@ def test_initial_load_refuses_known_keys(table, store):
     assert core_orders(store).count() == 25
 
 
+def test_only_touched_months_are_rewritten(spark, tmp_path, table):
+    store, log = Snapshots(spark, str(tmp_path / "s")), RunLog(spark, str(tmp_path / "runs"))
+    header = "order_id,line_id,order_date,customer_id,product_id,quantity,unit_price,updated_at\n"
+    lines = "A,1,2026-01-05,,P,1,1,2026-01-05 00:00:00\nB,1,2026-02-05,,P,1,1,2026-02-05 00:00:00\n"
+    load_initial(store, table(header + lines + "C,1,2026-03-05,,P,1,1,2026-03-05 00:00:00\n"))
+    before = store.parts("core")
+    # B moves from February to April, D is new in March.
+    moved = "B,1,2026-04-05,,P,2,1,2026-02-06 00:00:00\nD,1,2026-03-06,,P,1,1,2026-03-06 00:00:00\n"
+    load_batch(store, log, lambda: table(header + moved))
+    after = store.parts("core")
+    assert sorted(before) == ["core/2026-01", "core/2026-02", "core/2026-03"]
+    assert sorted(after) == ["core/2026-01", "core/2026-03", "core/2026-04"]
+    assert after["core/2026-01"] == before["core/2026-01"]
+    core = core_orders(store).select("order_id", F.col("order_date").cast("string"), "quantity")
+    assert sorted(tuple(r) for r in core.collect()) == [
+        ("A", "2026-01-05", 1),
+        ("B", "2026-04-05", 2),
+        ("C", "2026-03-05", 1),
+        ("D", "2026-03-06", 1),
+    ]
+
+
 def test_newer_wins_equal_and_older_are_ignored(table, rows):
     core = typed(table(fv.EDGE_BATCH))
     batch = typed(
