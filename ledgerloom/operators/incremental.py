@@ -72,9 +72,19 @@ def upsert(
     ties: Sequence[str] = (),
     dedup: bool = True,
 ) -> DataFrame:
-    """Classify a batch and apply it. Applying it again changes nothing."""
-    classified = classify_changes(core, batch, key, version, ties, dedup)
-    return apply_changes(core, effective_changes(classified), key)
+    """The core after a batch: newer wins, and among equals the core row stays.
+
+    Core and batch go through one shuffle together, of the best row per key and
+    task. Applying a batch again changes nothing. A core that a small batch
+    hardly touches is better served by ``classify_changes``, written, and
+    ``apply_changes``, which need not shuffle the core.
+    """
+    if not dedup:
+        require_unique(batch, key, "batch")
+    both = core.withColumn("_in_core", F.lit(True)).unionByName(
+        batch.select(*core.columns).withColumn("_in_core", F.lit(False))
+    )
+    return latest_version(both, key, version, ["_in_core", *ties]).drop("_in_core")
 
 
 def append_batch(core: DataFrame, batch: DataFrame) -> DataFrame:
