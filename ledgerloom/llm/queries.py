@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import quality_rules
+from ledgerloom.llm import html, quality_rules
 from ledgerloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,8 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
             OR 100 * n_capitals > 50 * word_chars) AS kept
 FROM measured
 """
+
+
+@query
+def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html.main_text(table(spark, folder, "pages"))
