@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import html, quality_rules
+from ledgerloom.llm import html, pii, quality_rules
 from ledgerloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,8 @@ FROM measured
 @query
 def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html.main_text(table(spark, folder, "pages"))
+
+
+@query
+def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find(table(spark, folder, "documents"), pii.fit())
