@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import html, pii, quality_rules
+from ledgerloom.llm import html, language, pii, quality_rules
 from ledgerloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,9 @@ def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find(table(spark, folder, "documents"), pii.fit())
+
+
+@query
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return language.identify(docs, language.fit(docs))
