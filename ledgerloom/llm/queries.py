@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import html, language, pii, quality_rules
+from ledgerloom.llm import html, language, minhash, pii, quality_rules
 from ledgerloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,8 @@ def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
 def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return language.identify(docs, language.fit(docs))
+
+
+@query
+def op5_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.component_ids(table(spark, folder, "documents"), words=2)
