@@ -13,6 +13,19 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+# Rows that a task hands to Python at once; with long texts that bounds its memory.
+SETTINGS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
+}
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
+    return spark
+
+
 def words(text: str | None) -> list[bytes]:
     """The words of a text as UTF-8; ``bytes.split`` parts at the same six characters as ``WORD``."""
     return text.encode().split() if text else []

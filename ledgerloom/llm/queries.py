@@ -2,20 +2,29 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import html, language, minhash, pii, quality_rules
-from ledgerloom.llm.common import table
+from ledgerloom.llm import html, language, minhash, neighbours, packing, pii, quality_rules, sharding
+from ledgerloom.llm.common import configure, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]):
-    QUERIES[function.__name__] = function
-    return function
+    """Register a query under its function's name."""
+
+    @functools.wraps(function)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        configure(spark)
+        return function(spark, folder)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 @query
@@ -74,3 +83,18 @@ def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.component_ids(table(spark, folder, "documents"), words=2)
+
+
+@query
+def op6_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.place(table(spark, folder, "documents"), shards=40)
+
+
+@query
+def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
