@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import html, language, minhash, neighbours, packing, pii, quality_rules, sharding
+from ledgerloom.llm import html, language, minhash, neighbours, packing, pii, quality_rules, sharding, suffix_tree
 from ledgerloom.llm.common import configure, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,8 @@ def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
+
+
+@query
+def op7_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_tree.score(table(spark, folder, "documents"))
