@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import functools
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import html, language, minhash, neighbours, packing, pii, quality_rules, sharding, suffix_tree
+from ledgerloom.llm import html, language, minhash, neighbours, packing, pii, quality_rules, segmentation, sharding, suffix_tree
 from ledgerloom.llm.common import configure, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +104,18 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_language_model(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_tree.score(table(spark, folder, "documents"))
+
+
+def _model_file() -> str:
+    """A public SentencePiece model; its place can be given in the environment."""
+    if path := os.environ.get("LEDGERLOOM_SENTENCEPIECE_MODEL"):
+        return path
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query
+def op3_sampled_segmentations(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return segmentation.segment(docs, _model_file(), k=2, with_ids=False)
