@@ -41,14 +41,15 @@ def _draw(salt: int) -> Column:
     return F.pmod(F.xxhash64("rid", F.lit(salt)), F.lit(SPACE))
 
 
-def running_total(df: DataFrame, value: str, stripes: int, group: list[str] | None = None) -> DataFrame:
+def running_total(df: DataFrame, value: str, stripes: int, salt: int, group: list[str] | None = None) -> DataFrame:
     """Adds ``before``: the sum of ``value`` over earlier rows of the group in the order of a hash.
 
     Rows are cut into stripes of the hash; a stripe's rows are summed in one task
-    and the stripes' totals, few per group, are summed ahead of them.
+    and the stripes' totals, few per group, are summed ahead of them. Groups that
+    were cut by a hash need one of another salt here, or they fall into few stripes.
     """
     group = group or []
-    df = df.withColumn("draw", _draw(7)).withColumn("stripe", F.expr(f"cast(draw * {stripes} div {SPACE} as int)"))
+    df = df.withColumn("draw", _draw(salt)).withColumn("stripe", F.expr(f"cast(draw * {stripes} div {SPACE} as int)"))
     ahead = Window.partitionBy(*group).orderBy("stripe").rowsBetween(Window.unboundedPreceding, -1)
     totals = df.groupBy(*group, "stripe").agg(F.sum(value).alias("total"))
     totals = totals.withColumn("ahead", F.coalesce(F.sum("total").over(ahead), F.lit(0))).drop("total")
@@ -117,7 +118,7 @@ def _filled(rows: DataFrame, load: list[int], stripes: int) -> DataFrame:
     ends = list(itertools.accumulate(max(0.0, level - held) for held in load))
     middle = F.col("before") + F.col("size") / 2
     at = F.size(F.filter(F.array(*[F.lit(float(e)) for e in ends[:-1]]), lambda e: e <= middle))
-    return running_total(rows, "size", stripes).select("rid", "size", at.cast("int").alias("shard"))
+    return running_total(rows, "size", stripes, 7).select("rid", "size", at.cast("int").alias("shard"))
 
 
 def place(docs: DataFrame, shards: int = 40, rounds: int = ROUNDS) -> DataFrame:
@@ -149,7 +150,7 @@ def place(docs: DataFrame, shards: int = 40, rounds: int = ROUNDS) -> DataFrame:
         load = [a + b for a, b in zip(load, _loads(dealt, shards), strict=True)]
     placed = functools.reduce(DataFrame.unionByName, placed).select("rid", "shard")
     # A number within each shard: a running count of ones.
-    slots = running_total(placed.withColumn("one", F.lit(1)), "one", _stripes(count // shards), ["shard"])
+    slots = running_total(placed.withColumn("one", F.lit(1)), "one", _stripes(count // shards), 8, ["shard"])
     out = rows.join(slots.select("rid", "shard", F.col("before").alias("slot")), "rid")
     return out.select(
         "doc_id",
