@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import heapq
 import itertools
+import math
 import re
 import zlib
 from collections.abc import Iterable, Iterator
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 
 BLANK = "▁"
 ESCAPED = "\ud800"  # stands for a literal U+2581; valid text holds no lone surrogate
-MOST_ARCS = 6_000_000
+MOST_ARCS = 8_000_000
 UNIT = re.compile(f"{BLANK}*[^{BLANK}\n\t]+|{BLANK}+|[\n\t]")
 # Where no piece goes on from a letter to another kind of character, units end there too.
 LETTER = r"[^\W\d_]"
@@ -47,6 +48,7 @@ FINE_UNIT = re.compile(rf"{BLANK}*(?:(?!{LETTER})[^{BLANK}\n\t])*{LETTER}+|{BLAN
 
 _U64 = np.uint64
 _STEP = _U64(0x9E3779B97F4A7C15)
+_WORD = (1 << 64) - 1
 
 
 class Vocabulary(NamedTuple):
@@ -60,7 +62,21 @@ class Vocabulary(NamedTuple):
     byte_weight: float
     longest: int
     unit: re.Pattern
-    maybe: np.ndarray  # whether a piece's hash has these 22 leading bits
+    by_head: np.ndarray  # by the first slot of a hash, a piece that has it
+    by_tail: np.ndarray  # by the second slot, a piece that another one keeps from its first
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of hashes among those of the pieces; -1 for none."""
+        head, tail = _slots(hashes)
+        place = self.by_head[head]
+        place = np.where(self.hashes[place] == hashes, place, self.by_tail[tail])
+        return np.where(self.hashes[place] == hashes, place, -1)
+
+
+def _slots(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two numbers of 22 bits from each hash."""
+    mixed = hashes * _STEP
+    return mixed >> _U64(42), (mixed >> _U64(20)) & _U64((1 << 22) - 1)
 
 
 def vocabulary(model_file: str) -> Vocabulary:
@@ -88,9 +104,18 @@ def vocabulary(model_file: str) -> Vocabulary:
     ids = np.array(ids, dtype=np.int64)[order]
     onward = re.compile(rf"{LETTER}(?!{LETTER})[^{BLANK}]")
     unit = UNIT if any(onward.search(t) for t in texts) else FINE_UNIT
-    maybe = np.zeros(1 << 22, dtype=bool)
-    maybe[hashes >> _U64(42)] = True
-    return Vocabulary(spelt, hashes[order], ids, -np.log(ids + 1.0), byte_ids, -np.log(n + 1.0), max(map(len, texts)), unit, maybe)
+    hashes = hashes[order]
+    place = np.arange(len(hashes), dtype=np.int32)
+    by_head, by_tail = np.zeros(1 << 22, dtype=np.int32), np.zeros(1 << 22, dtype=np.int32)
+    head, tail = _slots(hashes)
+    by_head[head] = place
+    late = place[by_head[head] != place]
+    by_tail[tail[late]] = late
+    if (by_tail[tail[late]] != late).any():
+        raise ValueError("pieces share both slots")
+    return Vocabulary(
+        spelt, hashes, ids, -np.log(ids + 1.0), byte_ids, -np.log(n + 1.0), max(map(len, texts)), unit, by_head, by_tail
+    )
 
 
 def _hash(text: str) -> int:
@@ -133,18 +158,18 @@ class Lattices:
         self.root: dict[str, int] = {}
         self.first, self.count = _Grown(np.int64), _Grown(np.int32)
         self.piece, self.to = _Grown(np.int32), _Grown(np.int32)
-        self.log, self.sum = _Grown(np.float64), _Grown(np.float64)
+        self.log, self.sum = _Grown(np.float32), _Grown(np.float32)
 
     def learn(self, found: Iterable[str]) -> None:
         """Work out the lattices of new units."""
         if self.piece.size > MOST_ARCS:
             self.reset()
-        new = sorted(set(found).difference(self.root), key=lambda u: (len(u), u))
+        new = sorted(set(found).difference(self.root), key=len)
         at = 0
         while at < len(new):
             length = len(new[at])
             end = at
-            while end < len(new) and len(new[end]) == length and (end - at) * length < 200_000:
+            while end < len(new) and len(new[end]) == length and (end - at) * length < 16_000:
                 end += 1
             self._build(new[at:end], length)
             at = end
@@ -161,11 +186,9 @@ class Lattices:
         for size in range(1, longest + 1):
             width = length - size + 1
             value = value[:, :width] * _U64(0x100000001B3) + points[:, size - 1 :] + _U64(1)
-            row, col = np.nonzero(words.maybe[value >> _U64(42)])
-            wanted = value[row, col]
-            near = np.minimum(np.searchsorted(words.hashes, wanted), len(words.hashes) - 1)
-            hit = words.hashes[near] == wanted
-            row, col, near = row[hit], col[hit], near[hit]
+            found = words.find(value)
+            row, col = np.nonzero(found >= 0)
+            near = found[row, col]
             weight[row, col, longest - size] = self.weights[near]
             piece[row, col, longest - size] = words.ids[near]
         # A character without a piece is spelt in bytes: one arc, marked by a number below -1.
@@ -190,6 +213,7 @@ class Lattices:
         ends = np.cumsum(counts)
         running = np.cumsum(q)
         running -= np.repeat(np.concatenate([[0.0], running])[ends - counts], counts)
+        running = np.minimum(running, 1.0 - 2.0**-24)  # only a node's last arc reaches 1, also when rounded
         running[ends - 1] = 1.0
         base = self.first.size
         goal = node + longest - back
@@ -225,7 +249,8 @@ def walk(lattices: Lattices, nodes: np.ndarray, keys: np.ndarray, counters: np.n
     taken = np.zeros(len(nodes), dtype=np.int64)
     live, node = np.arange(len(nodes)), nodes
     while len(live):
-        u = _noise(keys[live], counters[live] + len(steps))
+        at = slice(None) if len(live) == len(nodes) else live
+        u = _noise(keys[at], counters[at] + len(steps))
         arc = first[node]
         last = arc + count[node] - 1
         on = np.flatnonzero(total[arc] < u)
@@ -246,12 +271,13 @@ def walk(lattices: Lattices, nodes: np.ndarray, keys: np.ndarray, counters: np.n
 
 
 def _gumbel(u: float) -> float:
-    return -np.log(-np.log(u))
+    return -math.log(-math.log(u))
 
 
 def _below(location: float, u: float, limit: float) -> float:
     """A Gumbel value at this location, given that it is under the limit."""
-    return location - np.logaddexp(location - limit, np.log(-np.log(u)))
+    a, b = location - limit, math.log(-math.log(u))
+    return location - (max(a, b) + math.log1p(math.exp(-abs(a - b))))
 
 
 class _Path(NamedTuple):
@@ -273,27 +299,45 @@ class _Region(NamedTuple):
     mass: np.ndarray  # log-probability of leaving at each
 
 
-def _leaving(lattices: Lattices, path: _Path) -> _Region:
-    """All ways to leave a path within its region; at its first decision some arcs are barred."""
-    logs = path.logs
-    # What lies far behind is next to impossible to leave at; look there only if need be.
-    for reach in (path.start + 128, len(logs)):
-        part = logs[:reach]
-        ahead = np.concatenate([[0.0], np.cumsum(part)[:-1]])
-        with np.errstate(divide="ignore"):
-            other = np.log(-np.expm1(part))
-        if path.barred and len(part):
-            left = -np.expm1(part[path.start]) - np.exp(lattices.log.data[list(path.barred)]).sum()
-            more = _choices(lattices, path, path.start)
-            other[path.start] = np.log(left) if left > 1e-15 and len(more) else -np.inf
-        mass = ahead + other
-        mass[: path.start] = -np.inf
-        best = mass.max(initial=-np.inf)
-        if best > -np.inf and ahead[-1] + part[-1] < best - 60.0:
-            break
-    # What is less likely by e^-60 than the best is never drawn.
-    at = np.flatnonzero(mass > max(best - 60.0, -1e300)) if len(logs) else np.zeros(0, dtype=np.int64)
-    return _Region(path, at, mass[at])
+REACH = 48
+NEVER = 40.0
+
+
+def _leaving(lattices: Lattices, paths: list[_Path]) -> list[_Region]:
+    """All ways to leave each path within its region; at its first decision some arcs are barred.
+
+    Ways less likely by e^-40 than the likeliest are never drawn and left out. So only
+    the decisions near the start matter, and are looked at together for all paths.
+    """
+    logs = np.zeros((len(paths), REACH + 1))
+    for i, path in enumerate(paths):
+        near = path.logs[path.start : path.start + REACH + 1]
+        logs[i, : len(near)] = near
+    before = np.array([float(p.logs[: p.start].sum()) for p in paths])
+    ahead = np.cumsum(logs, axis=1) - logs
+    with np.errstate(divide="ignore"):
+        mass = ahead + np.log(-np.expm1(logs))
+    out = []
+    for i, path in enumerate(paths):
+        own, start = mass[i, :REACH], path.start
+        if path.barred and len(path.logs):
+            own[0] = _barred_mass(lattices, path)
+        best = own.max()
+        if start + REACH < len(path.logs) and not ahead[i, REACH] < best - NEVER:
+            rest = path.logs[start:].astype(np.float64)
+            with np.errstate(divide="ignore"):
+                far = np.cumsum(rest) - rest + np.log(-np.expm1(rest))
+            far[0] = own[0]
+            own, best = far, far.max()
+        at = np.flatnonzero(own > max(best - NEVER, -1e300))
+        out.append(_Region(path, at + start, own[at] + before[i]))
+    return out
+
+
+def _barred_mass(lattices: Lattices, path: _Path) -> float:
+    """Log-probability of the arcs at a path's first decision that are neither barred nor its own."""
+    arcs = _choices(lattices, path, path.start)
+    return math.log(float(np.exp(lattices.log.data[arcs]).sum())) if len(arcs) else -math.inf
 
 
 def _choices(lattices: Lattices, path: _Path, decision: int) -> np.ndarray:
@@ -322,24 +366,29 @@ class _Search:
     """The search over one text: its queue of regions and the paths emitted so far."""
 
     def __init__(self, lattices: Lattices, key: int) -> None:
-        self.lattices, self.key = lattices, np.array([key], dtype=np.uint64)
+        self.lattices, self.key = lattices, key
         self.queue: list[tuple[float, int, _Region]] = []
         self.paths: list[_Path] = []
         self.drawn = 0
 
     def uniform(self) -> float:
+        """The next number of the row's own noise, as ``_noise`` makes it."""
         self.drawn += 1
-        return float(_noise(self.key, np.array([(1 << 62) + self.drawn]))[0])
+        x = (self.key + ((1 << 62) + self.drawn) * 0x9E3779B97F4A7C15) & _WORD
+        x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & _WORD
+        x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & _WORD
+        return (((x ^ (x >> 31)) >> 11) + 0.5) * 2.0**-53
 
     def push(self, region: _Region, limit: float) -> None:
         if len(region.at):
-            top = region.mass.max()
-            mass = top + np.log(np.exp(region.mass - top).sum())
+            top = float(region.mass.max())
+            mass = top + math.log(float(np.exp(region.mass - top).sum()))
             heapq.heappush(self.queue, (-_below(mass, self.uniform(), limit), self.drawn, region))
 
-    def emit(self, path: _Path) -> None:
-        self.paths.append(path)
-        self.push(_leaving(self.lattices, path), path.value)
+    def emit(self, region: _Region) -> None:
+        """Take in a new path, with the region of all ways to leave it."""
+        self.paths.append(region.path)
+        self.push(region, region.path.value)
 
     def leave(self) -> tuple[_Path, int, int, float] | None:
         """Take the best region: the path to follow, the decision to leave it at, the arc to take and the value."""
@@ -382,9 +431,13 @@ def sample(lattices: Lattices, texts: list[str], keys: np.ndarray, k: int) -> li
     every = np.arange(len(texts))
     arcs, unit, bounds = walked(every, np.zeros(len(texts), dtype=np.int64), 0)
     logs = lattices.log.data
+    all_logs = logs[arcs]
+    paths = []
     for i, s in enumerate(searches):
-        own = arcs[bounds[i] : bounds[i + 1]]
-        s.emit(_Path(own, unit[bounds[i] : bounds[i + 1]], logs[own], 0, (), _gumbel(s.uniform())))
+        own = slice(bounds[i], bounds[i + 1])
+        paths.append(_Path(arcs[own], unit[own], all_logs[own], 0, (), _gumbel(s.uniform())))
+    for s, region in zip(searches, _leaving(lattices, paths), strict=True):
+        s.emit(region)
     for turn in range(1, k):
         going = [(i, left) for i, s in enumerate(searches) if (left := s.leave())]
         if not going:
@@ -398,12 +451,15 @@ def sample(lattices: Lattices, texts: list[str], keys: np.ndarray, k: int) -> li
         cuts = np.zeros(len(going) + 1, dtype=np.int64)
         cuts[1:][inside] = taken
         cuts = np.cumsum(cuts)
-        for j, (i, (path, decision, arc, value)) in enumerate(going):
+        paths = []
+        for j, (_, (path, decision, arc, value)) in enumerate(going):
             middle = rest[cuts[j] : cuts[j + 1]]
             own = np.concatenate([path.arcs[:decision], [arc], middle, arcs[bounds[j] : bounds[j + 1]]])
             of = np.concatenate([path.unit[:decision], np.full(1 + len(middle), units_left[j]), unit[bounds[j] : bounds[j + 1]]])
             barred = (int(path.arcs[decision]), *(path.barred if decision == path.start else ()))
-            searches[i].emit(_Path(own, of, logs[own], decision, barred, value))
+            paths.append(_Path(own, of, logs[own], decision, barred, value))
+        for i, region in zip(which, _leaving(lattices, paths), strict=True):
+            searches[i].emit(region)
     out = []
     for s in searches:
         limit = -s.queue[0][0] if s.queue else -np.inf
@@ -430,9 +486,14 @@ def piece_ids(words: Vocabulary, marked: np.ndarray) -> np.ndarray:
     return np.concatenate([*parts, marked[at:]]).astype(np.int32)
 
 
+def spelt(words: Vocabulary, ids: np.ndarray) -> bytes:
+    """The bytes that the pieces spell, without the blank in front."""
+    return b"".join(map(words.spelt.__getitem__, ids.tolist()))[1:]
+
+
 def decode(words: Vocabulary, ids: np.ndarray) -> str:
-    """The text that the pieces spell, without the blank in front."""
-    return b"".join(map(words.spelt.__getitem__, ids.tolist()))[1:].decode()
+    """The text that the pieces spell."""
+    return spelt(words, ids).decode()
 
 
 def segment(docs: DataFrame, model_file: str, k: int = 2, alpha: float = 1.0, seed: int = 0, with_ids: bool = True) -> DataFrame:
@@ -449,9 +510,10 @@ def segment(docs: DataFrame, model_file: str, k: int = 2, alpha: float = 1.0, se
                 found = sample(lattices, texts, b["key"].to_numpy(dtype=np.int64).view(np.uint64), k)
                 out: dict[str, list] = {c: [] for c in ("doc_id", "sample", "n_pieces", "log_prob", "value", "inclusion", "ids_crc32", "round_trip", "ids")}
                 for doc_id, text, samples in zip(b["doc_id"].astype("Int64"), texts, found, strict=True):
+                    raw = text.encode()
                     for number, s in enumerate(samples, 1):
                         ids = piece_ids(words, s.pieces)
-                        row = (doc_id, number, len(ids), s.log_prob, s.value, s.inclusion, zlib.crc32(ids.astype("<i4").tobytes()), decode(words, ids) == text, ids if with_ids else None)
+                        row = (doc_id, number, len(ids), s.log_prob, s.value, s.inclusion, zlib.crc32(ids.astype("<i4").tobytes()), spelt(words, ids) == raw, ids if with_ids else None)
                         for c, v in zip(out, row, strict=True):
                             out[c].append(v)
                 if not with_ids:

@@ -55,7 +55,7 @@ def by_hand(words, text, alpha):
 def test_lattice_holds_all_segmentations(words, text, alpha):
     found, want = paths(sg.Lattices(words, alpha), text), by_hand(words, text, alpha)
     assert found.keys() == want.keys()
-    assert all(found[k] == pytest.approx(want[k], rel=1e-9) for k in want)
+    assert all(found[k] == pytest.approx(want[k], rel=1e-5) for k in want)
 
 
 def test_samples_without_replacement_follow_the_distribution(words):
@@ -72,7 +72,7 @@ def test_samples_without_replacement_follow_the_distribution(words):
     for s in found:
         assert len({tuple(x.pieces) for x in s}) == 3
         assert s[0].value > s[1].value > s[2].value
-        assert all(x.log_prob == pytest.approx(np.log(p[tuple(x.pieces)]), abs=1e-9) for x in s)
+        assert all(x.log_prob == pytest.approx(np.log(p[tuple(x.pieces)]), abs=1e-5) for x in s)
     # Inclusion scores make sums over the samples unbiased.
     weighted = [sum(np.exp(x.log_prob) / x.inclusion for x in s) for s in found]
     assert np.mean(weighted) == pytest.approx(1.0, abs=5 * np.std(weighted) / n**0.5 + 1e-3)
