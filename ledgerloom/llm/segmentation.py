@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 BLANK = "▁"
 ESCAPED = "\ud800"  # stands for a literal U+2581; valid text holds no lone surrogate
-MOST_ARCS = 8_000_000
+MOST_ARCS = 12_000_000
 UNIT = re.compile(f"{BLANK}*[^{BLANK}\n\t]+|{BLANK}+|[\n\t]")
 # Where no piece goes on from a letter to another kind of character, units end there too.
 LETTER = r"[^\W\d_]"
@@ -52,9 +52,10 @@ _WORD = (1 << 64) - 1
 
 
 class Vocabulary(NamedTuple):
-    """Pieces by id: their bytes; sorted hashes with ids and weights; ids of the byte pieces."""
+    """Pieces by id: where their bytes end in ``letters``; sorted hashes with ids and weights; ids of the byte pieces."""
 
-    spelt: list[bytes]
+    letters: np.ndarray
+    ends: np.ndarray
     hashes: np.ndarray
     ids: np.ndarray
     weights: np.ndarray
@@ -113,8 +114,9 @@ def vocabulary(model_file: str) -> Vocabulary:
     by_tail[tail[late]] = late
     if (by_tail[tail[late]] != late).any():
         raise ValueError("pieces share both slots")
+    letters, ends = np.frombuffer(b"".join(spelt), dtype=np.uint8), np.cumsum([len(b) for b in spelt])
     return Vocabulary(
-        spelt, hashes, ids, -np.log(ids + 1.0), byte_ids, -np.log(n + 1.0), max(map(len, texts)), unit, by_head, by_tail
+        letters, ends, hashes, ids, -np.log(ids + 1.0), byte_ids, -np.log(n + 1.0), max(map(len, texts)), unit, by_head, by_tail
     )
 
 
@@ -146,6 +148,19 @@ class _Grown:
         self.size = need
 
 
+class _Numbers(dict):
+    """Numbers units in the order they are first met."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, unit: str) -> int:
+        number = self[unit] = len(self)
+        self.new.append(unit)
+        return number
+
+
 class Lattices:
     """The lattices of units: per node its arcs, per arc its piece, end, probability and running sum."""
 
@@ -155,26 +170,35 @@ class Lattices:
         self.reset()
 
     def reset(self) -> None:
-        self.root: dict[str, int] = {}
+        self.numbers = _Numbers()
+        self.root = _Grown(np.int64)
         self.first, self.count = _Grown(np.int64), _Grown(np.int32)
         self.piece, self.to = _Grown(np.int32), _Grown(np.int32)
         self.log, self.sum = _Grown(np.float32), _Grown(np.float32)
 
-    def learn(self, found: Iterable[str]) -> None:
-        """Work out the lattices of new units."""
+    def roots(self, found: Iterable[str], count: int = -1) -> np.ndarray:
+        """The first node of each unit; new units are worked out."""
         if self.piece.size > MOST_ARCS:
             self.reset()
-        new = sorted(set(found).difference(self.root), key=len)
+        number = np.fromiter(map(self.numbers.__getitem__, found), dtype=np.int64, count=count)
+        new, done = self.numbers.new, self.root.size
+        order = sorted(range(len(new)), key=lambda i: len(new[i]))
+        self.root.add(np.zeros(len(new), dtype=np.int64))
         at = 0
-        while at < len(new):
-            length = len(new[at])
+        while at < len(order):
+            length = len(new[order[at]])
             end = at
-            while end < len(new) and len(new[end]) == length and (end - at) * length < 16_000:
+            while end < len(order) and len(new[order[end]]) == length and (end - at) * length < 16_000:
                 end += 1
-            self._build(new[at:end], length)
+            group = order[at:end]
+            base = self._build([new[i] for i in group], length)
+            self.root.data[done + np.array(group)] = base + np.arange(len(group)) * length
             at = end
+        new.clear()
+        return self.root.data[number]
 
-    def _build(self, group: list[str], length: int) -> None:
+    def _build(self, group: list[str], length: int) -> int:
+        """Add the lattices of units of one length, one after another; returns the first one's first node."""
         words, n = self.words, len(group)
         points = np.frombuffer("".join(group).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).reshape(n, length)
         points = points.astype(np.uint64)
@@ -223,8 +247,7 @@ class Lattices:
         self.count.add(counts.astype(np.int32))
         self.log.add(np.where(np.repeat(counts, counts) == 1, 0.0, np.log(q)))
         self.sum.add(running)
-        for j, u in enumerate(group):
-            self.root[u] = base + j * length
+        return base
 
 
 def _noise(key: np.ndarray, counter: np.ndarray) -> np.ndarray:
@@ -313,24 +336,30 @@ def _leaving(lattices: Lattices, paths: list[_Path]) -> list[_Region]:
     for i, path in enumerate(paths):
         near = path.logs[path.start : path.start + REACH + 1]
         logs[i, : len(near)] = near
-    before = np.array([float(p.logs[: p.start].sum()) for p in paths])
     ahead = np.cumsum(logs, axis=1) - logs
     with np.errstate(divide="ignore"):
-        mass = ahead + np.log(-np.expm1(logs))
-    out = []
+        mass = (ahead + np.log(-np.expm1(logs)))[:, :REACH]
     for i, path in enumerate(paths):
-        own, start = mass[i, :REACH], path.start
         if path.barred and len(path.logs):
-            own[0] = _barred_mass(lattices, path)
-        best = own.max()
-        if start + REACH < len(path.logs) and not ahead[i, REACH] < best - NEVER:
-            rest = path.logs[start:].astype(np.float64)
+            mass[i, 0] = _barred_mass(lattices, path)
+    best = mass.max(axis=1)
+    likely = mass > np.maximum(best - NEVER, -1e300)[:, None]
+    row, at = np.nonzero(likely)
+    cuts = np.searchsorted(row, np.arange(len(paths) + 1))
+    near, whole = mass[row, at], ahead[:, REACH] < best - NEVER
+    out = []
+    for i, path in enumerate(paths):
+        own = slice(cuts[i], cuts[i + 1])
+        place, value = at[own] + path.start, near[own]
+        if not whole[i] and path.start + REACH < len(path.logs):
+            rest = path.logs[path.start :].astype(np.float64)
             with np.errstate(divide="ignore"):
                 far = np.cumsum(rest) - rest + np.log(-np.expm1(rest))
-            far[0] = own[0]
-            own, best = far, far.max()
-        at = np.flatnonzero(own > max(best - NEVER, -1e300))
-        out.append(_Region(path, at + start, own[at] + before[i]))
+            far[0] = mass[i, 0]
+            place = np.flatnonzero(far > max(far.max() - NEVER, -1e300))
+            place, value = place + path.start, far[place]
+        before = float(path.logs[: path.start].sum()) if path.start else 0.0
+        out.append(_Region(path, place, value + before))
     return out
 
 
@@ -409,10 +438,8 @@ class _Search:
 def sample(lattices: Lattices, texts: list[str], keys: np.ndarray, k: int) -> list[list[Sample]]:
     """``k`` distinct segmentations of each text, or all if there are fewer, by falling noisy value."""
     cut = [units(t, lattices.words.unit) for t in texts]
-    lattices.learn(itertools.chain.from_iterable(cut))
     lengths = np.array([len(c) for c in cut], dtype=np.int64)
-    flat = itertools.chain.from_iterable(cut)
-    roots = np.fromiter(map(lattices.root.__getitem__, flat), dtype=np.int64, count=int(lengths.sum()))
+    roots = lattices.roots(itertools.chain.from_iterable(cut), int(lengths.sum()))
     starts = np.cumsum(lengths) - lengths
     searches = [_Search(lattices, int(key)) for key in keys]
 
@@ -474,11 +501,17 @@ def sample(lattices: Lattices, texts: list[str], keys: np.ndarray, k: int) -> li
 
 def piece_ids(words: Vocabulary, marked: np.ndarray) -> np.ndarray:
     """Ids of the pieces; characters without a piece become the ids of their bytes."""
-    if not (marked < 0).any():
+    spelt_out = np.flatnonzero(marked < 0)
+    if not len(spelt_out):
         return marked
+    points = -2 - marked[spelt_out]
+    if points.max() < 128:  # one byte each
+        ids = marked.copy()
+        ids[spelt_out] = words.byte_ids[points]
+        return ids
     parts: list[np.ndarray] = []
     at = 0
-    for i in np.flatnonzero(marked < 0):
+    for i in spelt_out:
         char = chr(-2 - int(marked[i]))
         char = BLANK if char == ESCAPED else char
         parts += [marked[at:i], words.byte_ids[list(char.encode())]]
@@ -488,7 +521,12 @@ def piece_ids(words: Vocabulary, marked: np.ndarray) -> np.ndarray:
 
 def spelt(words: Vocabulary, ids: np.ndarray) -> bytes:
     """The bytes that the pieces spell, without the blank in front."""
-    return b"".join(map(words.spelt.__getitem__, ids.tolist()))[1:]
+    ends = words.ends[ids]
+    sizes = ends - np.where(ids > 0, words.ends[ids - 1], 0)
+    after = np.cumsum(sizes)
+    place = np.repeat(ends - after, sizes)
+    place += np.arange(len(place))
+    return words.letters[place].tobytes()[1:]
 
 
 def decode(words: Vocabulary, ids: np.ndarray) -> str:

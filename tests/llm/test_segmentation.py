@@ -28,14 +28,15 @@ def paths(lattices, text):
             yield from of(lattices.to.data[arc], (*pieces, int(lattices.piece.data[arc])), log + lattices.log.data[arc])
 
     cut = sg.units(text, lattices.words.unit)
-    lattices.learn(cut)
-    every = itertools.product(*[list(of(lattices.root[u], (), 0.0)) for u in cut])
+    every = itertools.product(*[list(of(root, (), 0.0)) for root in lattices.roots(cut)])
     return {sum((p for p, _ in way), ()): np.exp(sum(x for _, x in way)) for way in every}
 
 
 def by_hand(words, text, alpha):
     """The same from the vocabulary's pieces alone."""
-    pieces = {words.spelt[i].decode(): (int(i), w) for i, w in zip(words.ids, words.weights, strict=True)}
+    pieces = {}
+    for i, w in zip(words.ids, words.weights, strict=True):
+        pieces[words.letters[words.ends[i - 1] : words.ends[i]].tobytes().decode()] = (int(i), w)
 
     def of(rest):
         if not rest:
