@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import WORD
 
 CAPACITIES = (256, 512, 1024, 2048, 4096)
-RUN_ROWS = 20_000
-RUN_WORDS = 8_000_000
+RUN_ROWS = 4_000
+RUN_WORDS = 2_000_000
 WHITE = " \t\n\v\f\r"
 
 
