@@ -20,7 +20,10 @@ def add_line_amount(df: DataFrame, name: str = "total_amount") -> DataFrame:
 def run(spark: SparkSession, source: str, target: str) -> None:
     raw = read_csv(spark, source)
     require_columns(raw, REQUIRED)
-    typed = raw.withColumns(
-        {"quantity": F.col("quantity").cast("bigint"), "unit_price": F.col("unit_price").cast("double")}
-    )
-    write_csv(add_line_amount(typed), target)
+    # A quantity may be written 2 or 2.0; a text that is no number fails the run.
+    typed = raw.withColumns({c: F.col(c).cast("double") for c in REQUIRED})
+    amounts = add_line_amount(typed)
+    quantity = F.col("quantity")
+    whole = quantity == F.floor(quantity)
+    written = F.when(whole, quantity.cast("bigint").cast("string")).otherwise(quantity.cast("string"))
+    write_csv(amounts.withColumn("quantity", written), target)

@@ -5,9 +5,11 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 logger = logging.getLogger(__name__)
 
@@ -17,6 +19,8 @@ NA_TOKENS = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
+_BROKEN = "_broken_record"
+
 
 def na_to_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Replace the missing-value words by null in text columns."""
@@ -26,32 +30,60 @@ def na_to_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
 
 
 def read_csv(
-    spark: SparkSession, path: str, on_empty: str = "raise", multiline: bool = False
+    spark: SparkSession, path: str, on_empty: str = "raise", multiline: bool = True
 ) -> DataFrame:
     """Read a CSV file or folder with a header line, every column as STRING.
 
     A missing path raises ``FileNotFoundError`` and a file without any content
     ``ValueError``. A header without rows raises, warns or passes, as
-    ``on_empty`` says. ``multiline`` allows line breaks inside quotes, at the
-    price of reading each file in one task.
+    ``on_empty`` says.
+
+    Nothing is altered silently: one pass over all files raises ``ValueError``
+    if their headers differ or rows have more fields than the header; a row with
+    fewer fields is filled up with nulls. Line breaks inside quotes are read,
+    which takes one task per file; ``multiline=False`` lets tasks share a file
+    that is known to hold none.
     """
     if on_empty not in ("raise", "warn", "pass"):
         raise ValueError(f"on_empty must be raise, warn or pass, not {on_empty!r}")
-    reader = spark.read.option("header", True).option("escape", '"')
+
+    def reader() -> DataFrameReader:
+        options = {"header": True, "escape": '"', "multiLine": multiline, "enforceSchema": False}
+        return spark.read.options(**options)
+
     try:
-        df = reader.option("multiLine", multiline).csv(path)
+        df = reader().csv(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"Input not found: {path}") from error
         raise
     if not df.columns:
         raise ValueError(f"Input holds no readable data: {path}")
-    df = na_to_null(df)
-    if on_empty != "pass" and df.isEmpty():
+    rows = _checked_rows(reader(), df.schema, path)
+    if on_empty != "pass" and not rows:
         if on_empty == "raise":
             raise ValueError(f"Input is empty: {path}")
         logger.warning("Input is empty: %s", path)
-    return df
+    return na_to_null(df)
+
+
+def _checked_rows(reader: DataFrameReader, schema: T.StructType, path: str) -> int:
+    """Row count; raises if a header differs from the first one or a row has too many fields."""
+    whole = T.StructType([*schema.fields, T.StructField(_BROKEN, T.StringType())])
+    df = reader.option("columnNameOfCorruptRecord", _BROKEN).schema(whole).csv(path)
+    # Commas outside quotes; a record of another length than the header counts as broken.
+    bare = F.regexp_replace(_BROKEN, '"[^"]*"', "")
+    too_many = F.regexp_count(bare, F.lit(",")) >= len(schema)
+    first = F.coalesce(F.length(F.col(f"`{schema[0].name}`")), F.lit(0)) >= 0
+    try:
+        rows, long = df.agg(F.count("*"), F.count_if(first & F.coalesce(too_many, F.lit(False)))).first()
+    except (PySparkException, Py4JJavaError) as error:
+        if "CSV header does not conform" in str(error) or "Number of column in CSV header" in str(error):
+            raise ValueError(f"Files differ in their headers: {path}") from error
+        raise
+    if long:
+        raise ValueError(f"{long} rows have more fields than the {len(schema)} of the header: {path}")
+    return rows
 
 
 def write_csv(df: DataFrame, path: str) -> None:
