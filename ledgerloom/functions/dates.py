@@ -10,23 +10,31 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 ISO_DATE_SHAPE = r"^\d{4}-\d{2}-\d{2}$"
-ISO_TIMESTAMP_SHAPE = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
-
-# A time of day at the end does not change the date.
-_TIME_OF_DAY = r"[ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?$"
-
-# Dates whose parts are separated by dashes.
-_YEAR_FIRST = r"^(\d{4})-(\d{1,2})-(\d{1,2})$"
-_YEAR_LAST = r"^(\d{1,2})-(\d{1,2})-(\d{4})$"
-_COMPACT = r"^(\d{4})(\d{2})(\d{2})$"
-_DAY_MONTH_NAME = r"^\d{1,2}[ -][A-Za-z]{3,9}[ -]\d{4}$"
-_MONTH_NAME_DAY = r"^[A-Za-z]{3,9} \d{1,2},? \d{4}$"
-
-# English month names, in full or as their first three letters.
+# What is parsed ends with its last digit: "$" would let a line break follow.
+_ISO_DATE = r"^\d{4}-\d{2}-\d{2}\z"
+_ISO_TIMESTAMP = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\z"
+
+# Neither the day of the week nor a time of day changes the date.
+_WEEKDAY = r"^(mon|tues?|wed(nes)?|thu(rs)?|fri|sat(ur)?|sun)(day)?,? +"
+_TIME_OF_DAY = r"[ t]\d{1,2}:\d{2}(:\d{2}([.,]\d+)?)?( ?[ap]m)?( ?(z|utc|gmt|[+-]\d{2}:?\d{2}))?\z"
+
+# Shapes of a date whose parts are separated by dashes.
+_YEAR_FIRST = r"^\d{4}-\d{1,2}-\d{1,2}\z"
+_YEAR_LAST = r"^\d{1,2}-\d{1,2}-(\d{4}|\d{2})\z"
+_YEAR_MONTH = r"^\d{4}-\d{1,2}\z"
+_COMPACT = r"^\d{8}\z"
+_DAY_NAME = r"^\d{1,2}-[a-z]{3,9}-(\d{4}|\d{2})\z"
+_NAME_DAY = r"^[a-z]{3,9}-\d{1,2}-\d{4}\z"
+_NAME_YEAR = r"^[a-z]{3,9}-\d{4}\z"
+# A two-digit year from this on belongs to the 1900s.
+_CENTURY_FROM = 76
+
+# English month names, in full or cut short.
 _MONTH_NAMES = (
-    "(?i)^(jan(uary)?|feb(ruary)?|mar(ch)?|apr(il)?|may|june?|july?|aug(ust)?"
-    "|sep(tember)?|oct(ober)?|nov(ember)?|dec(ember)?)$"
+    "^(jan(uary)?|feb(ruary)?|mar(ch)?|apr(il)?|may|june?|july?|aug(ust)?"
+    "|sept?(ember)?|oct(ober)?|nov(ember)?|dec(ember)?)$"
 )
+_MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec".split()
 
 
 def looks_iso(text: Column) -> Column:
@@ -35,12 +43,27 @@ def looks_iso(text: Column) -> Column:
 
 def iso_date(text: Column) -> Column:
     """Strict ``yyyy-MM-dd``; anything else, and impossible days, become null."""
-    return F.when(looks_iso(text), text.try_cast("date"))
+    return F.when(text.rlike(_ISO_DATE), text.try_cast("date"))
 
 
 def iso_timestamp(text: Column) -> Column:
     """Strict ``yyyy-MM-dd HH:mm:ss``; anything else becomes null."""
-    return F.when(text.rlike(ISO_TIMESTAMP_SHAPE), text.try_cast("timestamp"))
+    return F.when(text.rlike(_ISO_TIMESTAMP), text.try_cast("timestamp"))
+
+
+def _date(year: Column, month: Column, day: Column) -> Column:
+    return F.concat_ws("-", year, month, day).try_cast("date")
+
+
+def _year(text: Column) -> Column:
+    century = F.when(text >= str(_CENTURY_FROM), "19").otherwise("20")
+    return F.when(F.length(text) == 2, F.concat(century, text)).otherwise(text)
+
+
+def _month(name: Column) -> Column:
+    """Number of a month name; null if it is none, which makes the date null."""
+    number = F.array_position(F.array(*[F.lit(m) for m in _MONTHS]), F.substring(name, 1, 3))
+    return F.when(name.rlike(_MONTH_NAMES), number.cast("string")).otherwise(F.lit("x"))
 
 
 def parse_mixed_date(text: Column, iso_day_first: bool = False) -> Column:
@@ -50,38 +73,35 @@ def parse_mixed_date(text: Column, iso_day_first: bool = False) -> Column:
     and fall back to month-first when the day-first reading is impossible.
     Year-first notations are year-month-day. ``iso_day_first=True`` reads them
     as year-day-month first, for files that were written that way round.
-    Dashes, slashes and points separate alike. ``20260802``, ``2 Aug 2026`` and
-    ``August 2, 2026`` are read too.
+    Dashes, slashes, points, commas and spaces separate alike, so ``2 Aug 2026``
+    and ``August 2, 2026`` are read, with a weekday before and a time of day, with
+    or without a zone, after them. ``20260802`` is read too; ``2026-08`` and
+    ``Aug 2026`` are the first of the month. Two-digit years from 76 on are 19xx.
     """
-    day = F.when(text.contains(":"), F.regexp_replace(text, _TIME_OF_DAY, "")).otherwise(text)
-    dashed = F.translate(day, "/.", "--")
-
-    def rearranged(shape: str, parts: str) -> Column:
-        return F.regexp_replace(dashed, shape, parts).try_cast("date")
-
-    year_first = dashed.try_cast("date")
-    if iso_day_first:
-        year_first = F.coalesce(rearranged(_YEAR_FIRST, "$1-$3-$2"), year_first)
-    # Month names are cut to three letters: "2 Aug 2026", "Aug 2 2026".
-    words = F.translate(dashed, "-,", " ")
-    named = F.initcap(F.regexp_replace(words, "([A-Za-z]{3})[A-Za-z]*", "$1"))
-    is_name = F.regexp_extract(words, "[A-Za-z]+", 0).rlike(_MONTH_NAMES)
-    return (
-        F.when(dashed.rlike(_YEAR_FIRST), year_first)
-        .when(
-            dashed.rlike(_YEAR_LAST),
-            F.coalesce(rearranged(_YEAR_LAST, "$3-$2-$1"), rearranged(_YEAR_LAST, "$3-$1-$2")),
+    day = F.lower(F.trim(text))
+    day = F.when(day.contains(":"), F.regexp_replace(day, _TIME_OF_DAY, "")).otherwise(day)
+    dashed = F.regexp_replace(F.regexp_replace(day, _WEEKDAY, ""), "[-/., ]+", "-")
+
+    def read(written: Column) -> Column:
+        parts = F.split(written, "-")
+        a, b, c = (F.get(parts, i) for i in range(3))
+        first = F.lit("1")
+        year_first = _date(a, b, c)
+        if iso_day_first:
+            year_first = F.coalesce(_date(a, c, b), year_first)
+        compact = [F.substring(written, *at) for at in ((1, 4), (5, 2), (7, 2))]
+        return (
+            F.when(written.rlike(_YEAR_FIRST), year_first)
+            .when(written.rlike(_YEAR_LAST), F.coalesce(_date(_year(c), b, a), _date(_year(c), a, b)))
+            .when(written.rlike(_COMPACT), _date(*compact))
+            .when(written.rlike(_DAY_NAME), _date(_year(c), _month(b), a))
+            .when(written.rlike(_NAME_DAY), _date(c, _month(a), b))
+            .when(written.rlike(_YEAR_MONTH), _date(a, b, first))
+            .when(written.rlike(_NAME_YEAR), _date(b, _month(a), first))
         )
-        .when(dashed.rlike(_COMPACT), rearranged(_COMPACT, "$1-$2-$3"))
-        .when(
-            dashed.rlike(_DAY_MONTH_NAME) & is_name,
-            F.try_to_date(named, "d MMM yyyy"),
-        )
-        .when(
-            dashed.rlike(_MONTH_NAME_DAY) & is_name,
-            F.try_to_date(named, "MMM d yyyy"),
-        )
-    )
+
+    # The cleaned text is made once per row, whichever shape it has.
+    return F.element_at(F.transform(F.array(dashed), read), 1)
 
 
 def date_key(day: Column) -> Column:

@@ -36,8 +36,13 @@ def decimal_point(text: Column) -> Column:
 
 
 def to_number(text: Column) -> Column:
-    """Parse a number as DOUBLE; anything that is not a number becomes null."""
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    """Parse a number as DOUBLE; what is no number, or too large for one, becomes null."""
+    return finite(F.when(text.rlike(_NUMBER), text.try_cast("double")))
+
+
+def finite(number: Column) -> Column:
+    """Null in place of infinity."""
+    return F.nullif(F.nullif(number, F.lit(float("inf"))), F.lit(float("-inf")))
 
 
 def to_whole(number: Column) -> Column:

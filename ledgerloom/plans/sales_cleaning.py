@@ -14,12 +14,13 @@ from ledgerloom.functions.dates import parse_mixed_date
 from ledgerloom.functions.text import (
     capitalize_first,
     decimal_point,
+    finite,
     strip_text,
     to_number,
     to_whole,
 )
 from ledgerloom.operators.keys import drop_exact_copies
-from ledgerloom.operators.quality import Rule, attrition_report, require_columns
+from ledgerloom.operators.quality import Rule, attrition_report, first_failure, require_columns
 from ledgerloom.sources.csv import read_csv, write_csv
 
 REQUIRED = (
@@ -35,53 +36,63 @@ REQUIRED = (
 TEXT_COLUMNS = ("customer_id", "product", "category", "country")
 
 # Revenue is added up as an exact decimal, so the sum does not depend on order.
+# A group with an amount beyond its range is added up as DOUBLE instead.
 _MONEY = "decimal(24,6)"
 
 
-def _quantity():
-    return to_number(F.col("quantity"))
+def read_values(df: DataFrame, iso_day_first: bool = False) -> DataFrame:
+    """Add each line's values, parsed once: ``_quantity``, ``_whole``, ``_price``, ``_amount``, ``_date``.
 
-
-def _price():
-    return to_number(decimal_point(F.col("unit_price")))
+    A value that is missing, no number, or too large for its type is null.
+    """
+    quantity, price = to_number(F.col("quantity")), to_number(decimal_point(F.col("unit_price")))
+    date = parse_mixed_date(F.col("order_date"), iso_day_first)
+    numbers = F.struct(quantity.alias("_quantity"), price.alias("_price"), date.alias("_date"))
+    # Generated rows keep the optimizer from repeating the expressions in later steps.
+    read = df.select("*", F.inline(F.array(numbers)))
+    return read.withColumn("_whole", to_whole(F.col("_quantity"))).withColumn(
+        "_amount", finite(F.col("_whole") * F.col("_price"))
+    )
 
 
-def cleaning_rules(iso_day_first: bool = False) -> list[Rule]:
-    """Conditions over the raw columns, in the order they take effect."""
+def cleaning_rules() -> list[Rule]:
+    """Conditions over the raw and the parsed columns, in the order they take effect."""
+    c = F.col
     return [
-        Rule("missing_country", F.col("country").isNull()),
-        Rule("invalid_number", _quantity().isNull() | _price().isNull()),
-        Rule("non_positive_quantity", _quantity() <= 0),
-        Rule("non_positive_price", _price() <= 0),
-        Rule("invalid_date", parse_mixed_date(F.col("order_date"), iso_day_first).isNull()),
+        Rule("missing_country", c("country").isNull()),
+        Rule("invalid_number", c("_whole").isNull() | c("_price").isNull() | c("_amount").isNull()),
+        Rule("non_positive_quantity", c("_quantity") <= 0),
+        Rule("non_positive_price", c("_price") <= 0),
+        Rule("invalid_date", c("_date").isNull()),
     ]
 
 
 def clean_sales(raw: DataFrame, iso_day_first: bool = False) -> DataFrame:
     """Clean, typed lines with ``total_amount``; other columns pass through."""
     require_columns(raw, REQUIRED)
-    # What passes all cleaning rules, with each value parsed once.
-    date = parse_mixed_date(F.col("order_date"), iso_day_first)
-    good = drop_exact_copies(raw).filter(
-        F.col("country").isNotNull() & (_quantity() > 0) & (_price() > 0) & date.isNotNull()
-    )
+    read = read_values(drop_exact_copies(raw), iso_day_first)
+    good = read.filter(first_failure(cleaning_rules(), "kept") == "kept")
     texts = {c: strip_text(F.col(c)) for c in TEXT_COLUMNS}
     for column in ("country", "category"):
         texts[column] = capitalize_first(texts[column])
-    return good.withColumns(
-        {
-            **texts,
-            "quantity": to_whole(_quantity()),
-            "unit_price": _price(),
-            "order_date": date,
-        }
-    ).withColumn("total_amount", F.col("quantity") * F.col("unit_price"))
+    values = {
+        **texts,
+        "quantity": F.col("_whole"),
+        "unit_price": F.col("_price"),
+        "order_date": F.col("_date"),
+    }
+    return good.select(
+        *[values[c].alias(c) if c in values else F.col(f"`{c}`") for c in raw.columns],
+        F.col("_amount").alias("total_amount"),
+    )
 
 
 def cleaning_report(raw: DataFrame, iso_day_first: bool = False) -> DataFrame:
     """Rows removed per step, and rows kept, from one pass over the raw lines."""
     require_columns(raw, REQUIRED)
-    return attrition_report(raw, cleaning_rules(iso_day_first))
+    return attrition_report(
+        raw, cleaning_rules(), read=lambda distinct: read_values(distinct, iso_day_first)
+    )
 
 
 def sales_summary(clean: DataFrame) -> DataFrame:
@@ -90,17 +101,21 @@ def sales_summary(clean: DataFrame) -> DataFrame:
     Lines without a country or category belong to no group.
     """
     by = ["country", "category"]
+    exact = F.col("total_amount").try_cast(_MONEY)
     # Lines of one order are folded first, so orders are counted, not collected.
     per_order = clean.dropna(subset=by).groupBy(*by, "order_id").agg(
         F.sum("quantity").alias("_units"),
-        F.sum(F.col("total_amount").cast(_MONEY)).alias("_revenue"),
+        F.try_sum(exact).alias("_exact"),
+        F.sum("total_amount").alias("_rough"),
+        F.count_if(exact.isNull()).alias("_beyond"),
     )
+    revenue = F.when(F.sum("_beyond") == 0, F.try_sum("_exact").cast("double"))
     return (
         per_order.groupBy(*by)
         .agg(
             F.count("order_id").alias("number_of_orders"),
             F.sum("_units").alias("units_sold"),
-            F.sum("_revenue").cast("double").alias("total_revenue"),
+            F.coalesce(revenue, F.sum("_rough")).alias("total_revenue"),
         )
         .orderBy(F.desc("total_revenue"), *by)
     )

@@ -58,8 +58,9 @@ def clean_text(t: Tables) -> DataFrame:
 
 _DIRTY_NUMBERS = """
     SELECT l_orderkey, l_linenumber,
-           CASE l_linenumber WHEN 7 THEN 'two' WHEN 6 THEN NULL WHEN 5 THEN '1d'
-                WHEN 4 THEN 'nan' WHEN 3 THEN ' ' || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || '.9 '
+           CASE l_linenumber WHEN 7 THEN 'two' WHEN 6 THEN NULL
+                WHEN 5 THEN CASE WHEN l_linestatus = 'F' THEN '1e400' ELSE '1d' END
+                WHEN 4 THEN CASE WHEN l_linestatus = 'F' THEN '1e30' ELSE 'nan' END WHEN 3 THEN ' ' || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || '.9 '
                 WHEN 2 THEN CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || 'e1'
                 ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS raw_quantity,
            CASE WHEN l_returnflag = 'A'
@@ -72,14 +73,14 @@ _DIRTY_NUMBERS = """
 def _dirty_numbers(t: Tables) -> DataFrame:
     quantity = F.col("l_quantity").cast("int").cast("string")
     price = F.col("l_extendedprice").cast("decimal(12,2)").cast("string")
-    line = F.col("l_linenumber")
+    line, closed = F.col("l_linenumber"), F.col("l_linestatus") == "F"
     rows = t.lineitem.select(
         "l_orderkey",
         "l_linenumber",
         F.when(line == 7, "two")
         .when(line == 6, F.lit(None))
-        .when(line == 5, "1d")
-        .when(line == 4, "nan")
+        .when(line == 5, F.when(closed, "1e400").otherwise("1d"))
+        .when(line == 4, F.when(closed, "1e30").otherwise("nan"))
         .when(line == 3, F.concat(F.lit(" "), quantity, F.lit(".9 ")))
         .when(line == 2, F.concat(quantity, F.lit("e1")))
         .otherwise(quantity)
@@ -92,17 +93,23 @@ def _dirty_numbers(t: Tables) -> DataFrame:
     return as_source(rows)
 
 
-# A number as the SQL side reads it: digits, point, exponent, nothing else.
+# A number as the SQL side reads it: digits, point, exponent, nothing else, and finite.
 def _sql_number(text: str) -> str:
+    parsed = f"TRY_CAST(trim({text}) AS DOUBLE)"
     return (
         f"CASE WHEN regexp_full_match(trim({text}), "
         r"'[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?') "
-        f"THEN TRY_CAST(trim({text}) AS DOUBLE) END"
+        f"AND isfinite({parsed}) THEN {parsed} END"
     )
 
 
+# The whole part; null beyond the range of a BIGINT.
+def _sql_whole(number: str) -> str:
+    return f"TRY_CAST(trunc({number}) AS BIGINT)"
+
+
 @query(f"""
-    SELECT l_orderkey, l_linenumber, quantity, CAST(trunc(quantity) AS BIGINT) AS whole_quantity,
+    SELECT l_orderkey, l_linenumber, quantity, {_sql_whole("quantity")} AS whole_quantity,
            {_sql_number("replace(raw_price, ',', '.')")} AS price
     FROM (SELECT *, {_sql_number("raw_quantity")} AS quantity FROM ({_DIRTY_NUMBERS}))""")
 def parse_numbers(t: Tables) -> DataFrame:
@@ -116,45 +123,58 @@ def parse_numbers(t: Tables) -> DataFrame:
     )
 
 
-_DIRTY_DATES = """
-    SELECT o_orderkey,
-           CASE WHEN o_orderpriority = '1-URGENT' THEN strftime(o_orderdate, '%Y-%m-%d')
-                WHEN o_orderpriority = '2-HIGH' THEN strftime(o_orderdate, '%Y/%m/%d')
-                WHEN o_orderpriority = '3-MEDIUM' THEN strftime(o_orderdate, '%d-%m-%Y')
-                WHEN o_orderpriority = '4-NOT SPECIFIED' THEN strftime(o_orderdate, '%m/%d/%Y')
-                WHEN o_orderstatus = 'F' THEN strftime(o_orderdate, '%Y') || '-02-30'
-                WHEN o_orderstatus = 'O' THEN 'not_a_date' END AS raw_date
-    FROM orders"""
+# Notation of each (priority, status): as SQL and Spark write it; None stands for a constant.
+_NOTATIONS = {
+    ("1-URGENT", "F"): ("%Y-%m-%d", "yyyy-MM-dd"),
+    ("1-URGENT", "O"): (" %Y-%m-%d ", "' 'yyyy-MM-dd' '"),
+    ("1-URGENT", "P"): ("%Y-%m-%dT10:00:00Z", "yyyy-MM-dd'T10:00:00Z'"),
+    ("2-HIGH", "F"): ("%Y/%m/%d", "yyyy/MM/dd"),
+    ("2-HIGH", "O"): ("%d/%m/%y", "dd/MM/yy"),
+    ("2-HIGH", "P"): ("%Y-%m-%d 10:00 PM", "yyyy-MM-dd' 10:00 PM'"),
+    ("3-MEDIUM", "F"): ("%d-%m-%Y", "dd-MM-yyyy"),
+    ("3-MEDIUM", "O"): ("%d-%b-%y", "dd-MMM-yy"),
+    ("3-MEDIUM", "P"): ("%d %B %Y", "dd MMMM yyyy"),
+    ("4-NOT SPECIFIED", "F"): ("%m/%d/%Y", "MM/dd/yyyy"),
+    ("4-NOT SPECIFIED", "O"): ("%A, %d %B %Y", "EEEE, dd MMMM yyyy"),
+    ("4-NOT SPECIFIED", "P"): ("%Y-%m", "yyyy-MM"),
+    ("5-LOW", "F"): ("%Y-02-30", "yyyy'-02-30'"),
+    ("5-LOW", "O"): ("%b %Y", "MMM yyyy"),
+}
+_NO_DATE = "not_a_date"
+
+_DIRTY_DATES = "SELECT o_orderkey, CASE {cases} ELSE '{other}' END AS raw_date FROM orders".format(
+    other=_NO_DATE,
+    cases=" ".join(
+        f"WHEN o_orderpriority = '{p}' AND o_orderstatus = '{s}' THEN strftime(o_orderdate, '{sql}')"
+        for (p, s), (sql, _) in _NOTATIONS.items()
+    ),
+)
 
 
 def _dirty_dates(t: Tables) -> DataFrame:
     date, priority, status = (F.col(f"o_order{c}") for c in ("date", "priority", "status"))
-    rows = t.orders.select(
-        "o_orderkey",
-        F.when(priority == "1-URGENT", F.date_format(date, "yyyy-MM-dd"))
-        .when(priority == "2-HIGH", F.date_format(date, "yyyy/MM/dd"))
-        .when(priority == "3-MEDIUM", F.date_format(date, "dd-MM-yyyy"))
-        .when(priority == "4-NOT SPECIFIED", F.date_format(date, "MM/dd/yyyy"))
-        .when(status == "F", F.concat(F.date_format(date, "yyyy"), F.lit("-02-30")))
-        .when(status == "O", "not_a_date")
-        .alias("raw_date"),
-    )
-    return as_source(rows)
+    raw = F.lit(_NO_DATE)
+    for (p, s), (_, spark) in _NOTATIONS.items():
+        raw = F.when((priority == p) & (status == s), F.date_format(date, spark)).otherwise(raw)
+    return as_source(t.orders.select("o_orderkey", raw.alias("raw_date")))
 
 
 def _sql_date(text: str, *formats: str) -> str:
+    """The first notation that fits; a year of two digits would pass for one of four."""
     tries = ", ".join(f"try_strptime({text}, '{f}')" for f in formats)
-    return f"CAST(COALESCE({tries}) AS DATE)"
+    short = f"regexp_full_match({text}, '[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{2}}')"
+    return f"CAST(CASE WHEN {short} THEN try_strptime({text}, '%d/%m/%y') ELSE COALESCE({tries}) END AS DATE)"
 
 
-_DAY_FIRST = ("%d-%m-%Y", "%d/%m/%Y", "%m-%d-%Y", "%m/%d/%Y")
-_YEAR_MONTH_DAY = ("%Y-%m-%d", "%Y/%m/%d")
-_YEAR_DAY_MONTH = ("%Y-%d-%m", "%Y/%d/%m")
+_DAY_FIRST = ("%d-%m-%Y", "%d/%m/%Y", "%m-%d-%Y", "%m/%d/%Y", "%d-%b-%y", "%d %B %Y")
+_DAY_FIRST += ("%A, %d %B %Y", "%b %Y")
+_YEAR_MONTH_DAY = ("%Y-%m-%d", "%Y/%m/%d", "%Y-%m-%dT%H:%M:%SZ", "%Y-%m-%d %I:%M %p", "%Y-%m")
+_YEAR_DAY_MONTH = ("%Y-%d-%m", "%Y/%d/%m", "%Y-%d-%mT%H:%M:%SZ", "%Y-%d-%m %I:%M %p")
 
 
 @query(f"""
-    SELECT o_orderkey, {_sql_date("raw_date", *_YEAR_MONTH_DAY, *_DAY_FIRST)} AS order_date,
-           {_sql_date("raw_date", *_YEAR_DAY_MONTH, *_YEAR_MONTH_DAY, *_DAY_FIRST)}
+    SELECT o_orderkey, {_sql_date("trim(raw_date)", *_YEAR_MONTH_DAY, *_DAY_FIRST)} AS order_date,
+           {_sql_date("trim(raw_date)", *_YEAR_DAY_MONTH, *_YEAR_MONTH_DAY, *_DAY_FIRST)}
                AS order_date_swapped
     FROM ({_DIRTY_DATES})""")
 def parse_dates_mixed(t: Tables) -> DataFrame:
@@ -192,17 +212,18 @@ _DIRTY_SALES_ONCE = """
                 ELSE ' ' || CAST(c_custkey AS VARCHAR) END AS customer_id,
            CASE WHEN p_type = 'PROMO' AND o_orderstatus = 'P' THEN 'not_a_date'
                 WHEN o_orderstatus = 'F' THEN strftime(o_orderdate, '%Y-%m-%d')
-                WHEN o_orderstatus = 'O' THEN strftime(o_orderdate, '%Y/%m/%d')
-                ELSE strftime(o_orderdate, '%d-%m-%Y') END AS order_date,
+                WHEN o_orderstatus = 'O' THEN strftime(o_orderdate, '%d/%m/%y')
+                ELSE strftime(o_orderdate, '%d %B %Y') END AS order_date,
            '  ' || p_name || ' ' AS product,
            CASE WHEN p_size > 45 THEN NULL WHEN l_linestatus = 'F' THEN lower(p_type)
                 ELSE ' ' || p_type || ' ' END AS category,
-           CASE l_linenumber WHEN 7 THEN 'two' WHEN 6 THEN NULL WHEN 5 THEN '-1' WHEN 4 THEN '0'
+           CASE l_linenumber WHEN 7 THEN 'two' WHEN 6 THEN '1e30' WHEN 5 THEN '-1' WHEN 4 THEN '0'
                 WHEN 3 THEN '0.5' WHEN 2 THEN CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || '.9'
                 ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS quantity,
            CASE WHEN l_returnflag = 'A'
                 THEN replace(CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS VARCHAR), '.', ',')
-                WHEN p_size = 1 THEN '0.00' WHEN p_size = 2 THEN 'nan'
+                WHEN p_size = 1 THEN '0.00' WHEN p_size = 2 THEN 'nan' WHEN p_size = 3 THEN '1e400'
+                WHEN p_size = 4 THEN NULL
                 ELSE CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS VARCHAR) END AS unit_price,
            CASE o_orderpriority WHEN '1-URGENT' THEN ' ' || lower(n_name) || ' '
                 WHEN '3-MEDIUM' THEN chr(9) || n_name WHEN '5-LOW' THEN NULL
@@ -237,8 +258,8 @@ def _dirty_sales(t: Tables) -> DataFrame:
         .alias("customer_id"),
         F.when((F.col("p_type") == "PROMO") & (status == "P"), "not_a_date")
         .when(status == "F", F.date_format(date, "yyyy-MM-dd"))
-        .when(status == "O", F.date_format(date, "yyyy/MM/dd"))
-        .otherwise(F.date_format(date, "dd-MM-yyyy"))
+        .when(status == "O", F.date_format(date, "dd/MM/yy"))
+        .otherwise(F.date_format(date, "dd MMMM yyyy"))
         .alias("order_date"),
         F.concat(text("  "), "p_name", text(" ")).alias("product"),
         F.when(size > 45, F.lit(None))
@@ -246,7 +267,7 @@ def _dirty_sales(t: Tables) -> DataFrame:
         .otherwise(F.concat(text(" "), "p_type", text(" ")))
         .alias("category"),
         F.when(line == 7, "two")
-        .when(line == 6, F.lit(None))
+        .when(line == 6, "1e30")
         .when(line == 5, "-1")
         .when(line == 4, "0")
         .when(line == 3, "0.5")
@@ -256,6 +277,8 @@ def _dirty_sales(t: Tables) -> DataFrame:
         F.when(returned == "A", F.replace(price, text("."), text(",")))
         .when(size == 1, "0.00")
         .when(size == 2, "nan")
+        .when(size == 3, "1e400")
+        .when(size == 4, F.lit(None))
         .otherwise(price)
         .alias("unit_price"),
         F.when(priority == "1-URGENT", F.concat(text(" "), F.lower("n_name"), text(" ")))
@@ -289,10 +312,10 @@ _READ_SALES = f"""
 _CLEAN_SALES = f"""
     SELECT order_id, {_sql_strip("customer_id")} AS customer_id, d AS order_date,
            {_sql_strip("product")} AS product, {_sql_capital("category")} AS category,
-           CAST(trunc(q) AS BIGINT) AS quantity, p AS unit_price,
-           {_sql_capital("country")} AS country, CAST(trunc(q) AS BIGINT) * p AS total_amount
+           {_sql_whole("q")} AS quantity, p AS unit_price,
+           {_sql_capital("country")} AS country, {_sql_whole("q")} * p AS total_amount
     FROM ({_READ_SALES} FROM (SELECT DISTINCT * FROM ({_DIRTY_SALES})))
-    WHERE country IS NOT NULL AND q > 0 AND p > 0 AND d IS NOT NULL"""
+    WHERE country IS NOT NULL AND q > 0 AND p > 0 AND d IS NOT NULL AND {_sql_whole("q")} IS NOT NULL"""
 
 
 @query(_CLEAN_SALES, name="sales_cleaning")
@@ -304,7 +327,7 @@ def cleaned(t: Tables) -> DataFrame:
     WITH copies AS (SELECT *, COUNT(*) AS n FROM ({_DIRTY_SALES}) GROUP BY ALL),
     steps AS (
         SELECT CASE WHEN country IS NULL THEN 'missing_country'
-                    WHEN q IS NULL OR p IS NULL THEN 'invalid_number'
+                    WHEN {_sql_whole("q")} IS NULL OR p IS NULL THEN 'invalid_number'
                     WHEN q <= 0 THEN 'non_positive_quantity'
                     WHEN p <= 0 THEN 'non_positive_price'
                     WHEN d IS NULL THEN 'invalid_date' ELSE 'kept' END AS step

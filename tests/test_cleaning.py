@@ -70,6 +70,28 @@ def test_odd_lines(table, rows):
         sales_cleaning.clean_sales(raw.drop("country"))
 
 
+def test_values_out_of_range_are_no_numbers_and_large_ones_are_kept(table, rows):
+    raw = table(
+        "order_id,customer_id,order_date,product,category,quantity,unit_price,country\n"
+        "1,C,2026-08-01,A,x,1e30,10,ES\n"
+        "2,C,2026-08-01,A,x,1,1e400,ES\n"
+        "3,C,2026-08-01,A,x,4,1e308,ES\n"
+        "4,C,2026-08-01,A,x,1,1e19,ES\n"
+        "5,C,2026-08-01,A,x,3,2,ES\n"
+        "6,C,2026-08-01,A,x,3,2,PT\n"
+    )
+    clean = sales_cleaning.clean_sales(raw)
+    assert rows(clean, "order_id", "quantity", "total_amount") == [("4", 1, 1e19), ("5", 3, 6.0), ("6", 3, 6.0)]
+    report = {r[0]: r[1] for r in sales_cleaning.cleaning_report(raw).collect()}
+    assert report == {"invalid_number": 3, "kept": 3, "exact_duplicate": 0} and sum(report.values()) == raw.count()
+    assert rows(sales_cleaning.sales_summary(clean)) == [("Es", "X", 2, 4, 1e19 + 6), ("Pt", "X", 1, 3, 6.0)]
+
+
+def test_each_value_is_parsed_once(table):
+    plan = sales_cleaning.clean_sales(table(fv.DIRTY_SALES))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate") == 1 and plan.count("[ t]") == 1
+
+
 def test_job_from_file_to_files(spark, tmp_path):
     source = tmp_path / "raw.csv"
     source.write_text(fv.DIRTY_SALES, encoding="utf-8")

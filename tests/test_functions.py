@@ -23,8 +23,8 @@ def test_capitalize_lowers_all_but_the_first_character(spark):
 
 
 def test_numbers_are_plain_decimals_only(spark):
-    values = ["45.00", " 7 ", "1e3", "-1", ".5", "2.", "+3", "1d", "nan", "inf", "two", "", "1,5", None]
-    expected = [45.0, 7.0, 1000.0, -1.0, 0.5, 2.0, 3.0] + [None] * 7
+    values = ["45.00", " 7 ", "1e3", "-1", ".5", "2.", "+3", "1d", "nan", "inf", "two", "", "1,5", "1e400", "-1e400", None]
+    expected = [45.0, 7.0, 1000.0, -1.0, 0.5, 2.0, 3.0] + [None] * 9
     assert apply(spark, text.to_number, values) == expected
 
 
@@ -53,6 +53,20 @@ def test_decimal_comma_and_truncation(spark):
         ("2026", None, None),
         ("2026-08-01 later", None, None),
         ("2 Augenblick 2026", None, None),
+        ("02/08/26", date(2026, 8, 2), date(2026, 8, 2)),
+        ("02/08/98", date(1998, 8, 2), date(1998, 8, 2)),
+        ("1-Aug-26", date(2026, 8, 1), date(2026, 8, 1)),
+        ("2 Sept 2026", date(2026, 9, 2), date(2026, 9, 2)),
+        (" 2026-08-01 ", date(2026, 8, 1), date(2026, 1, 8)),
+        ("2026-08-01 10:00 PM", date(2026, 8, 1), date(2026, 1, 8)),
+        ("2026-08-01T10:00:00Z", date(2026, 8, 1), date(2026, 1, 8)),
+        ("2026-08-01T10:00:00.5+02:00", date(2026, 8, 1), date(2026, 1, 8)),
+        ("Saturday, 1 August 2026", date(2026, 8, 1), date(2026, 8, 1)),
+        ("2026-08", date(2026, 8, 1), date(2026, 8, 1)),
+        ("Aug 2026", date(2026, 8, 1), date(2026, 8, 1)),
+        ("2026-13", None, None),
+        ("10:30", None, None),
+        ("", None, None),
         (None, None, None),
     ],
 )
@@ -62,10 +76,10 @@ def test_mixed_dates(spark, written, plain, swapped):
 
 
 def test_iso_dates_and_timestamps_are_strict(spark):
-    values = ["2026-10-01", "2026-02-30", "2026-1-1", "2026-10-01 00:00:00", "01/10/2026", None]
-    assert apply(spark, dates.iso_date, values) == [date(2026, 10, 1)] + [None] * 5
-    stamps = ["2026-10-01 09:15:00", "2026-10-01", "not_a_timestamp", "2026-10-01 25:00:00", None]
-    assert apply(spark, dates.iso_timestamp, stamps) == [datetime(2026, 10, 1, 9, 15)] + [None] * 4
+    values = ["2026-10-01", "2026-02-30", "2026-1-1", "2026-10-01 00:00:00", "01/10/2026", "2026-10-01\n", None]
+    assert apply(spark, dates.iso_date, values) == [date(2026, 10, 1)] + [None] * 6
+    stamps = ["2026-10-01 09:15:00", "2026-10-01 09:15:00\n", "2026-10-01", "not_a_timestamp", "2026-10-01 25:00:00", None]
+    assert apply(spark, dates.iso_timestamp, stamps) == [datetime(2026, 10, 1, 9, 15)] + [None] * 5
 
 
 def test_strict_reading_fails_on_a_bad_text(spark):
