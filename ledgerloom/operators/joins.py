@@ -12,31 +12,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.keys import require_unique
+
 
 def join_many_to_one(
     left: DataFrame, right: DataFrame, on: Sequence[str], what: str = "lookup table"
 ) -> DataFrame:
     """Left join that refuses a right side with repeated keys.
 
-    The check is part of the plan, so it costs no pass of its own: the right
-    side is folded to one row per key, by the key the join needs anyway, and a
-    column of a repeated key raises when it is read. Rows are never multiplied.
+    The keys are counted before the join, by a job of its own that reads no
+    other column, so the check runs whatever is read of the result. A null key
+    has no partner and may repeat. Rows are never multiplied.
     """
-    columns = [c for c in right.columns if c not in on]
-    told = F.concat_ws(" ", F.lit(f"repeated key in {what}:"), *[F.col(c).cast("string") for c in on])
-    folded = right.groupBy(*on).agg(
-        F.count("*").alias("_rows"), *[F.first(c).alias(c) for c in columns]
-    )
-    checked = folded.select(
-        *on,
-        *[
-            F.when(F.col("_rows") == 1, F.col(c))
-            .otherwise(F.raise_error(told).cast(right.schema[c].dataType))
-            .alias(c)
-            for c in columns
-        ],
-    )
-    return left.join(checked, on=list(on), how="left")
+    require_unique(right.dropna(subset=list(on)), on, what)
+    return left.join(right, on=list(on), how="left")
 
 
 def orphans(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:

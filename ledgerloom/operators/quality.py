@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -65,6 +65,7 @@ def order_time_rules(
     ``single`` is the variant for a single status per row: there a missing
     timestamp counts as an invalid one and has no code of its own.
     """
+    # The error codes.
     raw, day = F.col(date_raw), F.col(date)
     raw_stamp, moment = F.col(stamp_raw), F.col(stamp)
     rules = [
@@ -129,24 +130,34 @@ def require_split_reconciled(report: DataFrame) -> dict:
 def compare_totals(
     left: DataFrame, left_sums: dict[str, Column], right: DataFrame, right_sums: dict[str, Column]
 ) -> DataFrame:
-    """One row per measure: its total on the left and on the right side."""
+    """One row per measure: its total on both sides, and whether they are equal.
 
-    def totals(df: DataFrame, sums: dict[str, Column]) -> DataFrame:
-        row = df.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in sums.items()])
-        return long_form(row.select(*[F.col(n).cast("decimal(38,4)") for n in sums]), "measure", "total")
+    Totals are compared in the type that each sum has; ``left_total`` and
+    ``right_total`` show them as DOUBLE.
+    """
 
-    sides = totals(left, left_sums).withColumn("side", F.lit("left")).unionByName(
-        totals(right, right_sums).withColumn("side", F.lit("right"))
-    )
-    return sides.groupBy("measure").agg(
-        F.max(F.when(F.col("side") == "left", F.col("total"))).alias("left_total"),
-        F.max(F.when(F.col("side") == "right", F.col("total"))).alias("right_total"),
+    def totals(df: DataFrame, sums: dict[str, Column], side: str) -> DataFrame:
+        return df.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(f"{side}_{n}") for n, c in sums.items()])
+
+    both = totals(left, left_sums, "left").unionByName(
+        totals(right, right_sums, "right"), allowMissingColumns=True
     )
+    one = both.agg(*[F.max(c).alias(c) for c in both.columns])
+    entries = [
+        F.struct(
+            F.lit(name).alias("measure"),
+            F.col(f"left_{name}").cast("double").alias("left_total"),
+            F.col(f"right_{name}").cast("double").alias("right_total"),
+            F.col(f"left_{name}").eqNullSafe(F.col(f"right_{name}")).alias("equal"),
+        )
+        for name in left_sums
+    ]
+    return one.select(F.inline(F.array(*entries)))
 
 
 def require_totals_equal(comparison: DataFrame) -> None:
     """Raise if any measure differs between the two sides."""
-    off = comparison.filter(~F.col("left_total").eqNullSafe(F.col("right_total"))).collect()
+    off = comparison.filter(~F.col("equal")).collect()
     if off:
         told = ", ".join(f"{r['measure']}: {r['left_total']} / {r['right_total']}" for r in off)
         raise ReconciliationError(f"totals differ ({told})")
@@ -176,15 +187,21 @@ def require_no_violations(counts: DataFrame, what: str) -> None:
         raise RuleViolation(what, {r[0]: r[1] for r in broken})
 
 
-def attrition_report(df: DataFrame, rules: Sequence[Rule], kept: str = "kept") -> DataFrame:
+def attrition_report(
+    df: DataFrame,
+    rules: Sequence[Rule],
+    kept: str = "kept",
+    read: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> DataFrame:
     """How many rows each cleaning step removes, as (``step``, ``row_count``).
 
     Exact copies beyond the first are removed before any rule looks at a row.
-    ``rules`` are conditions over the raw columns; a row counts under the first
-    rule it fails. One grouping finds the copies and one counts the steps.
+    ``rules`` are conditions over the raw columns and those that ``read`` adds to
+    distinct rows; a row counts under the first rule it fails. One grouping finds
+    the copies and one counts the steps.
     """
     distinct = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
-    steps = distinct.withColumn("step", first_failure(rules, kept)).groupBy("step").agg(
+    steps = read(distinct).withColumn("step", first_failure(rules, kept)).groupBy("step").agg(
         F.count("*").alias("row_count"), F.sum(F.col("_copies") - 1).alias("_extra")
     )
     entries = F.array(

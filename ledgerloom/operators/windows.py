@@ -3,13 +3,15 @@
 A plain window sorts each group in one task. Here every group is cut into
 slices, and a window runs per (group, slice). What the earlier slices add up to
 travels as one extra *carry* row that sorts before the rows of its slice, so
-there is no join back and null keys need no special care. The carries are
-themselves computed the same way over coarser slices.
+there is no join back and null keys need no special care. The rows are read
+twice: for the carries and for the result.
 
 ``slices`` lists functions from fine to coarse. Each maps its order value to a
 slice value and must never step backwards as the order value grows, such as the
-hour, then the month, of a timestamp. One task sorts the rows of one slice of a
-group, so the finest slice decides how much a task holds.
+hour of a timestamp. One task sorts the rows of one slice of a group, so the
+finest slice decides how much a task holds. One function is enough while a group
+has few slices, as hours of a few years; with more, the carries are computed the
+same way over the coarser ones, at the price of another pass.
 """
 
 from __future__ import annotations
@@ -109,15 +111,18 @@ def ranked(
     group: Sequence[str],
     order: Sequence[str],
     ties: Sequence[str],
-    slices: Sequence[Slice] = (),
+    tie_slice: Slice | None = None,
     descending: bool = True,
 ) -> DataFrame:
     """Add ``row_number``, ``rank`` and ``dense_rank`` within each group.
 
     Rows equal in ``order`` share a rank; ``ties`` orders them for the row number.
+    ``tie_slice`` cuts the rows of one rank by their first tie column, so that a
+    task sorts the rows of one (group, order, slice); what comes before them is
+    counted first.
     """
     ordering, tie_order = _sorted_by(order, descending), _sorted_by(ties, False)
-    if not slices:
+    if tie_slice is None:
         rank_frame = Window.partitionBy(*group).orderBy(*ordering)
         row_frame = Window.partitionBy(*group).orderBy(*ordering, *tie_order)
         return df.withColumns(
@@ -128,31 +133,30 @@ def ranked(
             }
         )
 
-    rows = df.withColumn(_SLICE, slices[0](F.col(order[0])))
-    per_value = rows.groupBy(*group, _SLICE, *order).agg(F.count("*").alias("_rows"))
-    totals = per_value.groupBy(*group, F.col(_SLICE).alias("_at")).agg(
-        F.sum("_rows").alias("_rows"), F.count("*").alias("_values")
-    )
-    before = {"_rows_before": "_rows", "_values_before": "_values"}
-    carries = _running(totals, group, ["_at"], before, slices[1:], descending, -1).select(
+    rows = df.withColumn(_SLICE, tie_slice(F.col(ties[0])))
+    counts = rows.groupBy(*group, *order, _SLICE).agg(F.count("*").alias("_rows"))
+    by_value = Window.partitionBy(*group).orderBy(*ordering)
+    by_slice = Window.partitionBy(*group).orderBy(*ordering, *_sorted_by([_SLICE], False))
+    before = F.sum("_rows").over(by_slice.rowsBetween(Window.unboundedPreceding, -1))
+    carries = counts.select(
         *group,
-        F.col("_at").alias(_SLICE),
-        *[F.coalesce(c, F.lit(0)).alias(c) for c in before],
+        *order,
+        _SLICE,
+        F.coalesce(before, F.lit(0)).alias("_before"),
+        F.dense_rank().over(by_value).alias("_dense"),
     )
-    # The carry row comes first and counts as one row and one value.
-    slice_rows = Window.partitionBy(*group, _SLICE)
-    rank_frame = slice_rows.orderBy(_KIND, *ordering)
-    row_frame = slice_rows.orderBy(_KIND, *ordering, *tie_order)
-    rows_before = F.first("_rows_before").over(row_frame) - 1
-    values_before = F.first("_values_before").over(row_frame) - 1
+    same = Window.partitionBy(*group, *order)
+    carries = carries.withColumn("_rank", F.min("_before").over(same) + 1)
+    # The carry row comes first and counts as one row.
+    row_frame = Window.partitionBy(*group, *order, _SLICE).orderBy(_KIND, *tie_order)
+    carried = {"rank": "_rank", "dense_rank": "_dense"}
     both = _add_carries(rows, carries).withColumns(
         {
-            "row_number": F.row_number().over(row_frame) + rows_before,
-            "rank": F.rank().over(rank_frame) + rows_before,
-            "dense_rank": F.dense_rank().over(rank_frame) + values_before,
+            "row_number": F.row_number().over(row_frame) - 1 + F.first("_before").over(row_frame),
+            **{name: F.first(c).over(row_frame) for name, c in carried.items()},
         }
     )
-    return _take_rows(both, *before)
+    return _take_rows(both, "_before", *carried.values())
 
 
 def previous_values(
@@ -180,9 +184,12 @@ def _previous(
         return df.withColumn("_previous", F.lag("_held").over(frame))
 
     rows = df.withColumn(_SLICE, slices[0](F.col(order[0])))
-    lasts = rows.groupBy(*group, F.col(_SLICE).alias("_at")).agg(
-        F.max_by("_held", F.struct(*order)).alias("_held")
+    # Each task keeps the last row of a slice before anything is shuffled.
+    latest = Window.partitionBy(*group, _SLICE).orderBy(
+        *[F.col(c).desc_nulls_last() for c in order]
     )
+    lasts = rows.withColumn("_n", F.row_number().over(latest)).filter("_n = 1")
+    lasts = lasts.select(*group, F.col(_SLICE).alias("_at"), "_held")
     carries = _previous(lasts, group, ["_at"], slices[1:]).select(
         *group, F.col("_at").alias(_SLICE), F.col("_previous").alias("_held")
     )

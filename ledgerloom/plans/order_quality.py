@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.functions.dates import iso_date, iso_timestamp
 from ledgerloom.operators.joins import enrich_with_status
@@ -22,6 +23,7 @@ from ledgerloom.operators.quality import (
     split_on_errors,
 )
 from ledgerloom.operators.versions import resolve_versions
+from ledgerloom.sources.snapshots import Snapshots
 
 LINE_KEY = ["order_id", "line_id"]
 CATALOGUE_KEY = ["market", "product_id"]
@@ -81,6 +83,14 @@ def market_summary(valid: DataFrame, resolved: DataFrame) -> DataFrame:
     )
 
 
+def market_summary_schema(amount: str = "bigint") -> T.StructType:
+    """Columns of a written summary; sums of amounts are of this type."""
+    return T.StructType.fromDDL(
+        "market string, enrichment_status string, row_count bigint, "
+        f"total_amount {amount}, total_quantity bigint"
+    )
+
+
 def compare_summary(valid: DataFrame, summary: DataFrame) -> DataFrame:
     """Totals of the valid lines beside totals of the summary."""
     c = F.col
@@ -136,3 +146,29 @@ def check(result: OrderQuality) -> dict:
     if not lost.isEmpty():
         raise ReconciliationError("enrichment lost valid lines")
     return totals
+
+
+def run(store: Snapshots, lines: DataFrame, history: DataFrame) -> dict:
+    """Write all results once, check what was written, then publish them together.
+
+    Each result is made from written tables, so the sources are read once. A failed
+    check raises and leaves what was published before. Returns the checked totals.
+    """
+    base = store.version
+    folders, tables = {}, {}
+
+    def write(name: str, df: DataFrame) -> DataFrame:
+        folders[name], tables[name] = store.write(name, df)
+        return tables[name]
+
+    checked = write("checked_lines", with_errors(lines))
+    valid, quarantine = split_on_errors(checked, "validation_errors")
+    valid, quarantine = write("valid_lines", valid), write("quarantined_lines", quarantine)
+    catalogue = write("catalogue", resolve_catalogue(history))
+    classified = write("classified_lines", classify(valid, catalogue))
+    summary = write("market_summary", market_summary(valid, catalogue))
+    totals = check(OrderQuality(checked, valid, quarantine, catalogue, classified, summary))
+    if (valid.count(), quarantine.count()) != (totals["valid_rows"], totals["quarantine_rows"]):
+        raise ReconciliationError("written valid or quarantined lines differ from the checked ones")
+    store.publish(folders, base)
+    return totals

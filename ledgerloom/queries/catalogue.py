@@ -99,9 +99,8 @@ def catalog_quarantine(t: Tables) -> DataFrame:
 
 # --- windows over events -----------------------------------------------------------
 
-# A busy user's events are cut by hour or day, and those again by month.
-_HOURS = time_slices("HOUR", "MONTH")
-_DAYS = time_slices("DAY", "MONTH")
+# A busy user's events are cut by hour, of which a user has a bounded number.
+_HOURS = time_slices("HOUR")
 
 
 @query("""
@@ -113,7 +112,7 @@ _DAYS = time_slices("DAY", "MONTH")
     FROM (SELECT *, CAST(ts AS DATE) AS day FROM events)""")
 def rank_functions(t: Tables) -> DataFrame:
     events = t.events.select("event_id", "user_id", "ts", F.to_date("ts").alias("day"))
-    rows = ranked(events, ["user_id"], ["day"], ["ts", "event_id"], _DAYS)
+    rows = ranked(events, ["user_id"], ["day"], ["ts", "event_id"], _HOURS[0])
     return as_types(
         rows.select("event_id", "user_id", "row_number", "rank", "dense_rank"),
         row_number="bigint",
@@ -306,8 +305,7 @@ def market_quality_summary(t: Tables) -> DataFrame:
            (SELECT CAST(SUM(quantity) AS DOUBLE) FROM s)""")
 def reconcile_summary(t: Tables) -> DataFrame:
     job = _job(t)
-    totals = order_quality.compare_summary(job.valid, job.summary)
-    return as_types(totals, left_total="double", right_total="double")
+    return order_quality.compare_summary(job.valid, job.summary).drop("equal")
 
 
 @query(f"""

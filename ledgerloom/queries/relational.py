@@ -13,6 +13,7 @@ from ledgerloom.operators.keys import (
     singleton_keys,
     singleton_rows,
 )
+from ledgerloom.operators.quality import Rule, first_failure
 from ledgerloom.plans import store_summary as stores
 from ledgerloom.plans.line_amount import add_line_amount
 from ledgerloom.queries.registry import Tables, as_types, money, query
@@ -345,15 +346,13 @@ def project_final(t: Tables) -> DataFrame:
                 ELSE 'low' END AS quantity_category
     FROM ({_GAPPY})""")
 def price_category(t: Tables) -> DataFrame:
-    quantity = F.col("quantity")
+    high_price = [Rule("high", F.col("unit_price") >= 50000)]
+    quantities = [Rule("high", F.col("quantity") >= 25), Rule("missing", F.col("quantity").isNull())]
     return _gappy_lines(t).select(
         "order_id",
         "line_id",
-        F.when(F.col("unit_price") >= 50000, "high").otherwise("low").alias("price_category"),
-        F.when(quantity >= 25, "high")
-        .when(quantity.isNull(), "missing")
-        .otherwise("low")
-        .alias("quantity_category"),
+        first_failure(high_price, otherwise="low").alias("price_category"),
+        first_failure(quantities, otherwise="low").alias("quantity_category"),
     )
 
 
@@ -390,11 +389,8 @@ def null_split(t: Tables) -> DataFrame:
                AS data_quality_status
     FROM ({_GAPPY})""")
 def quality_status(t: Tables) -> DataFrame:
-    status = (
-        F.when(F.col("quantity").isNull(), "invalid")
-        .when(F.col("product_id").isNull(), "invalid")
-        .otherwise("valid")
-    )
+    missing = F.col("quantity").isNull() | F.col("product_id").isNull()
+    status = first_failure([Rule("invalid", missing)], otherwise="valid")
     rows = add_line_amount(_gappy_lines(t)).withColumn("data_quality_status", status)
     return as_types(rows, total_amount="double").select(
         "order_id", "line_id", "product_id", "quantity", "total_amount", "data_quality_status"
