@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import calendar_attributes, date_key
 from ledgerloom.operators.joins import join_many_to_one
-from ledgerloom.operators.keys import duplicate_keys, require_unique
-from ledgerloom.operators.quality import Rule, long_form, require_no_violations, violation_counts
-from ledgerloom.session import ensure_checkpoint_folder
+from ledgerloom.operators.keys import require_unique
+from ledgerloom.operators.quality import Rule, long_form, require_no_violations
 
 FACT_COLUMNS = [
     "order_id",
@@ -35,39 +34,45 @@ DIMENSION_KEYS = {
 }
 MEASURES = FACT_COLUMNS[5:]
 
-# monotonically_increasing_id keeps the row number in its low 33 bits.
-_ROW_BITS = 33
+# Rows that one task numbers, about, and the greatest number of ranges.
+_RANGE_ROWS = 1_000_000
+_MOST_RANGES = 512
 
 
-def dense_key(df: DataFrame, order_by: Sequence[str], name: str, what: str) -> DataFrame:
-    """Number the rows 1..n in the order of a unique key, without one big task.
+def _range_bounds(df: DataFrame, key: str, rows: int) -> list:
+    """Keys that cut the table into ranges of about equal size: a few values, drawn once.
+
+    They come from the keys with the smallest hashes, so the draw is repeatable.
+    """
+    ranges = min(_MOST_RANGES, rows // _RANGE_ROWS + 1)
+    if ranges == 1:
+        return []
+    drawn = df.select(key).orderBy(F.xxhash64(key), key).limit(16 * ranges)
+    keys = [r[0] for r in drawn.orderBy(key).collect()]
+    return [keys[i * len(keys) // ranges] for i in range(1, ranges)]
+
 
-    The rows are range-partitioned and sorted, and each remembers its partition
-    and position. They are checkpointed, since range bounds are sampled and a
-    recomputation might draw other ones. Every partition's offset then comes
-    from the partition counts: one row per partition, hence the broadcast.
+def dense_key(df: DataFrame, order_by: str, name: str, what: str) -> DataFrame:
+    """Number the rows 1..n in the order of a unique key, without one big task.
 
-    Equal keys share a partition by then, so finding a repeated one, which is an
-    error, takes no further shuffle.
+    The bounds of the ranges are literals, so the numbering comes out the same
+    however often it is computed. Each range is numbered on its own and raised by
+    the rows of the ranges before it: one row per range, hence the broadcast.
     """
-    ensure_checkpoint_folder(df.sparkSession)
-    placed = (
-        df.repartitionByRange(*order_by)
-        .sortWithinPartitions(*order_by)
-        .withColumn("_place", F.monotonically_increasing_id())
-        .checkpoint()
-    )
-    require_unique(placed, order_by, what)
-    placed = placed.withColumn("_part", F.shiftright("_place", _ROW_BITS))
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    require_unique(df, [order_by], what)
+    bounds = _range_bounds(df, order_by, df.count())
+    at_most = F.array(*[F.lit(b) for b in bounds]) if bounds else None
+    place = F.size(F.filter(at_most, lambda b: b <= F.col(order_by))) if bounds else F.lit(0)
+    placed = df.withColumn("_range", place)
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        placed.groupBy("_part")
+        placed.groupBy("_range")
         .agg(F.count("*").alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
+        .select("_range", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
     )
-    position = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)) + 1
-    keyed = placed.join(F.broadcast(offsets), "_part")
-    return keyed.select((F.col("_offset") + position).alias(name), *df.columns)
+    position = F.row_number().over(Window.partitionBy("_range").orderBy(order_by))
+    keyed = placed.withColumn("_position", position).join(F.broadcast(offsets), "_range")
+    return keyed.select((F.col("_offset") + F.col("_position")).alias(name), *df.columns)
 
 
 def build_dimension(
@@ -78,7 +83,7 @@ def build_dimension(
     Keys run densely in business-key order. A repeated business key is an error.
     """
     entity = df.select(business_key, *attributes)
-    return dense_key(entity, [business_key], key_name, f"dimension keyed by {business_key}")
+    return dense_key(entity, business_key, key_name, f"dimension keyed by {business_key}")
 
 
 def build_date_dimension(sales: DataFrame, date: str = "order_date") -> DataFrame:
@@ -144,79 +149,54 @@ def fact_rules() -> list[Rule]:
     ]
 
 
-def _fact_grain(fact: DataFrame) -> DataFrame:
-    repeated = duplicate_keys(fact, ["order_id", "product_key"])
-    return repeated.agg(F.coalesce(F.sum(F.col("row_count") - 1), F.lit(0)).alias("fact_grain_unique"))
-
-
-def _entries(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """One row per listed column and input row: a check name and a text value."""
-    pairs = [
-        F.struct(F.lit(name).alias("check"), F.col(c).cast("string").alias("value"))
-        for name, c in columns.items()
-    ]
-    return df.select(F.inline(F.array(*pairs)))
-
-
-def _foreign_keys(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """Fact rows whose key is not in its dimension, all dimensions in one pass.
+def _fact_checks(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """Row rules, keys without a dimension row, and repeated grains, in one pass over the fact.
 
-    Key values are counted before the join, so it sees each value once.
+    Rows are marked by joins with the distinct keys of each dimension, each key in
+    its own type, and folded per grain on the tasks that read them.
     """
-    names = {f"fact_{key}_in_{dim}": (dim, key) for dim, (key, _) in DIMENSION_KEYS.items()}
-    used = _entries(fact, {name: key for name, (_, key) in names.items()})
-    counted = used.filter("value IS NOT NULL").groupBy("check", "value").agg(
-        F.count("*").alias("_rows")
-    )
-    known = reduce(
-        DataFrame.unionByName,
-        [_entries(dims[dim], {name: key}) for name, (dim, key) in names.items()],
+    marked, rules = fact, fact_rules()
+    for dim, (key, _) in DIMENSION_KEYS.items():
+        known = dims[dim].select(key).dropna().distinct().withColumn(f"_in_{dim}", F.lit(True))
+        marked = marked.join(known, key, "left")
+        missing = F.col(key).isNotNull() & F.col(f"_in_{dim}").isNull()
+        rules.append(Rule(f"fact_{key}_in_{dim}", missing))
+    per_grain = marked.groupBy("order_id", "product_key").agg(
+        F.count("*").alias("_rows"), *[F.count_if(r.fails).alias(r.name) for r in rules]
     )
-    unknown = counted.join(known, on=["check", "value"], how="left_anti")
-    per_check = unknown.agg(
-        *[
-            F.coalesce(F.sum(F.when(F.col("check") == name, F.col("_rows"))), F.lit(0)).alias(name)
-            for name in names
-        ]
+    counts = per_grain.agg(
+        *[F.coalesce(F.sum(r.name), F.lit(0)).alias(r.name) for r in rules],
+        F.coalesce(F.sum(F.col("_rows") - 1), F.lit(0)).alias("fact_grain_unique"),
     )
-    return long_form(per_check, "rule", "violations")
+    return long_form(counts, "rule", "violations")
 
 
-def _dimension_keys(dims: dict[str, DataFrame]) -> DataFrame:
-    """Repeated and null values of both keys of every dimension."""
-    keys = reduce(
-        DataFrame.unionByName,
-        [
-            _entries(dims[dim], {f"{dim}_{key}": key for key in pair})
-            for dim, pair in DIMENSION_KEYS.items()
-        ],
-    )
-    counted = keys.groupBy("check", "value").agg(F.count("*").alias("_rows"))
-    missing = F.col("value").isNull()
-    checks = []
-    for name in (f"{dim}_{key}" for dim, pair in DIMENSION_KEYS.items() for key in pair):
-        here = F.col("check") == name
-        extra = F.sum(F.when(here & ~missing, F.col("_rows") - 1))
-        nulls = F.sum(F.when(here & missing, F.col("_rows")))
-        checks.append(F.coalesce(extra, F.lit(0)).alias(f"{name}_unique"))
-        checks.append(F.coalesce(nulls, F.lit(0)).alias(f"{name}_not_null"))
-    return long_form(counted.agg(*checks), "rule", "violations")
+def _dimension_checks(dim: str, table: DataFrame) -> DataFrame:
+    """Repeated and null values of both keys of a dimension."""
+
+    def check(key: str) -> DataFrame:
+        counted = table.groupBy(key).agg(F.count("*").alias("_rows"))
+        missing = F.col(key).isNull()
+        extra = F.sum(F.when(~missing, F.col("_rows") - 1))
+        nulls = F.sum(F.when(missing, F.col("_rows")))
+        found = counted.agg(
+            F.coalesce(extra, F.lit(0)).alias(f"{dim}_{key}_unique"),
+            F.coalesce(nulls, F.lit(0)).alias(f"{dim}_{key}_not_null"),
+        )
+        return long_form(found, "rule", "violations")
+
+    return reduce(DataFrame.unionByName, [check(key) for key in DIMENSION_KEYS[dim]])
 
 
 def model_checks(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """All 28 checks of the star schema, as (``rule``, ``violations``).
 
-    The fact is read three times with few columns each; give written tables.
+    The fact is read once, each dimension three times with one column; give
+    written tables.
     """
-    return reduce(
-        DataFrame.unionByName,
-        [
-            violation_counts(fact, fact_rules()),
-            long_form(_fact_grain(fact), "rule", "violations"),
-            _foreign_keys(fact, dims),
-            _dimension_keys(dims),
-        ],
-    )
+    checks = [_fact_checks(fact, dims)]
+    checks += [_dimension_checks(dim, dims[dim]) for dim in DIMENSION_KEYS]
+    return reduce(DataFrame.unionByName, checks)
 
 
 def validate_model(fact: DataFrame, dims: dict[str, DataFrame]) -> None:

@@ -49,6 +49,7 @@ def run(spark: SparkSession, sources: dict[str, str], store: Snapshots) -> int:
     The checks run on the tables as written, so what is published is what was
     checked, and a failed check leaves the published model as it was.
     """
+    base = store.version
     raw = {name: read_csv(spark, path, on_empty="pass") for name, path in sources.items()}
     sales = typed_sales(raw["sales"])
     folders, written = {}, {}
@@ -57,4 +58,4 @@ def run(spark: SparkSession, sources: dict[str, str], store: Snapshots) -> int:
         folders[name], written[name] = store.write(name, dim)
     folders["fact_sales"], fact = store.write("fact_sales", build_fact(sales, written))
     validate_model(fact, written)
-    return store.publish(folders)
+    return store.publish(folders, base)

@@ -1,9 +1,7 @@
-"""Session settings, and the shared folder used to cut lineage."""
+"""Session settings."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Skewed joins are split at run time from the real shuffle sizes, also where
@@ -41,23 +39,3 @@ def local_session(cpus: int = 8, app_name: str = "ledgerloom") -> SparkSession:
     )
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
-
-
-def ensure_checkpoint_folder(spark: SparkSession) -> str:
-    """Return the folder ``DataFrame.checkpoint`` writes to.
-
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session
-    without that setting gets a folder of its own; on a cluster a folder on one
-    machine would be lost with that machine, so its absence is an error.
-    """
-    context = spark.sparkContext
-    folder = context.getCheckpointDir()
-    if folder:
-        return folder
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        folder = tempfile.mkdtemp(prefix="ledgerloom-checkpoint-")
-    context.setCheckpointDir(folder)
-    return folder

@@ -45,3 +45,9 @@ def test_query_equals_sql(spark, database, name):
 def test_flagship(spark):
     rows = entry.entry(spark).collect()
     assert rows and {type(r["total_amount"]) for r in rows} == {float}
+
+
+@pytest.mark.parametrize("name", ["monthly_revenue", "revenue_by_category", "top3_per_group", "daily_change", "running_total"])
+def test_reports_scan_the_lines_once(spark, name):
+    plan = entry.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lineitem.parquet") == 1 and plan.count("orders.parquet") == 1
