@@ -18,8 +18,9 @@ def classify_changes(
     batch: DataFrame,
     key: Sequence[str],
     version: str,
-    ties: Sequence[str] = (),
+    ties: Sequence[str],
     dedup: bool = True,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """The rows of a batch with the ``action`` each one calls for.
 
@@ -28,14 +29,19 @@ def classify_changes(
     date, so a late order is still inserted. With ``dedup=False`` a repeated
     key in the batch is an error; otherwise its newest row stands for it.
 
-    The core is first reduced to the keys of the batch, by key columns only.
+    The core is first reduced to the keys of the batch, by key columns only, and
+    those in ``carry``, which the result has as ``core_<column>``.
     """
     if dedup:
         batch = latest_version(batch, key, version, ties)
     else:
         require_unique(batch, key, "batch")
+    carried = {c: f"core_{c}" for c in carry}
     known = core.select(
-        *key, F.col(version).alias("_core_version"), F.lit(True).alias("_in_core")
+        *key,
+        F.col(version).alias("_core_version"),
+        F.lit(True).alias("_in_core"),
+        *[F.col(c).alias(name) for c, name in carried.items()],
     )
     touched = known.join(batch.select(*key), on=list(key), how="left_semi")
     action = (
@@ -44,7 +50,7 @@ def classify_changes(
         .otherwise(F.lit(IGNORE))
     )
     joined = batch.join(touched, on=list(key), how="left")
-    return joined.withColumn("action", action).select(*batch.columns, "action")
+    return joined.withColumn("action", action).select(*batch.columns, "action", *carried.values())
 
 
 def effective_changes(classified: DataFrame) -> DataFrame:
@@ -69,7 +75,7 @@ def upsert(
     batch: DataFrame,
     key: Sequence[str],
     version: str,
-    ties: Sequence[str] = (),
+    ties: Sequence[str],
     dedup: bool = True,
 ) -> DataFrame:
     """The core after a batch: newer wins, and among equals the core row stays.

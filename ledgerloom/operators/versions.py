@@ -11,10 +11,12 @@ from ledgerloom.operators.keys import rows_per_key
 
 
 def latest_version(
-    df: DataFrame, key: Sequence[str], version: str, ties: Sequence[str] = ()
+    df: DataFrame, key: Sequence[str], version: str, ties: Sequence[str]
 ) -> DataFrame:
     """The newest row of each key; ``ties`` decides among equally new rows.
 
+    Pass ``()`` only where a key cannot hold a version twice.
+
     Spark keeps only the best row per key on every task before the shuffle, so
     a hot key sends a handful of rows.
     """
@@ -33,7 +35,7 @@ def resolve_versions(df: DataFrame, key: Sequence[str], version: str) -> DataFra
     (key, version) are counted by partial aggregation first, however many.
     """
     per_version = rows_per_key(df, [*key, version])
-    return latest_version(per_version, key, version)
+    return latest_version(per_version, key, version, ())
 
 
 def current_rows(resolved: DataFrame) -> DataFrame:

@@ -51,20 +51,18 @@ def check_core(store: Snapshots, contract: TableContract = ORDER_LINES) -> None:
     contract.require_table(core_orders(store, contract))
 
 
-def _month() -> Column:
-    return F.date_format("order_date", "yyyy-MM")
+def _month(date: str = "order_date") -> Column:
+    return F.date_format(date, "yyyy-MM")
 
 
 def _write_core(store: Snapshots, changes: DataFrame, contract: TableContract) -> dict:
     """Write the months of the core that the changes touch; folders to publish.
 
     These are the months of the new rows, and those of the rows they replace,
-    since a newer version may carry another date.
+    since a newer version may carry another date; ``core_order_date`` is the old one.
     """
-    updated = changes.filter(F.col("action") == UPDATE).select(*contract.key)
-    replaced = with_partner(core_orders(store, contract), updated, contract.key)
-    months = changes.select(_month().alias("month")).union(replaced.select(_month()))
-    touched = [r["month"] for r in months.distinct().collect()]
+    months = changes.select(_month().alias("month")).union(changes.select(_month("core_order_date")))
+    touched = [r["month"] for r in months.dropna().distinct().collect()]
     core = store.read("core", contract.schema, touched)
     written = store.write_parts("core", apply_changes(core, changes, contract.key), _month())
     return {**{f"core/{month}": None for month in touched}, **written}
@@ -72,13 +70,16 @@ def _write_core(store: Snapshots, changes: DataFrame, contract: TableContract) -
 
 def load_initial(store: Snapshots, raw: DataFrame, contract: TableContract = ORDER_LINES) -> int:
     """Append a whole batch to the core; a rule or a known key rejects it."""
+    base = store.version
     batch = contract.require_batch(contract.typed(raw))
     require_unique(batch, contract.key, "initial batch")
     known = with_partner(core_orders(store, contract), batch, contract.key).count()
     if known:
         raise RuleViolation(contract.name, {"key_unique": known})
-    changes = batch.withColumn("action", F.lit(INSERT))
-    return store.publish(_write_core(store, changes, contract))
+    changes = batch.withColumns(
+        {"action": F.lit(INSERT), "core_order_date": F.lit(None).cast("date")}
+    )
+    return store.publish(_write_core(store, changes, contract), base)
 
 
 def load_batch(
@@ -91,17 +92,23 @@ def load_batch(
 ) -> LoadResult:
     """Load the batch that ``read`` returns as one run.
 
-    Staging and core become current together. On any failure the run is logged as FAILED, nothing is published and the
-    error goes on; loading the same batch again then starts from scratch. If
-    only the success entry cannot be written the data stays published, the run
-    stays RUNNING in the log, and that error goes on.
+    Staging and core become current together. On any failure the run is logged as
+    FAILED, nothing is published and the error goes on, also when it cannot be
+    logged; loading the same batch again then starts from scratch. A writer that
+    was overtaken by another one fails like this too. If only the success entry
+    cannot be written the data stays published, the run stays RUNNING in the log,
+    and that error goes on.
     """
     run_id = log.start()
     try:
+        base = store.version
         result, folders = _stage_and_merge(store, read(), contract, version, dedup, run_id)
-        store.publish(folders)
+        store.publish(folders, base)
     except Exception as error:
-        log.fail(run_id, str(error))
+        try:
+            log.fail(run_id, str(error))
+        except Exception:
+            logger.exception("the failed run could not be logged")
         raise
     try:
         log.succeed(run_id, result.staged_rows, result.affected_rows)
@@ -119,7 +126,9 @@ def _stage_and_merge(store, raw, contract, version, dedup, run_id):
     # Equal versions of a key in one batch are told apart by their other columns.
     ties = [c for c in contract.columns if c not in (*contract.key, version)]
     core = core_orders(store, contract)
-    classified = classify_changes(core, batch, contract.key, version, ties, dedup)
+    classified = classify_changes(
+        core, batch, contract.key, version, ties, dedup, carry=["order_date"]
+    )
     # Written, since the counts, the months and the new core are made from it.
     _, classified = store.write("changes", classified)
     counts = {r["action"]: r["row_count"] for r in change_report(classified).collect()}

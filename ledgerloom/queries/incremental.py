@@ -1,6 +1,7 @@
 """Batches applied to a core table, rule counts, and run states.
 
 The core holds the newest version of each (order, line) shipped before 1999.
+Standing checks, the lookup and the batch rules read all lines.
 The batch is everything shipped from June 1998 on: new keys, newer and equal
 versions of known ones, and keys it repeats itself.
 """
@@ -11,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import incremental as inc
-from ledgerloom.operators.quality import Rule, violation_counts
 from ledgerloom.operators.versions import latest_version
 from ledgerloom.queries.registry import Tables, as_types, money, query
 from ledgerloom.sources.contracts import ORDER_LINES
@@ -34,6 +34,7 @@ _LATEST = """
             product_id DESC, quantity DESC, unit_price DESC) AS n FROM ({rows}))
     WHERE n = 1"""
 _CORE = _LATEST.format(rows=f"{_ROWS} WHERE l_shipdate < TIMESTAMP '{_CORE_UNTIL}'")
+_EVERY = _LATEST.format(rows=_ROWS)
 _RAW_BATCH = f"{_ROWS} WHERE l_shipdate >= TIMESTAMP '{_BATCH_FROM}'"
 _BATCH = _LATEST.format(rows=_RAW_BATCH)
 
@@ -92,6 +93,23 @@ def upsert_newer_wins(t: Tables) -> DataFrame:
     return _shown(inc.upsert(_core(t), _raw_batch(t), _KEY, _VERSION, _TIES))
 
 
+@query(f"""
+    SELECT order_id, line_id, product_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price,
+           updated_at
+    FROM (SELECT c.* FROM ({_CORE}) c LEFT JOIN ({_BATCH}) b
+            ON b.order_id = c.order_id AND b.line_id = c.line_id AND b.updated_at > c.updated_at
+          WHERE b.order_id IS NULL
+          UNION ALL
+          SELECT b.* FROM ({_BATCH}) b LEFT JOIN ({_CORE}) c
+            ON b.order_id = c.order_id AND b.line_id = c.line_id
+          WHERE c.order_id IS NULL OR b.updated_at > c.updated_at)""")
+def two_statement_load(t: Tables) -> DataFrame:
+    """Update what is newer, insert what is new: for a batch without repeated keys."""
+    core, batch = _core(t), latest_version(_raw_batch(t), _KEY, _VERSION, _TIES)
+    classified = inc.classify_changes(core, batch, _KEY, _VERSION, _TIES, dedup=False)
+    return _shown(inc.apply_changes(core, inc.effective_changes(classified), _KEY))
+
+
 _ACTION = """CASE WHEN c.order_id IS NULL THEN 'insert'
                   WHEN b.updated_at > c.updated_at THEN 'update' ELSE 'ignore' END"""
 
@@ -133,15 +151,16 @@ def delete_by_key(t: Tables) -> DataFrame:
 
 
 @query(f"""
-    WITH sought AS (SELECT order_id, line_id FROM ({_CORE})
+    WITH sought AS (SELECT order_id, line_id FROM ({_EVERY})
                     ORDER BY updated_at DESC, order_id DESC, line_id DESC LIMIT 1)
     SELECT COUNT(*) AS row_count, MAX(quantity) AS max_quantity, MAX(updated_at) AS updated_at
-    FROM ({_CORE}) JOIN sought USING (order_id, line_id)""")
+    FROM ({_EVERY}) JOIN sought USING (order_id, line_id)""")
 def point_lookup(t: Tables) -> DataFrame:
-    """The key written last, looked up in the core."""
-    core = _core(t)
-    last = core.agg(F.max(F.struct(_VERSION, *_KEY)).alias("last")).select("last.*")
-    return core.join(last.select(*_KEY), _KEY, "left_semi").agg(
+    """The key written last, looked up among the newest versions of all lines."""
+    every = _shipped(t, F.lit(True))
+    last = every.agg(F.max(F.struct(_VERSION, *_KEY)).alias("last")).first()["last"]
+    core = latest_version(every, _KEY, _VERSION, _TIES)
+    return inc.look_up(core, {c: last[c] for c in _KEY}).agg(
         F.count("*").alias("row_count"),
         F.max("quantity").alias("max_quantity"),
         F.max("updated_at").alias("updated_at"),
@@ -157,7 +176,7 @@ def point_lookup(t: Tables) -> DataFrame:
                     THEN unit_price END AS unit_price,
                CASE WHEN NOT (flag = 'N' AND line_id = 3) THEN updated_at END AS updated_at,
                order_id, line_id, product_id
-        FROM ({_RAW_BATCH}))
+        FROM ({_ROWS}))
     SELECT 'quantity_positive' AS rule, COUNT(*) FILTER (quantity <= 0) AS violations FROM faulty
     UNION ALL SELECT 'unit_price_not_negative', COUNT(*) FILTER (unit_price < 0) FROM faulty
     UNION ALL SELECT 'order_id_not_null', COUNT(*) FILTER (order_id IS NULL) FROM faulty
@@ -175,7 +194,7 @@ def batch_violations(t: Tables) -> DataFrame:
     negative = (flag == "R") & (line == 7)
     unpriced = (flag == "A") & (line == 1) & (F.col("unit_price") < 20000)
     undated = (flag == "N") & (line == 3)
-    faulty = _raw_batch(t).withColumns(
+    faulty = _shipped(t, F.lit(True)).withColumns(
         {
             "quantity": F.when(negative, -F.col("quantity")).otherwise(F.col("quantity")),
             "unit_price": F.when(~unpriced, F.col("unit_price")),
@@ -189,42 +208,52 @@ def batch_violations(t: Tables) -> DataFrame:
     return ORDER_LINES.batch_violations(ORDER_LINES.typed(raw))
 
 
+_LINES = f"""
+    SELECT CAST(order_id AS VARCHAR) AS order_id, line_id, CAST(updated_at AS DATE) AS order_date,
+           CAST(product_id AS VARCHAR) AS product_id, quantity,
+           CASE WHEN quantity > 45 THEN -unit_price ELSE unit_price END AS unit_price, updated_at
+    FROM ({_ROWS})"""
+
+
 @query(f"""
-    SELECT 'required_field' AS rule, COUNT(*) FILTER (order_id IS NULL OR line_id IS NULL
-        OR product_id IS NULL OR quantity IS NULL OR unit_price IS NULL OR updated_at IS NULL)
-        AS violations FROM ({_CORE})
-    UNION ALL SELECT 'business_rule',
-        COUNT(*) FILTER (quantity <= 0 OR unit_price < 0) FROM ({_CORE})
-    UNION ALL SELECT 'bulk_quantity', COUNT(*) FILTER (quantity > 45) FROM ({_CORE})
-    UNION ALL SELECT 'cheap_or_small', COUNT(*) FILTER (unit_price < 1000 OR quantity < 3)
-        FROM ({_CORE})""")
+    SELECT 'quantity_positive' AS rule, COUNT(*) FILTER (quantity <= 0) AS violations FROM ({_LINES})
+    UNION ALL SELECT 'unit_price_not_negative', COUNT(*) FILTER (unit_price < 0) FROM ({_LINES})
+    UNION ALL SELECT 'key_unique', COUNT(*) FROM (
+        SELECT 1 FROM ({_LINES}) GROUP BY order_id, line_id HAVING COUNT(*) > 1)
+    UNION ALL SELECT c || '_not_null', 0 FROM (VALUES ('order_id'), ('line_id'), ('order_date'),
+        ('product_id'), ('quantity'), ('unit_price'), ('updated_at')) v(c)
+    UNION ALL SELECT c || '_length', 0 FROM (VALUES ('order_id'), ('customer_id'), ('product_id')) v(c)""")
 def rule_violation_counts(t: Tables) -> DataFrame:
-    required = ["order_id", "line_id", "product_id", "quantity", "unit_price", "updated_at"]
-    missing = F.lit(False)
-    for column in required:
-        missing = missing | F.col(column).isNull()
-    return violation_counts(
-        _core(t),
-        [
-            Rule("required_field", missing),
-            Rule("business_rule", (F.col("quantity") <= 0) | (F.col("unit_price") < 0)),
-            Rule("bulk_quantity", F.col("quantity") > 45),
-            Rule("cheap_or_small", (F.col("unit_price") < 1000) | (F.col("quantity") < 3)),
-        ],
+    """The contract's standing checks over all lines, repeated keys included; bulk lines carry a credit."""
+    price = F.col("unit_price")
+    lines = _shipped(t, F.lit(True)).select(
+        F.col("order_id").cast("string").alias("order_id"),
+        "line_id",
+        F.to_date("updated_at").alias("order_date"),
+        F.lit("C1").alias("customer_id"),
+        F.col("product_id").cast("string").alias("product_id"),
+        "quantity",
+        F.when(F.col("quantity") > 45, -price).otherwise(price).alias("unit_price"),
+        "updated_at",
     )
+    return ORDER_LINES.table_violations(lines)
 
 
 @query(f"""
     SELECT user_id AS run_id, ts AS event_at,
            CASE event_type WHEN 'error' THEN '{FAILED}' WHEN 'purchase' THEN '{SUCCESS}'
                 ELSE '{RUNNING}' END AS status
-    FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC) AS n FROM events)
+    FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n
+          FROM events)
     WHERE n = 1""", name="run_state")
 def newest_run_state(t: Tables) -> DataFrame:
     """User events read as run events: a run is as its newest event says."""
     kind = F.col("event_type")
     status = F.when(kind == "error", FAILED).when(kind == "purchase", SUCCESS).otherwise(RUNNING)
     events = t.events.select(
-        F.col("user_id").alias("run_id"), F.col("ts").alias("event_at"), status.alias("status")
+        F.col("user_id").alias("run_id"),
+        F.col("ts").alias("event_at"),
+        status.alias("status"),
+        "event_id",
     )
-    return run_state(events, version="event_at")
+    return run_state(events, version="event_at", ties=["event_id"]).drop("event_id")

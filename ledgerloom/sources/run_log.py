@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import UTC, datetime
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.operators.versions import latest_version
@@ -31,36 +33,59 @@ def _now() -> datetime:
     return datetime.now(UTC).replace(tzinfo=None)
 
 
-def run_state(events: DataFrame, key: str = "run_id", version: str = "event_number") -> DataFrame:
+def run_state(
+    events: DataFrame,
+    key: str = "run_id",
+    version: str = "event_number",
+    ties: Sequence[str] = ("finished_at", "status"),
+) -> DataFrame:
     """The newest event of each run, which is the run's current state."""
-    return latest_version(events, [key], version)
+    return latest_version(events, [key], version, ties)
 
 
 class RunLog:
-    """Events are only ever appended, apart from the data they report on."""
+    """Events are only ever appended, apart from the data they report on.
+
+    A run's start is in its first event, so any log object can close a run.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
-        self._started: dict[str, datetime] = {}
 
-    def _append(self, run_id, number, finished_at, status, staged=None, affected=None, error=None):
-        started = self._started[run_id]
-        event = (run_id, number, started, finished_at, status, staged, affected, error)
+    def _append(self, *event) -> None:
         frame = self.spark.createDataFrame([event], _EVENTS).coalesce(1)
         frame.write.mode("append").parquet(self.path)
 
+    def _close(self, run_id: str, status: str, staged=None, affected=None, error=None) -> None:
+        first = self.events().filter((F.col("run_id") == run_id) & (F.col("event_number") == 1)).first()
+        if first is None:
+            raise ValueError(f"run {run_id} was never started")
+        self._append(run_id, 2, first["started_at"], _now(), status, staged, affected, error)
+
     def start(self) -> str:
         run_id = str(uuid4())
-        self._started[run_id] = _now()
-        self._append(run_id, 1, None, RUNNING)
+        self._append(run_id, 1, _now(), None, RUNNING, None, None, None)
         return run_id
 
     def succeed(self, run_id: str, staged_rows: int, affected_rows: int) -> None:
-        self._append(run_id, 2, _now(), SUCCESS, staged_rows, affected_rows)
+        self._close(run_id, SUCCESS, staged_rows, affected_rows)
 
     def fail(self, run_id: str, error_message: str) -> None:
-        self._append(run_id, 2, _now(), FAILED, error=error_message)
+        self._close(run_id, FAILED, error=error_message)
+
+    def compact(self) -> None:
+        """Rewrite the events as few files, for a time without open runs' writers.
+
+        The old files go only after the new ones are in place; should that be cut
+        short, events are there twice, which no state depends on.
+        """
+        old = self.events().inputFiles()
+        self.events().distinct().coalesce(1).write.mode("append").parquet(self.path)
+        jvm = self.spark._jvm
+        for file in old:
+            path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, False)
 
     def events(self) -> DataFrame:
         try:

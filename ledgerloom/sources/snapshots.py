@@ -1,10 +1,12 @@
 """Tables published together: written aside first, then made current at once.
 
-Under ``root`` every written table has a folder of its own, and ``commits`` is
-a small Parquet table with one row per publish, naming the folder of each
-layer. A publish appends one row, which is one file that Spark's committer
-moves into place; before that nothing a reader sees has changed. ``root`` is a
-folder on storage that all machines share. There is one writer at a time.
+Under ``root`` every written table has a folder of its own. ``commits`` holds one
+small file per published version, named by its number, that names the folder of
+each layer; the newest one is current. A version is claimed by creating its file,
+which storage grants to one writer only: a second writer that started from the
+same version gets ``PublishConflict``, and nothing it wrote becomes current.
+``root`` is a folder on storage that all machines share and that creates a file
+only if there is none, such as HDFS.
 
 A large layer is kept in parts, such as months, named ``layer/part``. A change
 then rewrites the parts it touches and the other parts stay where they are.
@@ -12,38 +14,60 @@ then rewrites the parts it touches and the other parts stay where they are.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Collection
 from uuid import uuid4
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.sources.parquet import write_and_read
 
-_COMMITS = T.StructType(
-    [
-        T.StructField("version", T.LongType()),
-        T.StructField("tables", T.MapType(T.StringType(), T.StringType())),
-    ]
-)
+
+class PublishConflict(RuntimeError):
+    """Another writer has published since the version this one started from."""
 
 
 class Snapshots:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._commits = self._path(f"{self.root}/commits")
+        self._fs = self._commits.getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def _latest(self) -> tuple[int, dict[str, str]]:
+    def _path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(name)
+
+    def _commit_file(self, version: int):
+        return self._path(f"{self.root}/commits/{version:012d}.json")
+
+    def _claimed(self) -> list[int]:
+        """Numbers of all commit files, newest first."""
+        if not self._fs.exists(self._commits):
+            return []
+        names = [status.getPath().getName() for status in self._fs.listStatus(self._commits)]
+        return sorted((int(n[:12]) for n in names if n.endswith(".json") and n[0] != "."), reverse=True)
+
+    def _read_commit(self, version: int) -> dict[str, str] | None:
+        """The folders a version names; None while its writer has not finished the file."""
+        stream = self._fs.open(self._commit_file(version))
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
         try:
-            commits = self.spark.read.schema(_COMMITS).parquet(f"{self.root}/commits")
-            last = commits.orderBy(F.desc("version")).take(1)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            last = []
-        return (last[0]["version"], dict(last[0]["tables"])) if last else (0, {})
+            return json.loads(text)
+        except ValueError:
+            return None
+
+    def _latest(self) -> tuple[int, dict[str, str]]:
+        for version in self._claimed():
+            tables = self._read_commit(version)
+            if tables is not None:
+                return version, tables
+        return 0, {}
 
     @property
     def version(self) -> int:
@@ -55,25 +79,68 @@ class Snapshots:
         return folder, write_and_read(df, f"{self.root}/{folder}")
 
     def write_parts(self, layer: str, df: DataFrame, part: Column) -> dict[str, str]:
-        """Write candidate parts of a layer, in one job; their folders by name."""
+        """Write candidate parts of a layer, in one job; their folders by name.
+
+        The rows of a part meet in one task, or in a few where it is large, so a
+        part has few files however many tasks made its rows.
+        """
         folder = f"{layer}/{uuid4()}"
-        parted = df.withColumn("part", part)
+        parted = df.withColumn("part", part).hint("rebalance", F.col("part"))
         parted.write.partitionBy("part").parquet(f"{self.root}/{folder}")
-        written = self.spark.read.schema("part string").parquet(f"{self.root}/{folder}")
-        # One row per part: as many as the layer has, such as months.
-        names = [r["part"] for r in written.select("part").distinct().collect()]
-        return {f"{layer}/{name}": f"{folder}/part={name}" for name in names}
+        written = self._fs.listStatus(self._path(f"{self.root}/{folder}"))
+        names = [status.getPath().getName() for status in written if status.isDirectory()]
+        return {f"{layer}/{n.removeprefix('part=')}": f"{folder}/{n}" for n in names if n.startswith("part=")}
 
-    def publish(self, tables: dict[str, str | None]) -> int:
+    def publish(self, tables: dict[str, str | None], base: int | None = None) -> int:
         """Make candidate folders current, all at once; other layers stay.
 
-        None takes a layer or part away.
+        None takes a layer or part away. ``base`` is the version that the
+        candidates were made from; if another one is current by now, or is being
+        published, ``PublishConflict`` is raised and nothing changes.
+        """
+        current, held = self._latest()
+        if base is not None and base != current:
+            raise PublishConflict(f"made from version {base}, but {current} is current")
+        named = {name: f for name, f in {**held, **tables}.items() if f is not None}
+        try:
+            stream = self._fs.create(self._commit_file(current + 1), False)
+        except Py4JJavaError as error:
+            if "AlreadyExists" in error.java_exception.getClass().getName() or "exists" in str(error.java_exception.getMessage()):
+                raise PublishConflict(f"version {current + 1} is taken by another writer") from error
+            raise
+        try:
+            stream.write(bytearray(json.dumps(named).encode()))
+        finally:
+            stream.close()
+        return current + 1
+
+    def abandon(self) -> list[int]:
+        """Remove claims newer than the current version, left by writers that died."""
+        current = self.version
+        left = [v for v in self._claimed() if v > current]
+        for version in left:
+            self._fs.delete(self._commit_file(version), False)
+        return left
+
+    def compact(self) -> None:
+        """Remove older commit files, and table folders that the current version does not name.
+
+        For a quiet time: readers of older versions and writers lose their files.
         """
-        version, current = self._latest()
-        named = {name: f for name, f in {**current, **tables}.items() if f is not None}
-        commit = self.spark.createDataFrame([(version + 1, named)], _COMMITS).coalesce(1)
-        commit.write.mode("append").parquet(f"{self.root}/commits")
-        return version + 1
+        current, tables = self._latest()
+        for version in self._claimed():
+            if version < current:
+                self._fs.delete(self._commit_file(version), False)
+        kept = set(tables.values()) | {f.rpartition("/")[0] for f in tables.values()}
+        for layer in {f.split("/")[0] for f in tables.values()}:
+            for status in self._fs.listStatus(self._path(f"{self.root}/{layer}")):
+                folder = f"{layer}/{status.getPath().getName()}"
+                if folder not in kept:
+                    self._fs.delete(status.getPath(), True)
+                elif folder not in tables.values():
+                    for part in self._fs.listStatus(status.getPath()):
+                        if f"{folder}/{part.getPath().getName()}" not in kept:
+                            self._fs.delete(part.getPath(), True)
 
     def parts(self, layer: str) -> dict[str, str]:
         """The current folders of a layer, by the name of the layer or part."""

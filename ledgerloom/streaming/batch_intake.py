@@ -23,9 +23,12 @@ def take_in(
     folder: str,
     checkpoint: str,
     contract: TableContract = ORDER_LINES,
+    files_per_run: int = 1,
 ) -> None:
     """Load all files of ``folder`` not loaded yet, oldest first, then return.
 
+    ``files_per_run`` files make up one run; with more than one, their rows are one
+    batch, in which the newest version of a key stands for it.
     A file that breaks a rule stops the intake with its error; it is logged as
     a failed run and handed out again next time.
     """
@@ -35,7 +38,7 @@ def take_in(
         .option("header", True)
         .option("escape", '"')
         .option("enforceSchema", False)
-        .option("maxFilesPerTrigger", 1)
+        .option("maxFilesPerTrigger", files_per_run)
         .csv(folder)
     )
 

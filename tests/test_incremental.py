@@ -6,7 +6,7 @@ from ledgerloom.operators.quality import RuleViolation
 from ledgerloom.plans.incremental_orders import check_core, core_orders, load_batch, load_initial, run
 from ledgerloom.sources.contracts import ORDER_LINES
 from ledgerloom.sources.run_log import RunLog
-from ledgerloom.sources.snapshots import Snapshots
+from ledgerloom.sources.snapshots import PublishConflict, Snapshots
 from ledgerloom.streaming.batch_intake import take_in
 from tests import fixed_values as fv
 
@@ -82,7 +82,7 @@ def test_a_failed_publish_leaves_the_old_tables(spark, tmp_path, table, store, m
     log = RunLog(spark, str(tmp_path / "runs"))
     before = totals(core_orders(store))
 
-    def broken(tables):
+    def broken(tables, base=None):
         raise OSError("storage is gone")
 
     with monkeypatch.context() as patched:
@@ -93,6 +93,31 @@ def test_a_failed_publish_leaves_the_old_tables(spark, tmp_path, table, store, m
     assert load_batch(store, log, lambda: table(fv.BATCH_1)).affected_rows == 5
 
 
+def test_an_overtaken_load_fails_and_loses_nothing(spark, tmp_path, table, store):
+    log = RunLog(spark, str(tmp_path / "runs"))
+
+    def read():  # another writer publishes meanwhile
+        load_batch(Snapshots(spark, store.root), log, lambda: table(fv.BATCH_1))
+        return table(fv.BATCH_2)
+
+    with pytest.raises(PublishConflict):
+        load_batch(store, log, read)
+    assert core_orders(store).count() == 28
+    assert sorted(r["status"] for r in log.state().collect()) == ["FAILED", "SUCCESS"]
+    assert load_batch(store, log, lambda: table(fv.BATCH_2)).affected_rows == 4
+
+
+def test_the_first_error_goes_on_when_it_cannot_be_logged(spark, tmp_path, table, store, monkeypatch):
+    log = RunLog(spark, str(tmp_path / "runs"))
+
+    def broken(*args):
+        raise OSError("log is gone")
+
+    monkeypatch.setattr(log, "fail", broken)
+    with pytest.raises(RuleViolation, match="quantity_positive: 1"):
+        load_batch(store, log, lambda: dated(table(fv.BAD_BATCH)))
+
+
 def test_a_lost_log_entry_keeps_the_published_data(spark, tmp_path, table, store, monkeypatch):
     log = RunLog(spark, str(tmp_path / "runs"))
 
@@ -153,7 +178,7 @@ def test_newer_wins_equal_and_older_are_ignored(table, rows):
     again = inc.classify_changes(merged, batch, KEY, VERSION, TIES)
     assert rows(inc.change_report(again)) == [("ignore", 4)]
     with pytest.raises(ValueError, match="repeated key in batch"):
-        inc.upsert(core, batch, KEY, VERSION, dedup=False)
+        inc.upsert(core, batch, KEY, VERSION, TIES, dedup=False)
 
 
 def test_order_of_batches_does_not_matter(table, rows):
@@ -187,5 +212,5 @@ def test_files_are_taken_in_once(spark, tmp_path, store):
         take_in(store, log, str(inbox), str(tmp_path / "progress"))
     assert (core_orders(store).count(), log.state().count()) == (28, 1)
     (inbox / "b.csv").write_text(fv.BATCH_2, encoding="utf-8")
-    take_in(store, log, str(inbox), str(tmp_path / "progress"))
+    take_in(store, log, str(inbox), str(tmp_path / "progress"), files_per_run=2)
     assert (core_orders(store).count(), log.state().count()) == (30, 2)

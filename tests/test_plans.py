@@ -31,7 +31,7 @@ def test_filters_and_columns_reach_the_scan(lines):
 
 
 def test_latest_version_keeps_one_row_per_key_before_its_shuffle(lines):
-    plan = partitions.plan_text(versions.latest_version(lines, ["key"], "moment"), "simple")
+    plan = partitions.plan_text(versions.latest_version(lines, ["key"], "moment", ()), "simple")
     before, _, after = plan.partition("Exchange hashpartitioning(key")
     assert "WindowGroupLimit" in before and "WindowGroupLimit" in after and "Partial" in after
     assert shuffles(plan) == 1

@@ -10,7 +10,7 @@ from ledgerloom.sources import parquet
 from ledgerloom.sources.contracts import ORDER_LINES
 from ledgerloom.sources.csv import read_csv, write_csv
 from ledgerloom.sources.run_log import RunLog
-from ledgerloom.sources.snapshots import Snapshots
+from ledgerloom.sources.snapshots import PublishConflict, Snapshots
 from tests import fixed_values as fv
 
 
@@ -40,6 +40,25 @@ def test_csv_missing_empty_and_header_only(spark, tmp_path, caplog):
     assert read_csv(spark, header, on_empty="pass").count() == 0
 
 
+def test_csv_with_swapped_headers_or_extra_fields_raises(spark, tmp_path, rows):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    save(folder / "a.csv", "order_id,quantity,unit_price\n1,2,9.5\n")
+    save(folder / "b.csv", "order_id,quantity,unit_price\n2,3\n")
+    assert rows(read_csv(spark, str(folder))) == [("1", "2", "9.5"), ("2", "3", None)]
+    save(folder / "c.csv", "order_id,unit_price,quantity\n3,9.5,4\n")
+    with pytest.raises(ValueError, match="headers"):
+        read_csv(spark, str(folder))
+    long = save(tmp_path / "long.csv", 'a,b\n1,2\n1,2,LOST\n1,"x,y"\n1,,\n')
+    with pytest.raises(ValueError, match="2 rows have more fields"):
+        read_csv(spark, long)
+
+
+def test_csv_with_a_line_break_in_quotes(spark, tmp_path, rows):
+    path = save(tmp_path / "q.csv", 'id,note\n1,"first, line\nsecond ""line"""\n2,x\n')
+    assert rows(read_csv(spark, path)) == [("1", 'first, line\nsecond "line"'), ("2", "x")]
+
+
 def test_sinks_overwrite_and_read_back(spark, tmp_path, rows):
     df = spark.createDataFrame([(1, "a"), (2, None)], "id int, name string")
     for _ in range(2):
@@ -54,6 +73,9 @@ def test_line_amount_job(spark, tmp_path, rows):
     line_amount.run(spark, source, str(tmp_path / "out"))
     written = read_csv(spark, str(tmp_path / "out"))
     assert rows(written, "order_id", "extra", "total_amount") == [("1", "x", "71.0"), ("2", "y", "20.0")]
+    decimals = save(tmp_path / "d.csv", "quantity,unit_price\n2.0,3\n1.5,2\n")
+    line_amount.run(spark, decimals, str(tmp_path / "out3"))
+    assert rows(read_csv(spark, str(tmp_path / "out3"))) == [("1.5", "2.0", "3.0"), ("2", "3.0", "6.0")]
     lacking = save(tmp_path / "m.csv", "order_id,quantity\n1,2\n")
     with pytest.raises(ValueError, match="unit_price"):
         line_amount.run(spark, lacking, str(tmp_path / "out2"))
@@ -107,6 +129,70 @@ def test_publish_switches_all_layers_at_once(spark, tmp_path):
     assert store.read("staging", one.schema).count() == 1
 
 
+def test_of_two_writers_the_second_is_refused(spark, tmp_path):
+    root = str(tmp_path / "store")
+    one, two = Snapshots(spark, root), Snapshots(spark, root)
+    df = spark.createDataFrame([(1,)], "id int")
+    base = one.version
+    mine, theirs = one.write("core", df)[0], two.write("core", df.union(df))[0]
+    assert one.publish({"core": mine}, base) == 1
+    with pytest.raises(PublishConflict):
+        two.publish({"core": theirs}, base)
+    # Even if the second one has looked before the first one published.
+    stale = Snapshots(spark, root)
+    stale._latest = lambda: (0, {})
+    with pytest.raises(PublishConflict):
+        stale.publish({"core": theirs}, base)
+    assert two.version == 1 and two.read("core", df.schema).count() == 1
+
+
+def test_a_claim_of_a_dead_writer_is_not_current(spark, tmp_path):
+    store = Snapshots(spark, str(tmp_path / "store"))
+    df = spark.createDataFrame([(1,)], "id int")
+    store.publish({"core": store.write("core", df)[0]})
+    (tmp_path / "store" / "commits" / "000000000002.json").write_text("")
+    assert store.version == 1 and store.read("core", df.schema).count() == 1
+    with pytest.raises(PublishConflict):
+        store.publish({})
+    assert store.abandon() == [2] and store.publish({}) == 2
+
+
+def test_compaction_keeps_what_is_current(spark, tmp_path):
+    store = Snapshots(spark, str(tmp_path / "store"))
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, p string")
+    first = store.write_parts("core", df, F.col("p"))
+    store.publish({**first, "staging": store.write("staging", df)[0]})
+    newer = store.write_parts("core", df.filter("id = 1"), F.col("p"))
+    store.publish({**newer, "staging": store.write("staging", df)[0]})
+    before = sorted(tuple(r) for r in store.read("core", df.schema).collect())
+    store.compact()
+    assert sorted(tuple(r) for r in store.read("core", df.schema).collect()) == before
+    assert len(list((tmp_path / "store" / "staging").iterdir())) == 1
+    assert len([p for p in (tmp_path / "store" / "commits").iterdir() if p.suffix == ".json"]) == 1
+
+
+def test_parts_have_few_files_however_many_tasks_write(spark, tmp_path):
+    store = Snapshots(spark, str(tmp_path / "store"))
+    df = spark.range(0, 4800, 1, 16).select("id", (F.col("id") % 24).cast("string").alias("p"))
+    for folder in store.write_parts("core", df, F.col("p")).values():
+        assert len(list((tmp_path / "store" / folder).glob("part-*"))) <= 2
+
+
+def test_a_run_can_be_closed_by_another_log_object(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    run_id = RunLog(spark, path).start()
+    RunLog(spark, path).succeed(run_id, 2, 1)
+    log = RunLog(spark, path)
+    (row,) = log.state().collect()
+    assert (row["run_id"], row["status"], row["affected_rows"]) == (run_id, "SUCCESS", 1)
+    assert row["started_at"] <= row["finished_at"]
+    log.compact()
+    assert [r["status"] for r in log.state().collect()] == ["SUCCESS"] and log.events().count() == 2
+    assert len(list((tmp_path / "runs").glob("part-*"))) == 1
+    with pytest.raises(ValueError, match="never started"):
+        log.fail("nobody", "x")
+
+
 def test_run_log_keeps_the_state_of_every_run(spark, tmp_path):
     log = RunLog(spark, str(tmp_path / "runs"))
     assert log.state().count() == 0
