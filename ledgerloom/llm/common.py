@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.sources.scratch import written
+
+__all__ = ["SETTINGS", "WORD", "configure", "let", "lower_words", "once", "remainder", "table", "written"]
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -26,13 +27,8 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def words(text: str | None) -> list[bytes]:
-    """The words of a text as UTF-8; ``bytes.split`` parts at the same six characters as ``WORD``."""
-    return text.encode().split() if text else []
-
-
 def lower_words(text: str | None) -> list[bytes]:
-    """The words with A-Z lower-cased; other letters stay as they are."""
+    """The words as UTF-8, A-Z lower-cased; ``bytes.split`` parts at the same six characters as ``WORD``."""
     return text.encode().lower().split() if text else []
 
 
@@ -54,40 +50,3 @@ def remainder(column: str, divisor: int) -> Column:
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` of the session.
-
-    A local session without that setting, as in tests, gets a folder of its own;
-    elsewhere its absence is an error, since files of one machine die with it.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-    folder = tempfile.mkdtemp(prefix="ledgerloom-llm-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return f"file://{folder}"
-
-
-def _remove(spark: SparkSession, folder: str) -> None:
-    try:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    except Exception:  # noqa: BLE001  the session has ended: nothing is left to clean with
-        pass
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The frame as a Parquet table in the shared folder, to cut its lineage.
-
-    A lost executor then costs a re-read, not a recomputation. The folder is
-    removed when the driver's Python ends.
-    """
-    spark = df.sparkSession
-    folder = f"{shared_folder(spark)}/ledgerloom-{name}-{uuid.uuid4().hex}"
-    atexit.register(_remove, spark, folder)
-    df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)

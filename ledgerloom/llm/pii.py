@@ -181,7 +181,9 @@ def train(sequences: Sequence[tuple[Sequence[str], Sequence[int]]], steps: int =
         y[r, : len(labels)], real[r, : len(labels)] = labels, True
     theta = [np.zeros((len(index) + 1, k)), np.zeros((k, k)), np.zeros(k)]
     gold = [np.zeros_like(p) for p in theta]
-    np.add.at(gold[0], x[real], np.eye(k)[y[real]][:, None, :].repeat(9, axis=1))
+    places = (x[real][:, :, None].astype(np.int64) * k + np.arange(k)).ravel()
+    truth = np.eye(k)[y[real]][:, None, :].repeat(9, axis=1)
+    gold[0] = np.bincount(places, truth.ravel(), theta[0].size).reshape(theta[0].shape)
     np.add.at(gold[1], (y[:, :-1][real[:, 1:]], y[:, 1:][real[:, 1:]]), 1.0)
     np.add.at(gold[2], y[:, 0], 1.0)
     m, v = [np.zeros_like(p) for p in theta], [np.zeros_like(p) for p in theta]
@@ -198,12 +200,11 @@ def train(sequences: Sequence[tuple[Sequence[str], Sequence[int]]], steps: int =
             beta[:, t] = np.where(real[:, t + 1, None], new, beta[:, t + 1])
         z = _logsumexp(alpha[:, -1], axis=1)
         single = np.exp(alpha + beta - z[:, None, None]) * real[:, :, None]
-        grads = [np.zeros_like(p) for p in theta]
-        np.add.at(grads[0], x[real], single[real][:, None, :].repeat(9, axis=1))
+        grads = [np.bincount(places, single[real][:, None, :].repeat(9, axis=1).ravel(), theta[0].size)]
+        grads = [grads[0].reshape(theta[0].shape), np.zeros_like(pairs), single[:, 0].sum(axis=0)]
         for t in range(1, longest):
             joint = alpha[:, t - 1, :, None] + pairs + (emit[:, t] + beta[:, t])[:, None, :] - z[:, None, None]
             grads[1] += np.exp(joint[real[:, t]]).sum(axis=0)
-        grads[2] = single[:, 0].sum(axis=0)
         for i, p in enumerate(theta):
             g = (gold[i] - grads[i]) / rows - decay / 10 * p
             m[i] = 0.9 * m[i] + 0.1 * g

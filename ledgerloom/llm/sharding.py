@@ -1,7 +1,7 @@
 """Even shards by balanced label propagation.
 
 Documents with equal texts are linked. Linked documents start in shards drawn by a
-hash. In each round a group's documents ask for the shard that holds most of the
+hash. In each of at most sixteen rounds a group's documents ask for the shard that holds most of the
 group, and as many move as the shard's quota of bytes lets in. Which of them move
 is drawn by a hash, so no task ranks them. At the end the unlinked documents, which
 cut no edge wherever they are, are dealt out in hash order, large ones first, to fill
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import written
 
-ROUNDS = 6
+ROUNDS = 16
 OVERHEAD = 16
 STRIPE_ROWS = 50_000
 SPACE = 1 << 30
