@@ -41,7 +41,7 @@ AGREEING = 77
 BLOCK = 2048
 # Rows of 16 bytes up to which the side of a join is sent to every task.
 BROADCAST_ROWS = 500_000
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 400_000
 
 _U32 = np.uint32
 

@@ -119,3 +119,48 @@ def _model_file() -> str:
 def op3_sampled_segmentations(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return segmentation.segment(docs, _model_file(), k=2, with_ids=False)
+
+
+ORACLES["op5_minhash_dedup"] = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) < 2 THEN w
+           ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s
+  FROM docs),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM items a JOIN items b ON a.item = b.item AND a.doc_id < b.doc_id
+       AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+both AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM sets
+  UNION SELECT r.a, l.b FROM reached r JOIN both l ON r.b = l.a),
+named AS (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN named USING (doc_id)
+"""
+
+# Pages of the test tables hold their article in an element of that name, its blocks in p and h1.
+ORACLES["op8_html_extraction"] = r"""
+WITH parts AS (
+  SELECT page_id, url, string_split_regex(
+           regexp_extract(html, '<article>(.*?)(</article>|$)', 1, 's'), '</?(p|h1)>') AS blocks
+  FROM pages),
+plain AS (
+  SELECT page_id, url, list_transform(blocks, lambda b: replace(replace(regexp_replace(regexp_replace(
+           regexp_replace(b, '<[^>]*(>|$)', ' ', 'g'), '&quot;?', '"', 'g'), '\s+', ' ', 'g'),
+           '&amp;', '&'), '&amp', '&')) AS blocks
+  FROM parts),
+joined AS (
+  SELECT page_id, url, array_to_string(list_filter(list_transform(blocks, lambda b: trim(b)),
+           lambda b: b <> ''), chr(10) || chr(10)) AS text
+  FROM plain)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM joined
+"""
