@@ -138,10 +138,10 @@ links AS (
        AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
   GROUP BY a.doc_id, b.doc_id, a.n, b.n
   HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
-both AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reached AS (
   SELECT doc_id AS a, doc_id AS b FROM sets
-  UNION SELECT r.a, l.b FROM reached r JOIN both l ON r.b = l.a),
+  UNION SELECT r.a, l.b FROM reached r JOIN edges l ON r.b = l.a),
 named AS (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a)
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM sets JOIN named USING (doc_id)
