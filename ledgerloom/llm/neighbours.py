@@ -35,7 +35,7 @@ DEPTH = 8
 # Rows that a query looks at, counted once per tree, as a share of all rows. Vectors
 # without any structure need this much for a recall of 0.9; for others a number of
 # rows, ``search_rows``, is enough.
-SEARCH_SHARE = 0.6
+SEARCH_SHARE = 1.0
 # Rows and queries that are compared in one task.
 BLOCK_ROWS = 4096
 
@@ -148,6 +148,7 @@ def nearest(
     key: str = "vec_id",
     vector: str = "embedding",
     trees: int = TREES,
+    depth: int = DEPTH,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest rows found for each row that ``queries`` selects."""
     rows = valid(table, key, vector)
@@ -156,8 +157,8 @@ def nearest(
     share = min(1.0, SAMPLE_ROWS / max(n, 1))
     drawn = kinds.where(F.pmod(F.xxhash64("embedding"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
     sample = _stacked(drawn.select("embedding").limit(2 * SAMPLE_ROWS).toPandas()["embedding"])
-    forest = grow(sample if len(sample) else np.ones((1, 1)), trees)
-    enough = search_rows or int(SEARCH_SHARE * n) + k + 1
+    forest = grow(sample if len(sample) else np.ones((1, 1)), trees, depth)
+    enough = min(search_rows or int(SEARCH_SHARE * n) + k + 1, n * trees)
 
     def lead(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

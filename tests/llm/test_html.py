@@ -54,5 +54,5 @@ def test_table(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'x' as text", "1 as n_chars")
     found = main_text(pages)
     assert found.columns == ["page_id", "url", "text", "n_chars"]
-    assert sorted((r["page_id"] or 0, r["n_chars"]) for r in found.collect()) == [(0, 2), (1, 47), (1, 47), (2, 0)]
+    assert sorted((r["page_id"] or 0, r["n_chars"]) for r in found.collect()) == [(0, 2), (1, 51), (1, 51), (2, 0)]
     assert main_text(pages.limit(0)).count() == 0

@@ -45,7 +45,7 @@ def test_whole_search_is_exact(vectors):
     r = np.random.default_rng(2)
     rows = [(i, r.integers(-2, 3, 4)) for i in range(300)]
     rows = [(i, v if v.any() else np.ones(4)) for i, v in rows]  # many ties and equal vectors
-    found = nb.nearest(vectors(rows), F.col("vec_id") % 50 == 0, k=7, search_rows=10**6, trees=3).collect()
+    found = nb.nearest(vectors(rows), F.col("vec_id") % 50 == 0, k=7, search_rows=10**6, trees=3, depth=3).collect()
     for q in range(0, 300, 50):
         mine = sorted((x["rank"], x["vec_id"], x["score"]) for x in found if x["query_id"] == q)
         assert [(i, round(d, 9)) for _, i, d in mine] == [(i, round(d, 9)) for i, d in exact(rows, q, 7)]
@@ -53,7 +53,7 @@ def test_whole_search_is_exact(vectors):
 
 def test_one_vector_shared_by_many(vectors):
     rows = [(i, [1, 1]) for i in range(200)] + [(200 + i, [i + 2, 1]) for i in range(50)]
-    found = nb.nearest(vectors(rows), F.col("vec_id").isin(0, 150, 200), k=5).collect()
+    found = nb.nearest(vectors(rows), F.col("vec_id").isin(0, 150, 200), k=5, trees=2, depth=2).collect()
     by = {q: [x["vec_id"] for x in sorted(found, key=lambda x: x["rank"]) if x["query_id"] == q] for q in (0, 150, 200)}
     assert by[0] == [1, 2, 3, 4, 5] and by[150] == [0, 1, 2, 3, 4] and by[200] == [0, 1, 2, 3, 4]
 
@@ -61,22 +61,21 @@ def test_one_vector_shared_by_many(vectors):
 def test_rows_that_take_no_part(vectors):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1, 0]), (1, [0, 1]), (2, None), (3, [0, 0]), (4, [1, nan]), (5, [inf, 1]), (6, [1, None]), (7, [1, 2, 3]), (None, [1, 1]), (100, [0, 0]), (1, [0, 1])]
-    found = nb.nearest(vectors(rows), F.col("vec_id") % 100 == 0).collect()
+    found = nb.nearest(vectors(rows), F.col("vec_id") % 100 == 0, trees=2, depth=2).collect()
     assert [tuple(x) for x in found] == [(0, 1, 1, 2**0.5)]
 
 
 def test_nothing_to_find(vectors):
-    assert nb.nearest(vectors([(0, [1, 0])]), F.col("vec_id") == 0).count() == 0
-    assert nb.nearest(vectors([(1, [1, 0])]), F.col("vec_id") == 0).count() == 0
-    assert nb.nearest(vectors([]), F.col("vec_id") == 0).count() == 0
+    assert nb.nearest(vectors([(0, [1, 0])]), F.col("vec_id") == 0, trees=1, depth=1).count() == 0
+    assert nb.nearest(vectors([(1, [1, 0])]), F.col("vec_id") == 0, trees=1, depth=1).count() == 0
+    assert nb.nearest(vectors([]), F.col("vec_id") == 0, trees=1, depth=1).count() == 0
 
 
 def test_blocks_of_rows_and_queries(vectors, monkeypatch):
     monkeypatch.setattr(nb, "BLOCK_ROWS", 1)
-    monkeypatch.setattr(nb, "DEPTH", 2)
     r = np.random.default_rng(5)
     rows = [(i, r.normal(size=3)) for i in range(40)]
-    found = nb.nearest(vectors(rows), F.col("vec_id") % 4 == 0, k=3, search_rows=10**6, trees=2).collect()
+    found = nb.nearest(vectors(rows), F.col("vec_id") % 4 == 0, k=3, search_rows=10**6, trees=2, depth=2).collect()
     for q in range(0, 40, 4):
         assert [x["vec_id"] for x in sorted(found, key=lambda x: x["rank"]) if x["query_id"] == q] == [i for i, _ in exact(rows, q, 3)]
 

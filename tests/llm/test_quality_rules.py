@@ -59,8 +59,8 @@ def test_most_rejections_per_second_first():
 
 
 def test_later_rules_are_not_computed(documents):
-    stop = q.Rule("stop", lambda m: F.lit(True))
-    fail = q.Rule("fail", lambda m: F.raise_error(F.lit("asked")).cast("boolean"))
+    stop = q.Rule("stop", lambda m: m("n_words") >= 0)
+    fail = q.Rule("fail", lambda m: F.raise_error(F.concat(F.lit("asked "), m("n_words").cast("string"))).cast("boolean"))
     assert q.keep(documents([(1, "a")]), [stop, fail]).count() == 0
     with pytest.raises(Exception, match="asked"):
         q.keep(documents([(1, "a")]), [fail, stop]).collect()
