@@ -20,6 +20,8 @@ def components(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = written(both.where("a <> b").distinct(), "edges")
     labels = written(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")), "labels")
+    if labels.isEmpty():
+        return labels
     while True:
         near = (
             both.join(labels.withColumnRenamed("node", "b"), "b")

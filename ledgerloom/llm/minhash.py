@@ -291,9 +291,10 @@ def near_duplicates(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
     )
     left = known.join(open_buckets, ["band", "key"]).join(first.select("cid", "n_shingles", "keys"), "cid")
     suspected = written(suspects(_sorted(_blocked(left))), "suspects")
-    links = verified(_sorted(suspected.join(sets, "cid")))
-    joined = written(stars.unionByName(links), "links")
-    final = components(joined).withColumnRenamed("node", "cid")
+    links = written(verified(_sorted(suspected.join(sets, "cid"))), "links")
+    if not links.isEmpty():
+        labels = components(stars.unionByName(links))
+    final = labels.withColumnRenamed("node", "cid")
 
     per_class = classes.join(final, "cid", "left").select("mark", F.coalesce("label", "cid").alias("label"))
     return made, filled.select("rid", "doc_id", "text_key", "mark").join(per_class, "mark").drop("mark")
@@ -327,8 +328,9 @@ def keep_one(docs: DataFrame, words: int = 5) -> DataFrame:
     stays = placed.join(best, "rid", "left_semi").select("row_key").withColumn("stays", F.lit(True))
     gone = gone.join(stays.distinct(), "row_key", "left").select("row_key", F.coalesce("stays", F.lit(False)).alias("stays")).distinct()
     gone = written(gone, "gone")
-    marked = docs.withColumn("_row_key", row_key(F.xxhash64("text")))
-    apart = marked.join(_small(gone.withColumnRenamed("row_key", "_row_key").withColumnRenamed("stays", "_stays")), "_row_key", "left")
-    single = apart.where(F.col("_stays").isNull())
-    repeated = apart.where("_stays").dropDuplicates(["_row_key"])
-    return single.unionByName(repeated).select(*docs.columns)
+    # The whole row travels in one column, so no name of its own can clash.
+    whole = docs.select(row_key(F.xxhash64("text")).alias("row_key"), F.struct(*docs.columns).alias("row"))
+    apart = whole.join(_small(gone), "row_key", "left")
+    single = apart.where(F.col("stays").isNull())
+    repeated = apart.where("stays").dropDuplicates(["row_key"])
+    return single.unionByName(repeated).select("row.*")
