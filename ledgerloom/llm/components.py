@@ -29,7 +29,6 @@ def components(edges: DataFrame) -> DataFrame:
             .agg(F.min("label").alias("near"))
         )
         nearest = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        nearest = written(nearest, "labels")
         jump = nearest.select(F.col("node").alias("label"), F.col("label").alias("far"))
         jumped = nearest.join(jump, "label").select("node", "old", F.least("label", "far").alias("label"))
         labels = written(jumped, "labels")
