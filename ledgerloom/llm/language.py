@@ -144,13 +144,17 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model | None:
-    """Learn from at most ``per_language`` distinct texts of each language.
+    """Learn from ``per_language`` distinct texts of each language, or all if there are fewer.
 
-    Texts are drawn by their own hash, so copies are drawn once; only their grams
-    come to the driver, whose size does not depend on the length of a text.
+    Texts are drawn by their own hash, so copies are drawn once, and the share drawn
+    follows the number of distinct texts, so copies do not lower it. Only grams come to
+    the driver, whose size does not depend on the length of a text.
     """
-    known = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    known = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
+        "lang", "text", F.xxhash64("text").alias("h")
+    )
+    distinct = known.groupBy("lang", "h").agg(F.lit(1).alias("one")).groupBy("lang").agg(F.count("*").alias("n"))
+    counts = {r["lang"]: r["n"] for r in distinct.collect()}
     if not counts:
         return None
     space = 1 << 31
@@ -158,18 +162,18 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model | Non
         *[F.lit(x) for lang, n in counts.items() for x in (lang, min(space, 4 * per_language * space // n))]
     )
     drawn = (
-        known.select("lang", "text", F.pmod(F.xxhash64("text"), F.lit(space)).alias("draw"))
-        .where(F.col("draw") < share[F.col("lang")])
-        .dropDuplicates(["lang", "draw"])
+        known.where(F.pmod("h", F.lit(space)) < share[F.col("lang")])
+        .withColumn("draw", F.pmod("h", F.lit(space)))
+        .dropDuplicates(["lang", "h"])
     )
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             b = b[b["text"].map(has_letter).astype(bool)]
-            yield pd.DataFrame({"lang": b["lang"], "draw": b["draw"], "grams": b["text"].map(grams)})
+            yield pd.DataFrame({"lang": b["lang"], "draw": b["draw"], "h": b["h"], "grams": b["text"].map(grams)})
 
-    rows = drawn.mapInPandas(features, "lang string, draw long, grams array<int>").toPandas()
-    taken = rows.sort_values(["lang", "draw"]).groupby("lang").head(per_language)
+    rows = drawn.mapInPandas(features, "lang string, draw long, h long, grams array<int>").toPandas()
+    taken = rows.sort_values(["lang", "draw", "h"]).groupby("lang").head(per_language)
     return fit_grams([(n, np.asarray(g, dtype=np.int64)) for n, g in zip(taken["lang"], taken["grams"], strict=True)])
 
 

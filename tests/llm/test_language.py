@@ -49,6 +49,22 @@ def test_edges(documents):
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()}.isdisjoint({100, 101, 102})
 
 
+def test_copies_do_not_lower_the_number_of_texts_drawn(documents, monkeypatch):
+    taken = []
+    monkeypatch.setattr(la, "fit_grams", lambda rows: taken.extend(n for n, _ in rows))
+    hot = [(i, "the same text again", "en") for i in range(4000)]
+    many = [(10_000 + i, f"the dog and the cat number {i}", "en") for i in range(40)]
+    more = [(20_000 + i, f"der hund und die katze {i}", "de") for i in range(400)]
+    marks = [(30_000 + i, f"{i} ...", "fr") for i in range(400)] + [(40_000 + i, f"le chien {i}", "fr") for i in range(12)]
+    rows = hot + many + more + marks
+    la.fit(documents(rows), per_language=20)
+
+    def texts(lang):
+        return {t for i, t, n in rows if n == lang and zlib.crc32(str(i).encode()) % 4 != 2 and la.has_letter(t)}
+
+    assert {n: taken.count(n) for n in ("en", "de", "fr")} == {n: min(20, len(texts(n))) for n in ("en", "de", "fr")}
+
+
 def test_nothing_to_learn_from(documents):
     docs = documents([(1, "some words", None)])
     assert [(r["lang_pred"], r["score"]) for r in la.identify(docs, la.fit(docs)).collect()] == [("und", 0.0)]
