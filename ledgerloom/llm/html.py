@@ -6,7 +6,11 @@ discounted by the share of its text that stands in links. The best container
 and those of its siblings that score well too are kept, in page order.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-reader comments are known by element, role, class or id and take no part.
+reader comments are known by element, role, class or id and take no part. A class or
+id is no more than a hint: an element with a name of an article beside it stays
+(``content has-sidebar``), and so does one that holds the article (``_spared``). If
+nothing is left, the page is read again with less regard to names. Lists and tables of
+links are dropped outside ``article`` and ``main`` only.
 
 Edge cases: a null or empty page, or one without a scoring block, gives an empty
 text. Cut-off pages are read as far as they go: an unfinished tag is dropped, open
@@ -48,6 +52,8 @@ ENDS = {
     "th": {"td", "th"},
     "option": {"option"},
 }
+# Elements that no name cuts.
+WHOLE = frozenset("html body article main".split())
 # Words of a class or id that name something other than the article.
 UNLIKELY = frozenset(
     "ad ads adv advert adverts advertisement advertising adbox adslot banner breadcrumb breadcrumbs comment comments "
@@ -73,7 +79,7 @@ TOKEN = re.compile(
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
-NAME_PART = re.compile(r"[^\s_\-]+")
+NAME_PART = re.compile(r"[^_\-]+")
 
 
 class _Tree:
@@ -83,15 +89,17 @@ class _Tree:
         self.parent = [-1]
         self.tag = ["#page"]
         self.out = [False]
+        self.named = [0]
         self.points = [0.0]
         self.chars = [0]
         self.linked = [0]
         self.links = [0]
 
-    def add(self, parent: int, tag: str, out: bool, points: float) -> int:
+    def add(self, parent: int, tag: str, out: bool, named: int, points: float) -> int:
         self.parent.append(parent)
         self.tag.append(tag)
         self.out.append(out)
+        self.named.append(named)
         self.points.append(points)
         self.chars.append(0)
         self.linked.append(0)
@@ -99,9 +107,13 @@ class _Tree:
         return len(self.parent) - 1
 
 
-def _judge(tag: str, attributes: str) -> tuple[bool, float]:
-    """Whether an element is not part of an article, and the points its kind has."""
-    points, out = TAG_POINTS.get(tag, 0.0), tag in HIDDEN
+def _judge(tag: str, attributes: str) -> tuple[bool, int, float]:
+    """Whether an element is not part of an article, whether its names say so, and the points its kind has.
+
+    Its names say so by an unlikely word that stands alone (2), as ``comments``, or in a
+    compound (1), as ``with-comments``, unless a likely word stands apart from unlikely ones.
+    """
+    points, out, unlikely, likely = TAG_POINTS.get(tag, 0.0), tag in HIDDEN, 0, False
     if attributes and not out:
         for name, value in ATTRIBUTE.findall(attributes):
             name, value = name.lower(), value.strip("\"'").lower()
@@ -113,15 +125,26 @@ def _judge(tag: str, attributes: str) -> tuple[bool, float]:
                 out = True
             elif name == "aria-hidden":
                 out |= value == "true"
-            elif tag not in ("html", "body", "article", "main"):
-                parts = NAME_PART.findall(value)
-                out |= not UNLIKELY.isdisjoint(parts)
-                points += NAMED_POINTS * (not LIKELY.isdisjoint(parts))
-    return out, points
+            else:
+                named = False
+                for word in value.split():
+                    parts = NAME_PART.findall(word)
+                    hinted = not LIKELY.isdisjoint(parts)
+                    named |= hinted
+                    if not UNLIKELY.isdisjoint(parts):
+                        unlikely = max(unlikely, 1 + (len(parts) == 1))
+                    else:
+                        likely |= hinted
+                points += NAMED_POINTS * (named and tag not in WHOLE)
+    return out, 0 if likely else unlikely, points
+
 
+def _read(page: str, spared: frozenset[int] | None) -> tuple[_Tree, list[tuple[int, str]]]:
+    """The tree, and the blocks of text in page order with the element each stands in.
 
-def _read(page: str) -> tuple[_Tree, list[tuple[int, str]]]:
-    """The tree, and the blocks of text in page order with the element each stands in."""
+    Elements are cut by name except the spared ones, or not at all if that is None; they
+    have the same numbers either way.
+    """
     tree, blocks = _Tree(), []
     stack, open_tags = [0], Counter()
     buffer: list[str] = []
@@ -186,10 +209,11 @@ def _read(page: str) -> tuple[_Tree, list[tuple[int, str]]]:
                 buffer.append(" ")
             continue
         up = stack[-1]
-        out, points = (True, 0.0) if tree.out[up] else _judge(tag, token[4] or token[7] or "")
+        out, named, points = (True, 0, 0.0) if tree.out[up] else _judge(tag, token[4] or token[7] or "")
+        out |= bool(named) and spared is not None and tag not in WHOLE and len(tree.parent) not in spared
         if out and not tree.out[up] and tag not in BLOCKS:
             buffer.append(" ")
-        node = tree.add(up, tag, out, points)
+        node = tree.add(up, tag, out, named, points)
         stack.append(node)
         open_tags[tag] += 1
         if tag == "a":
@@ -212,11 +236,45 @@ def _to_end(tree: _Tree, stack: list[int], kinds: set[str]) -> int:
     return 0
 
 
+def _spared(tree: _Tree, nothing_left: bool) -> frozenset[int]:
+    """Elements with an unlikely name that hold the article, of a tree read without regard to names.
+
+    They hold an ``article`` or ``main`` with text and no unlikely name of its own, or most
+    of the page's text outside links; both if the unlikely word stands alone, as a comment
+    thread may be longer than the article, and a teaser an ``article``. Where that leaves
+    nothing of a page, most of its text is enough.
+    """
+    text = [c - n for c, n in zip(tree.chars, tree.linked, strict=True)]
+    holds = [False] * len(text)
+    for node in range(len(text) - 1, 0, -1):
+        up = tree.parent[node]
+        text[up] += text[node]
+        article = tree.tag[node] in ("article", "main") and text[node] > 0 and not tree.named[node]
+        holds[up] |= not tree.out[node] and (holds[node] or article)
+    spared = set()
+    for node, named in enumerate(tree.named):
+        if named and not tree.out[node]:
+            most = 2 * text[node] > text[0]
+            if (most and (holds[node] or nothing_left)) or (named == 1 and (most or holds[node])):
+                spared.add(node)
+    return frozenset(spared)
+
+
 def extract(page: str | None) -> str:
     """The article's blocks, parted by an empty line."""
     if not page:
         return ""
-    tree, blocks = _read(page)
+    everything = _read(page, None)
+    tree = everything[0]
+    if any(named and tag not in WHOLE for named, tag in zip(tree.named, tree.tag, strict=True)):
+        for nothing_left in (False, True):
+            if text := _best(*_read(page, _spared(tree, nothing_left))):
+                return text
+    return _best(*everything)
+
+
+def _best(tree: _Tree, blocks: list[tuple[int, str]]) -> str:
+    """The blocks of the best container and of its good siblings."""
     if not blocks:
         return ""
     parent, points = tree.parent, tree.points
@@ -254,11 +312,12 @@ def extract(page: str | None) -> str:
             if parent[node] == parent[best] and not tree.out[node] and chars[node]:
                 loose = tree.tag[node] == "p" and linked[node] <= 0.25 * chars[node]
                 kept[node] |= scores.get(node, 0.0) >= limit or loose
-    dropped = [False] * len(parent)
+    dropped, inside = [False] * len(parent), [False] * len(parent)
     for node in range(1, len(parent)):
         up = parent[node]
         kept[node] = kept[node] or kept[up]
-        menu = links[node] > 1 and linked[node] > LINK_LIST * chars[node] and tree.tag[node] in ("ul", "ol", "dl", "table", "div", "section")
+        inside[node] = inside[up] or tree.tag[node] in ("article", "main")
+        menu = not inside[node] and links[node] > 1 and linked[node] > LINK_LIST * chars[node] and tree.tag[node] in ("ul", "ol", "dl", "table", "div", "section")
         dropped[node] = dropped[up] or (menu and node != best)
     return "\n\n".join(text for node, text in blocks if kept[node] and not dropped[node])
 

@@ -43,6 +43,40 @@ def test_containers_without_an_article_element():
     assert "link number" not in extract(f"<body><div><ul>{links}</ul></div><div id=x>{body}</div></body>")
 
 
+ARTICLE = "<p>One, two, three of the article.</p><p>Four, five, six of it.</p>"
+OUTSIDE = "<div class='top'><p>line at the top</p></div>"
+
+
+@pytest.mark.parametrize("names", ["class='content has-sidebar'", "class='post no-sidebar'", "id=content class=with-comments", "class='entry notice-free'"])
+def test_a_likely_name_beside_an_unlikely_one(names):
+    assert "One, two, three of the article.\n\nFour, five, six of it." in extract(f"<body>{OUTSIDE}<div {names}>{ARTICLE}</div></body>")
+
+
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+@pytest.mark.parametrize("names", ["layout with-comments", "page-with-sidebar", "page sidebar"])
+def test_a_container_of_the_article_is_no_menu_whatever_its_name(tag, names):
+    thread = "<div id=comments class=comments-area><article class=comment-body><p>reader says, well</p></article></div>"
+    page = f"<body><footer>f</footer><div class='{names}'><{tag}>{ARTICLE}</{tag}>{thread}</div></body>"
+    assert extract(page) == "One, two, three of the article.\n\nFour, five, six of it."
+
+
+def test_long_threads_and_teasers_stay_out():
+    thread = "<div id=comments class=comments-area>" + "<div class=comment><p>reader says, well, a lot, of, things</p></div>" * 9 + "</div>"
+    teasers = "<div class=related><article><p>Other, text</p></article></div><div class='main-menu'><p>menu, of, all</p></div>"
+    for page in (f"<div id=x>{ARTICLE}</div>{thread}{teasers}", f"<article>{ARTICLE}</article>{thread}{teasers}"):
+        assert extract(page) == "One, two, three of the article.\n\nFour, five, six of it."
+
+
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_lists_of_links_within_the_article_stay(tag):
+    links = "".join(f"<li><a href={i}>reference {i}</a></li>" for i in range(5))
+    table = "".join(f"<tr><td><a href={i}>cell {i}</a></td></tr>" for i in range(5))
+    found = extract(f"<body><ul>{links}</ul><{tag}>{ARTICLE}<ul>{links}</ul><table>{table}</table></{tag}></body>")
+    assert found.count("reference") == 5 and found.count("cell") == 5
+    menu = f"<nav><ul>{links}</ul></nav><ul class=menu>{links}</ul>"
+    assert "reference" not in extract(f"<body><{tag}>{menu}{ARTICLE}</{tag}></body>")
+
+
 def test_deep_and_long_pages():
     assert extract("<div>" * 50_000 + "x") == "x"
     assert extract("<p>a</p></b>" * 20_000).count("a") == 20_000
