@@ -118,7 +118,7 @@ def _model_file() -> str:
 @query
 def op3_sampled_segmentations(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    return segmentation.segment(docs, _model_file(), k=2, with_ids=False)
+    return segmentation.segment(docs, _model_file(), k=4)
 
 
 ORACLES["op5_minhash_dedup"] = r"""

@@ -4,8 +4,11 @@ import os
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import segmentation as sg
+from ledgerloom.llm.common import table
+from ledgerloom.llm.queries import QUERIES
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -121,6 +124,17 @@ def test_rows(documents):
     assert sg.segment(documents([]), MODEL).count() == 0
 
 
+def test_the_query_returns_the_pieces_of_four_samples(spark, sf, words):
+    texts = {r["doc_id"]: r["text"] or "" for r in table(spark, sf, "documents").limit(40).collect()}
+    found = collections.defaultdict(list)
+    for r in QUERIES["op3_sampled_segmentations"](spark, sf).where(F.col("doc_id").isin(list(texts))).collect():
+        found[r["doc_id"]].append(tuple(r["ids"]))
+    assert found.keys() == texts.keys()
+    for i, samples in found.items():
+        assert len(samples) == len(set(samples)) == 4 or len(texts[i]) < 5
+        assert all(sg.decode(words, np.array(ids, dtype=np.int64)) == texts[i] for ids in samples)
+
+
 def test_known_units_are_forgotten_beyond_a_bound(words, monkeypatch):
     monkeypatch.setattr(sg, "MOST_ARCS", 50)
     lattices = sg.Lattices(words, 1.0)
