@@ -27,7 +27,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_told(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told."""
+    """Documents whose language can be told; all that have a letter if no labelled row is there to learn from."""
     configure(spark)
     return language.keep(docs, language.fit(docs), LEAST_LANGUAGE_SCORE)
 

@@ -195,6 +195,11 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
 
 
 def keep(docs: DataFrame, model: Model | None, min_score: float) -> DataFrame:
-    """The rows whose language is told with at least this score, unchanged."""
+    """The rows whose language is told with at least this score, unchanged.
+
+    When nothing could be learned no language can be told apart: all rows with a letter stay.
+    """
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     found = _predicted(model)("text")
     return docs.where((found["lang_pred"] != UNKNOWN) & (found["score"] >= min_score))

@@ -75,3 +75,10 @@ def test_nothing_to_learn_from(documents):
 def test_ties_go_to_the_first_language():
     model = la.fit_grams([("b", la.grams("same text")), ("a", la.grams("same text"))])
     assert la.predict(model, ["same text"])[0] == ["a"]
+
+
+def test_without_labels_texts_with_letters_stay(documents):
+    docs = documents([(1, "some words", None), (1, "some words", None), (2, "é", None), (3, "12 ... ²", None), (4, None, None), (5, "", None)])
+    assert la.fit(docs) is None
+    kept = la.keep(docs, None, 0.2)
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [1, 1, 2]
