@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import html, language, minhash, neighbours, packing, pii, quality_rules, segmentation, sharding, suffix_tree
+from ledgerloom.llm import html, language, minhash, mixing, neighbours, packing, pii, quality_rules, segmentation, sharding, suffix_tree
 from ledgerloom.llm.common import configure, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +164,54 @@ joined AS (
   FROM plain)
 SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM joined
 """
+
+
+@query
+def op12_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"))
+
+
+ORACLES["op12_source_mixing"] = r"""
+WITH docs AS (
+  SELECT doc_id, source,
+         CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
+  FROM documents),
+sources AS (
+  SELECT source, CAST(sum(size) AS HUGEINT) AS s,
+         CAST([3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS HUGEINT) AS w
+  FROM docs GROUP BY source),
+-- a source is held at its limit if filling all in proportion up to that point takes no more than there is
+held AS (
+  SELECT a.source, a.s, a.w,
+         200 * sum(CASE WHEN b.w * a.s < b.s * a.w THEN b.w * a.s ELSE b.s * a.w END)
+           < 150 * any_value(a.w) * sum(b.s) AS is_held
+  FROM sources a, sources b GROUP BY a.source, a.s, a.w),
+shares AS (
+  SELECT 150 * sum(s) - 200 * coalesce(sum(s) FILTER (is_held), 0) AS part,
+         100 * coalesce(sum(w) FILTER (NOT is_held), 0) AS whole
+  FROM held),
+targets AS (
+  SELECT source, CAST(s AS BIGINT) AS source_size,
+         CASE WHEN is_held THEN CAST(2 * s AS DOUBLE)
+              ELSE CAST(w * part AS DOUBLE) / CAST(whole AS DOUBLE) END AS target
+  FROM held, shares),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY source, doc_id, size) - 1 AS number FROM docs),
+keyed AS (
+  SELECT *, md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || size || ':' || number) AS draw FROM numbered),
+summed AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY draw, doc_id, size
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM keyed),
+joined AS (
+  SELECT doc_id, source, size, source_size, target, before, CAST(floor(target + 0.5) AS BIGINT) AS budget,
+         CASE WHEN source_size > 0 THEN CAST(floor(target + 0.5) AS BIGINT) // source_size ELSE 0 END AS epochs
+  FROM summed JOIN targets USING (source)
+  UNION ALL
+  SELECT doc_id, d.source, size, source_size, target, before, CAST(floor(target + 0.5) AS BIGINT),
+         CASE WHEN source_size > 0 THEN CAST(floor(target + 0.5) AS BIGINT) // source_size ELSE 0 END
+  FROM summed d JOIN targets t ON d.source IS NULL AND t.source IS NULL)
+SELECT doc_id, source, size, source_size, target,
+       CAST(epochs * size + greatest(0, least(size, budget - epochs * source_size - before)) AS BIGINT) AS taken
+FROM joined
+"""
