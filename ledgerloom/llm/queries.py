@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import html, language, minhash, mixing, neighbours, packing, pii, quality_rules, segmentation, sharding, suffix_tree
+from ledgerloom.llm import alignment, html, language, minhash, mixing, neighbours, packing, pii, quality_rules, segmentation, sharding, suffix_tree
 from ledgerloom.llm.common import configure, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,11 +108,15 @@ def op7_language_model(spark: SparkSession, folder: str) -> DataFrame:
 
 def _model_file() -> str:
     """A public SentencePiece model; its place can be given in the environment."""
-    if path := os.environ.get("LEDGERLOOM_SENTENCEPIECE_MODEL"):
+    return _tokenizer_file("LEDGERLOOM_SENTENCEPIECE_MODEL", "piece_bpe_32k.model")
+
+
+def _tokenizer_file(variable: str, name: str) -> str:
+    if path := os.environ.get(variable):
         return path
     import public_tokenizers
 
-    return public_tokenizers.path("piece_bpe_32k.model")
+    return public_tokenizers.path(name)
 
 
 @query
@@ -215,3 +219,9 @@ SELECT doc_id, source, size, source_size, target,
        CAST(epochs * size + greatest(0, least(size, budget - epochs * source_size - before)) AS BIGINT) AS taken
 FROM joined
 """
+
+
+@query
+def op13_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    both = alignment.load(_tokenizer_file("LEDGERLOOM_BYTE_BPE", "byte_bpe_50k.json"), _model_file())
+    return alignment.score(table(spark, folder, "documents"), both)
