@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import alignment, html, language, minhash, mixing, neighbours, packing, pii, quality_rules, segmentation, sharding, suffix_tree
+from ledgerloom.llm import alignment, html, language, minhash, mixing, neighbours, packing, pii, prefix_trie, quality_rules, segmentation, sharding, suffix_tree
 from ledgerloom.llm.common import configure, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -225,3 +225,51 @@ FROM joined
 def op13_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
     both = alignment.load(_tokenizer_file("LEDGERLOOM_BYTE_BPE", "byte_bpe_50k.json"), _model_file())
     return alignment.score(table(spark, folder, "documents"), both)
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = prefix_trie.ordered_turns(table(spark, folder, "conversations"))
+    return prefix_trie.trie(*prefix_trie.with_shared_heads(turns))
+
+
+ORACLES["op11_prefix_trie"] = r"""
+WITH given AS (
+  SELECT CAST(conv_id AS BIGINT) AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+turns AS (
+  SELECT c, [role, text] AS t, row_number() OVER (
+           PARTITION BY c ORDER BY turn NULLS FIRST, role, md5(length(role) || ':' || role || text)) - 1 AS pos
+  FROM given),
+ids AS (  -- crc32 of the digits, bit by bit
+  SELECT c, xor(4294967295, list_reduce(
+           list_concat([4294967295::BIGINT], list_transform(range(1, length(c::VARCHAR) + 1), lambda i: ascii((c::VARCHAR)[i])::BIGINT)),
+           lambda crc, x: list_reduce(list_concat([xor(crc, x)], range(8)),
+             lambda v, k: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END))) % 4 AS h
+  FROM (SELECT DISTINCT c FROM turns)),
+own AS (SELECT ids.c, coalesce(list(t ORDER BY pos) FILTER (pos >= h), []) AS ts FROM ids JOIN turns USING (c) GROUP BY ids.c),
+heads AS (
+  SELECT ids.c, coalesce(list(t ORDER BY pos) FILTER (t IS NOT NULL), []) AS ts
+  FROM ids LEFT JOIN turns ON turns.c = ids.c - ids.c % 20 AND pos < h GROUP BY ids.c),
+convs AS (SELECT c, list_concat(heads.ts, own.ts) AS ts FROM heads JOIN own USING (c)),
+paths AS (SELECT c, d, ts[1:d] AS path, d = len(ts) AS is_end FROM (SELECT c, ts, unnest(range(0, len(ts) + 1)) AS d FROM convs)),
+nodes AS (
+  SELECT d, path, min(c) AS c, count(*) AS n, list_filter(list(CASE WHEN is_end THEN c END ORDER BY c), lambda x: x IS NOT NULL) AS ends
+  FROM paths GROUP BY d, path),
+placed AS (  -- every conversation of a node, with the conversation that names it
+  SELECT p.c AS member, n.d, n.c FROM paths p JOIN nodes n ON n.d = p.d AND n.path = p.path),
+parents AS (
+  SELECT n.*, p.c AS parent FROM nodes n LEFT JOIN placed p ON p.member = n.c AND p.d = n.d - 1),
+children AS (SELECT parent AS c, d - 1 AS d, count(*) AS k FROM parents WHERE d > 0 GROUP BY ALL),
+weighed AS (
+  SELECT p.*, coalesce(k, 0) AS k,
+         (n - 1) * CASE WHEN p.d = 0 THEN 0 ELSE len(regexp_extract_all(path[p.d][2], '[^\x20\x09-\x0D]+')) END AS saved
+  FROM parents p LEFT JOIN children ON children.c = p.c AND children.d = p.d),
+sums AS (
+  SELECT a.c, a.d, sum(w.saved) AS saved, count(*) FILTER (w.k = 0) AS leaves
+  FROM weighed w JOIN placed a ON a.member = w.c AND a.d <= w.d GROUP BY a.c, a.d)
+SELECT CAST(w.c AS BIGINT) AS conv_id, CAST(w.d AS BIGINT) AS depth, CAST(parent AS BIGINT) AS parent_conv_id,
+       CAST(n AS BIGINT) AS n_convs, CAST(k AS BIGINT) AS n_children, CAST(leaves AS BIGINT) AS n_leaves,
+       CAST(sums.saved AS BIGINT) AS saved_tokens, sha256(array_to_string(ends, ',')) AS ends_sha256
+FROM weighed w JOIN sums ON sums.c = w.c AND sums.d = w.d
+"""
