@@ -12,7 +12,8 @@ epochs of a source are taken as long as its target holds them; of the last epoch
 in front are taken, up to exactly the target rounded to whole words, so the row at the cut
 gives its first words only.
 
-Bounds: a range holds about ``RANGE_ROWS`` rows, whatever a source's share of the table.
+Bounds: a range holds at most about ``RANGE_ROWS`` rows, whatever a source's share of the table; a source has
+``LEAST_RANGES`` of them as soon as they hold a thousand rows each.
 Rows with the same id and size are numbered per part of the written table, so that a group
 of equal rows spreads over all ranges. Only three sums per round of sharing reach the driver.
 
@@ -37,6 +38,7 @@ WEIGHTS = (3, 1, 2)
 SHARE_PERCENT = 150
 LIMIT = 2
 RANGE_ROWS = 50_000
+LEAST_RANGES = 64
 SPACE = 1 << 32
 
 
@@ -123,7 +125,7 @@ def mix(
         numbered = placed.join(numbers, "rid", "left").fillna(0, ["number"])
     draw = F.md5(F.concat_ws(":", "who", "size", "number"))
     first = F.conv(F.substring("draw", 1, 8), 16, 10).cast("long")
-    ranges = F.expr(f"1 + source_rows div {RANGE_ROWS}")
+    ranges = F.expr(f"least(1 + source_rows div 1000, {LEAST_RANGES} + source_rows div {RANGE_ROWS})")
     keyed = numbered.withColumn("draw", draw).withColumn("range", F.floor(first * ranges / F.lit(SPACE)))
 
     ahead = Window.partitionBy("place").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
