@@ -63,11 +63,21 @@ def change_report(classified: DataFrame) -> DataFrame:
     return classified.groupBy("action").agg(F.count("*").alias("row_count"))
 
 
+def _side_by_side(core: DataFrame, changes: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``_old`` and ``_new`` row of every key; the keys stay columns, as the core's buckets go by them."""
+    old = core.select(*key, F.struct(*core.columns).alias("_old"))
+    new = changes.select(*key, F.struct(*core.columns).alias("_new"))
+    return old.join(new, on=list(key), how="full")
+
+
 def apply_changes(core: DataFrame, changes: DataFrame, key: Sequence[str]) -> DataFrame:
-    """The core with changed keys replaced and new keys added."""
-    updated = changes.filter(F.col("action") == UPDATE).select(*key)
-    kept = core.join(updated, on=list(key), how="left_anti").select(*core.columns)
-    return kept.unionByName(changes.select(*core.columns))
+    """The core with changed keys replaced and new keys added.
+
+    One full join on the key: a core that lies in buckets of it stays where it is, and so does what is
+    written back. Keys are unique on both sides.
+    """
+    both = _side_by_side(core, changes, key)
+    return both.select(F.coalesce("_new", "_old").alias("_row")).select("_row.*")
 
 
 def upsert(
@@ -80,17 +90,19 @@ def upsert(
 ) -> DataFrame:
     """The core after a batch: newer wins, and among equals the core row stays.
 
-    Core and batch go through one shuffle together, of the best row per key and
-    task. Applying a batch again changes nothing. A core that a small batch
-    hardly touches is better served by ``classify_changes``, written, and
-    ``apply_changes``, which need not shuffle the core.
+    The core has unique keys. The newest row of each key of the batch meets it in one full join, so a core that is
+    in buckets of the key, or was just grouped by it, is not shuffled again. Applying a batch again changes
+    nothing. Where only some parts of a core hold keys of the batch, ``classify_changes`` and ``apply_changes``
+    on those parts read less.
     """
-    if not dedup:
+    if dedup:
+        batch = latest_version(batch, key, version, ties)
+    else:
         require_unique(batch, key, "batch")
-    both = core.withColumn("_in_core", F.lit(True)).unionByName(
-        batch.select(*core.columns).withColumn("_in_core", F.lit(False))
-    )
-    return latest_version(both, key, version, ["_in_core", *ties]).drop("_in_core")
+    both = _side_by_side(core, batch, key)
+    newer = (F.col(f"_new.{version}") > F.col(f"_old.{version}")) | F.col(f"_old.{version}").isNull()
+    take = F.col("_old").isNull() | (F.col("_new").isNotNull() & F.col(f"_new.{version}").isNotNull() & newer)
+    return both.select(F.when(take, F.col("_new")).otherwise(F.col("_old")).alias("_row")).select("_row.*")
 
 
 def append_batch(core: DataFrame, batch: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -23,6 +23,7 @@ from ledgerloom.operators.keys import require_unique
 from ledgerloom.operators.quality import RuleViolation, require_columns
 from ledgerloom.sources.contracts import ORDER_LINES, TableContract
 from ledgerloom.sources.csv import read_csv
+from ledgerloom.sources.part_index import parts_of_keys, write_index
 from ledgerloom.sources.run_log import RunLog
 from ledgerloom.sources.snapshots import Snapshots
 
@@ -42,8 +43,17 @@ class LoadResult:
         return self.inserted_rows + self.updated_rows
 
 
-def core_orders(store: Snapshots, contract: TableContract = ORDER_LINES) -> DataFrame:
-    return store.read("core", contract.schema)
+def core_orders(
+    store: Snapshots, contract: TableContract = ORDER_LINES, parts: Collection[str] | None = None
+) -> DataFrame:
+    """The core, or some months of it, in buckets of its key."""
+    return store.read_bucketed("core", contract.schema, contract.key, contract.buckets, parts)
+
+
+def core_near(store: Snapshots, batch: DataFrame, contract: TableContract = ORDER_LINES) -> DataFrame:
+    """The months of the core that may hold a key of the batch, by their index; no other month is read."""
+    parts = parts_of_keys(store, "core", contract.schema, batch, contract.key)
+    return core_orders(store, contract, parts)
 
 
 def check_core(store: Snapshots, contract: TableContract = ORDER_LINES) -> None:
@@ -63,9 +73,16 @@ def _write_core(store: Snapshots, changes: DataFrame, contract: TableContract) -
     """
     months = changes.select(_month().alias("month")).union(changes.select(_month("core_order_date")))
     touched = [r["month"] for r in months.dropna().distinct().collect()]
-    core = store.read("core", contract.schema, touched)
-    written = store.write_parts("core", apply_changes(core, changes, contract.key), _month())
-    return {**{f"core/{month}": None for month in touched}, **written}
+    core = core_orders(store, contract, touched)
+    held = bool(touched) and not set(touched).isdisjoint(n.removeprefix("core/") for n in store.parts("core"))
+    # Joined with buckets, the rows come in tasks by bucket.
+    rows = apply_changes(core, changes, contract.key) if held else changes.select(*contract.columns)
+    written = store.write_parts("core", rows, _month(), contract.key, contract.buckets, clustered=held)
+    gone = {f"{layer}/{month}": None for month in touched for layer in ("core", "core_index")}
+    if not written:
+        return gone
+    fresh = store.spark.read.schema(contract.schema).parquet(*[f"{store.root}/{f}" for f in written.values()])
+    return {**gone, **written, **write_index(store, "core", fresh, _month(), contract.key)}
 
 
 def load_initial(store: Snapshots, raw: DataFrame, contract: TableContract = ORDER_LINES) -> int:
@@ -73,7 +90,7 @@ def load_initial(store: Snapshots, raw: DataFrame, contract: TableContract = ORD
     base = store.version
     batch = contract.require_batch(contract.typed(raw))
     require_unique(batch, contract.key, "initial batch")
-    known = with_partner(core_orders(store, contract), batch, contract.key).count()
+    known = with_partner(core_near(store, batch, contract), batch, contract.key).count()
     if known:
         raise RuleViolation(contract.name, {"key_unique": known})
     changes = batch.withColumns(
@@ -125,7 +142,7 @@ def _stage_and_merge(store, raw, contract, version, dedup, run_id):
     batch = contract.require_batch(staged)
     # Equal versions of a key in one batch are told apart by their other columns.
     ties = [c for c in contract.columns if c not in (*contract.key, version)]
-    core = core_orders(store, contract)
+    core = core_near(store, batch, contract)
     classified = classify_changes(
         core, batch, contract.key, version, ties, dedup, carry=["order_date"]
     )

@@ -27,6 +27,8 @@ class TableContract:
 
     ``checks`` maps a name to a SQL condition every row must meet; like a SQL
     CHECK, a condition that is null counts as met. ``max_lengths`` limits text.
+    ``buckets`` is the number of buckets of the key that a stored table is cut into; it stays
+    the same as long as the table lives.
     """
 
     name: str
@@ -35,6 +37,7 @@ class TableContract:
     required: Sequence[str]
     checks: dict[str, str]
     max_lengths: dict[str, int]
+    buckets: int = 8
 
     @property
     def columns(self) -> list[str]:

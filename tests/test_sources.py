@@ -138,23 +138,58 @@ def test_of_two_writers_the_second_is_refused(spark, tmp_path):
     assert one.publish({"core": mine}, base) == 1
     with pytest.raises(PublishConflict):
         two.publish({"core": theirs}, base)
-    # Even if the second one has looked before the first one published.
-    stale = Snapshots(spark, root)
-    stale._latest = lambda: (0, {})
-    with pytest.raises(PublishConflict):
-        stale.publish({"core": theirs}, base)
     assert two.version == 1 and two.read("core", df.schema).count() == 1
 
 
-def test_a_claim_of_a_dead_writer_is_not_current(spark, tmp_path):
-    store = Snapshots(spark, str(tmp_path / "store"))
+def test_a_writer_that_dies_blocks_nobody(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "store")
     df = spark.createDataFrame([(1,)], "id int")
-    store.publish({"core": store.write("core", df)[0]})
-    (tmp_path / "store" / "commits" / "000000000002.json").write_text("")
-    assert store.version == 1 and store.read("core", df.schema).count() == 1
+    dying, other = Snapshots(spark, root), Snapshots(spark, root)
+    folder = dying.write("core", df)[0]
+
+    def die(pending, target):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(dying, "_move", die)
+    with pytest.raises(KeyboardInterrupt):
+        dying.publish({"core": folder})
+    (tmp_path / "store" / "commits" / "_left-behind.pending").write_text("{")
+    assert other.version == 0 and other.publish({"core": folder}) == 1 and other.publish({}) == 2
+    # A file in a commit's place that is none is not current; it can be taken away.
+    (tmp_path / "store" / "commits" / "000000000003.json").write_text("")
+    assert other.version == 2
     with pytest.raises(PublishConflict):
-        store.publish({})
-    assert store.abandon() == [2] and store.publish({}) == 2
+        other.publish({})
+    assert other.abandon() == [3] and other.publish({}) == 3
+
+
+@pytest.mark.parametrize("compacted", [False, True])
+def test_a_slow_writer_is_refused_however_late_it_comes(spark, tmp_path, compacted):
+    root = str(tmp_path / "store")
+    df = spark.createDataFrame([(1,)], "id int")
+    slow, quick = Snapshots(spark, root), Snapshots(spark, root)
+    mine, theirs = slow.write("core", df)[0], quick.write("core", df.union(df))[0]
+    stale = slow._latest()
+    quick.publish({"core": theirs})
+    quick.publish({})
+    quick.publish({"core": theirs})
+    if compacted:
+        quick.compact()  # versions 1 and 2 are free again
+    slow._latest = lambda: stale  # it looked before the others published
+    with pytest.raises(PublishConflict):
+        slow.publish({"core": mine}, 0)
+    assert quick.version == 3 and quick.read("core", df.schema).count() == 2
+    assert quick.publish({}) == 4
+    names = [p.name for p in (tmp_path / "store" / "commits").iterdir() if not p.name.endswith(".crc")]
+    assert not [n for n in names if "pending" in n] and ("000000000001.json" in names) != compacted
+
+
+def test_storage_that_cannot_keep_writers_apart_is_refused(spark, tmp_path, monkeypatch):
+    from ledgerloom.sources import snapshots
+
+    monkeypatch.setattr(snapshots, "SAFE_RENAME", ("hdfs",))
+    with pytest.raises(ValueError, match="file cannot keep two writers apart"):
+        Snapshots(spark, str(tmp_path / "store"))
 
 
 def test_compaction_keeps_what_is_current(spark, tmp_path):
