@@ -140,10 +140,27 @@ _NOTATIONS = {
     ("5-LOW", "F"): ("%Y-02-30", "yyyy'-02-30'"),
     ("5-LOW", "O"): ("%b %Y", "MMM yyyy"),
 }
+# Further notations by the remainder of the customer key, for orders that are not urgent.
+_MORE_NOTATIONS = {
+    1: ("%-dth %B %Y", "d'th 'MMMM yyyy"),
+    2: ("%B %-dth, %Y", "MMMM d'th, 'yyyy"),
+    3: ("%b-%-d-%y", "MMM-d-yy"),
+    4: ("%Y-%b-%d", "yyyy-MMM-dd"),
+    5: ("%-m/%Y", "M/yyyy"),
+    6: ("%Y", "yyyy"),
+    7: ("%Y%m%dT1000", "yyyyMMdd'T1000'"),
+    8: ("%Y-%m-%d 10", "yyyy-MM-dd' 10'"),
+    9: ("%d %b %Y 10:00 EST", "dd MMM yyyy' 10:00 EST'"),
+    10: ("%a %b %-d 10:00:00 %Y", "EEE MMM d' 10:00:00 'yyyy"),
+}
 _NO_DATE = "not_a_date"
 
-_DIRTY_DATES = "SELECT o_orderkey, CASE {cases} ELSE '{other}' END AS raw_date FROM orders".format(
+_DIRTY_DATES = "SELECT o_orderkey, CASE {more} {cases} ELSE '{other}' END AS raw_date FROM orders".format(
     other=_NO_DATE,
+    more=" ".join(
+        f"WHEN o_orderpriority <> '1-URGENT' AND o_custkey % 16 = {k} THEN strftime(o_orderdate, '{sql}')"
+        for k, (sql, _) in _MORE_NOTATIONS.items()
+    ),
     cases=" ".join(
         f"WHEN o_orderpriority = '{p}' AND o_orderstatus = '{s}' THEN strftime(o_orderdate, '{sql}')"
         for (p, s), (sql, _) in _NOTATIONS.items()
@@ -156,6 +173,8 @@ def _dirty_dates(t: Tables) -> DataFrame:
     raw = F.lit(_NO_DATE)
     for (p, s), (_, spark) in _NOTATIONS.items():
         raw = F.when((priority == p) & (status == s), F.date_format(date, spark)).otherwise(raw)
+    for k, (_, spark) in _MORE_NOTATIONS.items():
+        raw = F.when((priority != "1-URGENT") & (F.col("o_custkey") % 16 == k), F.date_format(date, spark)).otherwise(raw)
     return as_source(t.orders.select("o_orderkey", raw.alias("raw_date")))
 
 
@@ -167,9 +186,10 @@ def _sql_date(text: str, *formats: str) -> str:
 
 
 _DAY_FIRST = ("%d-%m-%Y", "%d/%m/%Y", "%m-%d-%Y", "%m/%d/%Y", "%d-%b-%y", "%d %B %Y")
-_DAY_FIRST += ("%A, %d %B %Y", "%b %Y")
-_YEAR_MONTH_DAY = ("%Y-%m-%d", "%Y/%m/%d", "%Y-%m-%dT%H:%M:%SZ", "%Y-%m-%d %I:%M %p", "%Y-%m")
-_YEAR_DAY_MONTH = ("%Y-%d-%m", "%Y/%d/%m", "%Y-%d-%mT%H:%M:%SZ", "%Y-%d-%m %I:%M %p")
+_DAY_FIRST += ("%A, %d %B %Y", "%b %Y", "%dth %B %Y", "%B %dth, %Y", "%b-%d-%y", "%Y-%b-%d", "%m/%Y", "%Y")
+_DAY_FIRST += ("%Y%m%dT%H%M", "%d %b %Y %H:%M EST", "%a %b %d %H:%M:%S %Y")
+_YEAR_MONTH_DAY = ("%Y-%m-%d", "%Y/%m/%d", "%Y-%m-%dT%H:%M:%SZ", "%Y-%m-%d %I:%M %p", "%Y-%m-%d %H", "%Y-%m")
+_YEAR_DAY_MONTH = ("%Y-%d-%m", "%Y/%d/%m", "%Y-%d-%mT%H:%M:%SZ", "%Y-%d-%m %I:%M %p", "%Y-%d-%m %H")
 
 
 @query(f"""

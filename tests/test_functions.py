@@ -33,8 +33,7 @@ def test_decimal_comma_and_truncation(spark):
     assert apply(spark, text.to_whole, [1.9, 0.5, -1.9, 1e30, None], "double") == [1, 0, -1, None, None]
 
 
-@pytest.mark.parametrize(
-    ("written", "plain", "swapped"),
+MIXED = (
     [
         ("2026-08-01", date(2026, 8, 1), date(2026, 1, 8)),
         ("2026/08/02", date(2026, 8, 2), date(2026, 2, 8)),
@@ -50,7 +49,34 @@ def test_decimal_comma_and_truncation(spark):
         ("31-04-2026", None, None),
         ("2026-02-30", None, None),
         ("not_a_date", None, None),
-        ("2026", None, None),
+        ("2026", date(2026, 1, 1), date(2026, 1, 1)),
+        ("1st August 2026", date(2026, 8, 1), date(2026, 8, 1)),
+        ("August 1st, 2026", date(2026, 8, 1), date(2026, 8, 1)),
+        ("the 1st of August 2026", None, None),
+        ("1st of August 2026 10:00 am", date(2026, 8, 1), date(2026, 8, 1)),
+        ("Aug-1-26", date(2026, 8, 1), date(2026, 8, 1)),
+        ("2026-Aug-01", date(2026, 8, 1), date(2026, 8, 1)),
+        ("2026 01 Aug", date(2026, 8, 1), date(2026, 8, 1)),
+        ("98-Feb-01", date(1998, 2, 1), date(1998, 2, 1)),
+        ("Aug 2026 1", date(2026, 8, 1), date(2026, 8, 1)),
+        ("8/2026", date(2026, 8, 1), date(2026, 8, 1)),
+        ("13/2026", None, None),
+        ("20260801T1000", date(2026, 8, 1), date(2026, 8, 1)),
+        ("20260801 100000", date(2026, 8, 1), date(2026, 8, 1)),
+        ("2026-08-01 10", date(2026, 8, 1), date(2026, 1, 8)),
+        ("2026-08-01 25", None, None),
+        ("1 8 26 10", None, None),
+        ("2026-08-01 10:00 EST", date(2026, 8, 1), date(2026, 1, 8)),
+        ("1 Aug 2026 10:00:00 -0500", date(2026, 8, 1), date(2026, 8, 1)),
+        ("Sat Aug  1 10:00:00 2026", date(2026, 8, 1), date(2026, 8, 1)),
+        ("Sat Aug  1 10:00:00 UTC 2026", date(2026, 8, 1), date(2026, 8, 1)),
+        ("10:00 1 Aug 2026", date(2026, 8, 1), date(2026, 8, 1)),
+        ("\t2026-08-01\n", date(2026, 8, 1), date(2026, 1, 8)),
+        ("1\tAug\n2026", date(2026, 8, 1), date(2026, 8, 1)),
+        ("August", None, None),
+        ("32 Aug 2026", None, None),
+        ("2026-08-01-01", None, None),
+        ("-2026-08-01", None, None),
         ("2026-08-01 later", None, None),
         ("2 Augenblick 2026", None, None),
         ("02/08/26", date(2026, 8, 2), date(2026, 8, 2)),
@@ -68,11 +94,22 @@ def test_decimal_comma_and_truncation(spark):
         ("10:30", None, None),
         ("", None, None),
         (None, None, None),
-    ],
+    ]
 )
-def test_mixed_dates(spark, written, plain, swapped):
-    assert apply(spark, dates.parse_mixed_date, [written]) == [plain]
-    assert apply(spark, lambda c: dates.parse_mixed_date(c, True), [written]) == [swapped]
+
+
+@pytest.fixture(scope="module")
+def mixed_dates(spark):
+    """All notations read at once, plain and with year-first ones day-first."""
+    written = [w for w, _, _ in MIXED]
+    plain = apply(spark, dates.parse_mixed_date, written)
+    swapped = apply(spark, lambda c: dates.parse_mixed_date(c, True), written)
+    return dict(zip(written, zip(plain, swapped, strict=True), strict=True))
+
+
+@pytest.mark.parametrize(("written", "plain", "swapped"), MIXED)
+def test_mixed_dates(mixed_dates, written, plain, swapped):
+    assert mixed_dates[written] == (plain, swapped)
 
 
 def test_iso_dates_and_timestamps_are_strict(spark):

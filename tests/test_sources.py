@@ -59,6 +59,40 @@ def test_csv_with_a_line_break_in_quotes(spark, tmp_path, rows):
     assert rows(read_csv(spark, path)) == [("1", 'first, line\nsecond "line"'), ("2", "x")]
 
 
+def test_csv_files_are_shared_by_tasks_unless_quotes_span_lines(spark, tmp_path, rows):
+    folder = tmp_path / "many files"
+    folder.mkdir()
+    lines = [f'{i},"a ""quoted"" name, {i}"' for i in range(3000)]
+    save(folder / "large.csv", "id,note\n" + "\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        alone = read_csv(spark, str(folder))
+        assert alone.rdd.getNumPartitions() > 5 and alone.count() == 3000
+        save(folder / "broken lines.csv", 'id,note\n9000,"first\n9001,second"\n9002,x\n')
+        both = read_csv(spark, str(folder))
+        assert both.rdd.getNumPartitions() > 5 and both.count() == 3002
+        assert rows(both.where("id >= 2999")) == [("2999", 'a "quoted" name, 2999'), ("9000", "first\n9001,second"), ("9002", "x")]
+        save(folder / "z.csv", "note,id\nx,1\n")
+        with pytest.raises(ValueError, match="differ in their headers"):
+            read_csv(spark, str(folder))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_csv_bytes_that_are_not_utf8_raise(spark, tmp_path):
+    (tmp_path / "latin.csv").write_bytes(b"id,name\n1,caf\xe9\n2,x\n")
+    with pytest.raises(ValueError, match="1 lines of file:.*latin.csv are not UTF-8"):
+        read_csv(spark, str(tmp_path / "latin.csv"))
+    good = save(tmp_path / "good.csv", "id,name\n1,caf\u00e9 \ufffd\n")
+    assert read_csv(spark, good).first()["name"] == "caf\u00e9 \ufffd"
+
+
+def test_csv_with_a_repeated_header_name_raises(spark, tmp_path):
+    for header in ("a,b,a", "a,b,A"):
+        with pytest.raises(ValueError, match="names columns more than once: a"):
+            read_csv(spark, save(tmp_path / "twice.csv", f"{header}\n1,2,3\n"))
+
+
 def test_sinks_overwrite_and_read_back(spark, tmp_path, rows):
     df = spark.createDataFrame([(1, "a"), (2, None)], "id int, name string")
     for _ in range(2):
