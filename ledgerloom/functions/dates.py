@@ -119,11 +119,6 @@ def parse_mixed_date(text: Column, iso_day_first: bool = False) -> Column:
     ``20260802`` is read too; ``2026-08``, ``8/2026`` and ``Aug 2026`` are the first of the
     month, ``2026`` is the first of the year. Two-digit years from 76 on are 19xx.
     """
-    day = F.lower(F.btrim(text, F.lit(_BLANKS)))
-    # Only letters, colons and blanks tell of more than numbers and separators.
-    day = F.when(day.rlike("[a-z: ]"), _bare(day)).otherwise(day)
-    dashed = F.regexp_replace(day, r"[-/.,\s]+", "-")
-
     def read(written: Column) -> Column:
         shape = written
         for pattern, name in _CLASSES.items():
@@ -144,9 +139,16 @@ def parse_mixed_date(text: Column, iso_day_first: bool = False) -> Column:
 
         return _let(F.struct(F.split(written, "-").alias("tokens"), shape.alias("shape")), resolve)
 
-    plain = day.rlike(_ISO_DATE)
-    iso = _date(F.substring(day, 1, 4), F.substring(day, 9, 2), F.substring(day, 6, 2)) if iso_day_first else day.try_cast("date")
-    return F.when(plain, F.coalesce(iso, day.try_cast("date"))).otherwise(_let(dashed, read))
+    def parse(day: Column) -> Column:
+        # Only letters, colons and blanks tell of more than numbers and separators.
+        bare = F.when(day.rlike("[a-z: ]"), _bare(day)).otherwise(day)
+        iso = day.try_cast("date")
+        if iso_day_first:
+            iso = F.coalesce(_date(F.substring(day, 1, 4), F.substring(day, 9, 2), F.substring(day, 6, 2)), iso)
+        other = _let(F.regexp_replace(bare, r"[-/.,\s]+", "-"), read)
+        return F.when(day.rlike(_ISO_DATE), iso).otherwise(other)
+
+    return _let(F.lower(F.btrim(text, F.lit(_BLANKS))), parse)
 
 
 def date_key(day: Column) -> Column:

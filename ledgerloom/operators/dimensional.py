@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -59,8 +59,12 @@ def dense_key(df: DataFrame, order_by: str, name: str, what: str) -> DataFrame:
     however often it is computed. Each range is numbered on its own and raised by
     the rows of the ranges before it: one row per range, hence the broadcast.
     """
-    require_unique(df, [order_by], what)
-    bounds = _range_bounds(df, order_by, df.count())
+    # One job counts the keys and the rows.
+    counted = df.groupBy(order_by).agg(F.count("*").alias("_rows"))
+    rows, most = counted.agg(F.coalesce(F.sum("_rows"), F.lit(0)), F.max("_rows")).first()
+    if rows and most > 1:
+        require_unique(df, [order_by], what)  # names such a key
+    bounds = _range_bounds(df, order_by, rows)
     at_most = F.array(*[F.lit(b) for b in bounds]) if bounds else None
     place = F.size(F.filter(at_most, lambda b: b <= F.col(order_by))) if bounds else F.lit(0)
     placed = df.withColumn("_range", place)
@@ -110,19 +114,26 @@ def add_revenue(df: DataFrame) -> DataFrame:
     )
 
 
-def build_fact(sales: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+def build_fact(
+    sales: DataFrame, dims: dict[str, DataFrame], unique: Collection[str] = ()
+) -> DataFrame:
     """Replace the business keys of ``sales`` by surrogate keys.
 
     Every lookup refuses a dimension with repeated business keys, so the row
     count cannot change; keys that are not found come out null for the model
     checks. With only some dimensions given, only their keys are looked up.
+    ``unique`` names dimensions whose keys need no count, as those that ``build_dimension`` and
+    ``build_date_dimension`` have just made.
     """
     fact = sales.withColumnRenamed("order_date", "full_date")
     found = set(sales.columns)
     for dim, (surrogate, business) in DIMENSION_KEYS.items():
         if dim in dims:
             lookup = dims[dim].select(business, surrogate)
-            fact = join_many_to_one(fact, lookup, [business], dim)
+            if dim in unique:
+                fact = fact.join(lookup, on=[business], how="left")
+            else:
+                fact = join_many_to_one(fact, lookup, [business], dim)
             found.add(surrogate)
     return fact.select(*[c for c in FACT_COLUMNS if c in found])
 

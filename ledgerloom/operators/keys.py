@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -44,6 +44,33 @@ def drop_exact_copies(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def row_marks(df: DataFrame) -> dict[str, Column]:
+    """128 bits that stand for a row, as two columns, and a hash of another kind to check them by.
+
+    Spark's hashes pass over nulls, so where they are is hashed too.
+    """
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    nulls = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in columns])
+    return {
+        "_mark_a": F.xxhash64(nulls, *columns),
+        "_mark_b": F.xxhash64(F.lit("second"), *columns, nulls),
+        "_mark_check": F.hash(nulls, *columns),
+    }
+
+
+def drop_marked_copies(df: DataFrame) -> DataFrame:
+    """One row of each set of rows that were equal when ``row_marks`` were added.
+
+    The other columns may have been made narrower since; only they and the marks are shuffled. Rows that share
+    their marks without having been equal raise an error.
+    """
+    marks = ["_mark_a", "_mark_b"]
+    columns = [f"`{c}`" for c in df.columns if c not in (*marks, "_mark_check")]
+    kept = df.groupBy(*marks, *columns).agg(F.min("_mark_check").alias("_low"), F.max("_mark_check").alias("_high"))
+    clash = F.raise_error(F.lit("two different rows have the same marks")).cast("boolean")
+    return kept.filter(F.when(F.col("_low") == F.col("_high"), True).otherwise(clash)).select(*columns)
+
+
 def require_unique(df: DataFrame, keys: Sequence[str], what: str) -> None:
     """Raise ``ValueError`` if a key is repeated, naming one such key."""
     found = duplicate_keys(df, keys).take(1)

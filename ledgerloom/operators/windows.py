@@ -9,7 +9,7 @@ twice: for the carries and for the result.
 ``slices`` lists functions from fine to coarse. Each maps its order value to a
 slice value and must never step backwards as the order value grows, such as the
 hour of a timestamp. One task sorts the rows of one slice of a group, so the
-finest slice decides how much a task holds. One function is enough while a group
+finest slice decides how much a task holds. ``quantile_slices`` draws bounds for any column. One function is enough while a group
 has few slices, as hours of a few years; with more, the carries are computed the
 same way over the coarser ones, at the price of another pass.
 """
@@ -37,6 +37,32 @@ def width_slices(*widths: int) -> list[Slice]:
     return [lambda value, width=width: F.floor(value / width) for width in widths]
 
 
+def quantile_slices(df: DataFrame, column: str, rows: int = 1_000_000, most: int = 512) -> list[Slice]:
+    """Slices of any column that can be sorted, also text, of about ``rows`` rows of ``df`` each.
+
+    Their bounds are values drawn once, those of the rows with the smallest hashes, so the draw is
+    repeatable. A value that many rows share gets a slice of its own; nulls are in the lowest one.
+    """
+    wanted = min(most, df.count() // rows + 1)
+    if wanted == 1:
+        return []
+    draw = df.where(F.col(column).isNotNull()).select(column, F.xxhash64(*df.columns).alias("_draw"))
+    drawn = draw.orderBy("_draw", column).limit(32 * wanted)
+    values = [r[0] for r in drawn.orderBy(column).collect()]
+    bounds = list(dict.fromkeys(values[i * len(values) // wanted] for i in range(1, wanted))) if values else []
+    if not bounds:
+        return []
+    # The value after a bound starts a slice too, so that a bound shared by many rows stands alone.
+    at_most = F.array(*[F.lit(b) for b in bounds])
+
+    def place(value: Column) -> Column:
+        below = F.size(F.filter(at_most, lambda b: b <= value))
+        above = F.size(F.filter(at_most, lambda b: b < value))
+        return F.when(value.isNull(), 0).otherwise(below + above)
+
+    return [place]
+
+
 def _sorted_by(columns: Sequence[str], descending: bool) -> list[Column]:
     if descending:
         return [F.col(c).desc_nulls_last() for c in columns]

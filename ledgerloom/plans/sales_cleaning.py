@@ -2,7 +2,7 @@
 
 A line is dropped by the first rule it fails, in this order: country missing,
 quantity or price not a number, quantity not positive, price not positive, date
-unreadable. Exact copies go first, before any text is trimmed.
+unreadable. Of exact copies, compared before any text is trimmed, one stays.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from ledgerloom.functions.text import (
     to_number,
     to_whole,
 )
-from ledgerloom.operators.keys import drop_exact_copies
+from ledgerloom.operators.keys import drop_marked_copies, row_marks
 from ledgerloom.operators.quality import Rule, attrition_report, first_failure, require_columns
 from ledgerloom.sources.csv import read_csv, write_csv
 
@@ -35,9 +35,9 @@ REQUIRED = (
 )
 TEXT_COLUMNS = ("customer_id", "product", "category", "country")
 
-# Revenue is added up as an exact decimal, so the sum does not depend on order.
-# A group with an amount beyond its range is added up as DOUBLE instead.
-_MONEY = "decimal(24,6)"
+# Revenue is added up as an exact decimal, and what rounding to it leaves of each amount beside it, so the
+# sum does not depend on order. A group with an amount beyond its range is added up as DOUBLE instead.
+_MONEY, _REST = "decimal(24,6)", "decimal(20,20)"
 
 
 def read_values(df: DataFrame, iso_day_first: bool = False) -> DataFrame:
@@ -70,7 +70,9 @@ def cleaning_rules() -> list[Rule]:
 def clean_sales(raw: DataFrame, iso_day_first: bool = False) -> DataFrame:
     """Clean, typed lines with ``total_amount``; other columns pass through."""
     require_columns(raw, REQUIRED)
-    read = read_values(drop_exact_copies(raw), iso_day_first)
+    # Copies agree in every rule, so rows are marked, read and filtered first; what is
+    # shuffled to find them are the rows that stay, with short values and marks instead of texts.
+    read = read_values(raw.withColumns(row_marks(raw)), iso_day_first)
     good = read.filter(first_failure(cleaning_rules(), "kept") == "kept")
     texts = {c: strip_text(F.col(c)) for c in TEXT_COLUMNS}
     for column in ("country", "category"):
@@ -81,10 +83,13 @@ def clean_sales(raw: DataFrame, iso_day_first: bool = False) -> DataFrame:
         "unit_price": F.col("_price"),
         "order_date": F.col("_date"),
     }
-    return good.select(
+    lines = good.select(
         *[values[c].alias(c) if c in values else F.col(f"`{c}`") for c in raw.columns],
-        F.col("_amount").alias("total_amount"),
+        "_mark_a",
+        "_mark_b",
+        "_mark_check",
     )
+    return drop_marked_copies(lines).withColumn("total_amount", F.col("quantity") * F.col("unit_price"))
 
 
 def cleaning_report(raw: DataFrame, iso_day_first: bool = False) -> DataFrame:
@@ -102,14 +107,17 @@ def sales_summary(clean: DataFrame) -> DataFrame:
     """
     by = ["country", "category"]
     exact = F.col("total_amount").try_cast(_MONEY)
+    rest = (F.col("total_amount") - exact.cast("double")).try_cast(_REST)
     # Lines of one order are folded first, so orders are counted, not collected.
     per_order = clean.dropna(subset=by).groupBy(*by, "order_id").agg(
         F.sum("quantity").alias("_units"),
         F.try_sum(exact).alias("_exact"),
+        F.sum(rest).alias("_rest"),
         F.sum("total_amount").alias("_rough"),
         F.count_if(exact.isNull()).alias("_beyond"),
     )
-    revenue = F.when(F.sum("_beyond") == 0, F.try_sum("_exact").cast("double"))
+    total = F.try_sum("_exact").cast("double") + F.sum("_rest").cast("double")
+    revenue = F.when(F.sum("_beyond") == 0, total)
     return (
         per_order.groupBy(*by)
         .agg(

@@ -56,6 +56,6 @@ def run(spark: SparkSession, sources: dict[str, str], store: Snapshots) -> int:
     dims = build_dimensions(raw["customers"], raw["products"], raw["stores"], sales)
     for name, dim in dims.items():
         folders[name], written[name] = store.write(name, dim)
-    folders["fact_sales"], fact = store.write("fact_sales", build_fact(sales, written))
+    folders["fact_sales"], fact = store.write("fact_sales", build_fact(sales, written, unique=dims))
     validate_model(fact, written)
     return store.publish(folders, base)

@@ -361,7 +361,9 @@ def attrition_report(t: Tables) -> DataFrame:
 @query(f"""
     SELECT country, category, COUNT(DISTINCT order_id) AS number_of_orders,
            CAST(SUM(quantity) AS BIGINT) AS units_sold,
-           CAST(SUM(CAST(total_amount AS DECIMAL(24,6))) AS DOUBLE) AS total_revenue
+           CAST(SUM(CAST(total_amount AS DECIMAL(24,6))) AS DOUBLE)
+               + CAST(SUM(CAST(total_amount - CAST(CAST(total_amount AS DECIMAL(24,6)) AS DOUBLE)
+                               AS DECIMAL(38,20))) AS DOUBLE) AS total_revenue
     FROM ({_CLEAN_SALES}) WHERE category IS NOT NULL GROUP BY country, category
     ORDER BY total_revenue DESC, country, category""")
 def sales_summary(t: Tables) -> DataFrame:

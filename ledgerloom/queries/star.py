@@ -110,7 +110,7 @@ def _dimensions(t: Tables, *names: str) -> dict[str, DataFrame]:
 def _model(t: Tables, *names: str) -> tuple[DataFrame, dict[str, DataFrame]]:
     """The fact with its dimensions; a report names the ones it uses."""
     dims = _dimensions(t, *names)
-    return build_fact(_sales(t), dims), dims
+    return build_fact(_sales(t), dims, unique=dims), dims
 
 
 # --- dimensions and fact ---------------------------------------------------------
@@ -236,7 +236,8 @@ def _checks_sql(sales: str, listed: str = "", damage: str = "") -> str:
 
 @query(_checks_sql(_GRAIN_SALES))
 def star_model_checks(t: Tables) -> DataFrame:
-    return model_checks(*_model(t))
+    fact, dims = _model(t)
+    return model_checks(written(fact, "fact_sales"), dims)
 
 
 # A candidate model with faults: repeated grain, products that left the list,
@@ -259,7 +260,8 @@ def star_model_faults(t: Tables) -> DataFrame:
         "product_id",
         "left_semi",
     )
-    return model_checks(build_fact(faulty, dims), dims)
+    # Keys of the shortened dimension are still unique.
+    return model_checks(written(build_fact(faulty, dims, unique=dims), "fact_sales"), dims)
 
 
 # --- reports ------------------------------------------------------------------------

@@ -142,3 +142,28 @@ def test_versions_without_a_readable_time(spark, rows):
     assert rows(versions.current_rows(resolved), "k", "v") == [("b", 4), ("c", 5)]
     assert rows(versions.ambiguous_rows(df, resolved, ["k"], "at"), "k", "v") == [("a", 1), ("a", 2)]
     assert rows(versions.latest_candidates(df, ["k"], "at"), "v") == [(1,), (2,), (4,), (5,)]
+
+
+def test_a_hot_group_is_cut_along_a_text_column(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    name = F.concat(F.md5(F.col("id").cast("string")), F.lit("-"), "id")
+    spark.range(4000).select(
+        F.when(F.col("id") % 10 == 0, F.lit("b")).otherwise(F.lit("hot")).alias("g"),
+        F.when(F.col("id") % 5 == 1, F.lit("same")).otherwise(name).alias("name"),
+        F.col("id").alias("i"),
+        (F.col("id") % 7).alias("v"),
+    ).write.parquet(path)
+    df = spark.read.parquet(path)
+    slices = windows.quantile_slices(df, "name", rows=250)
+    sizes = df.groupBy("g", slices[0](F.col("name")).alias("at")).agg(F.count("*").alias("n"), F.min("name").alias("low"), F.max("name").alias("high"))
+    cut = sorted(tuple(r) for r in sizes.where("g = 'hot'").collect())
+    assert len(cut) > 10 and max(n for _, _, n, low, high in cut if low != high) < 800
+    assert all(a[4] < b[3] for a, b in zip(cut, cut[1:], strict=False))  # slices follow each other
+    assert ("same", "same") in [c[3:] for c in cut]  # the frequent value alone
+    plain = windows.running_sum(df, ["g"], ["name", "i"], "v", "sum")
+    sliced = windows.running_sum(df, ["g"], ["name", "i"], "v", "sum", slices)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, sliced.collect()))
+    before = windows.previous_values(df, ["g"], ["name", "i"], ["v"], slices)
+    assert sorted(map(str, before.collect())) == sorted(map(str, windows.previous_values(df, ["g"], ["name", "i"], ["v"]).collect()))
+    assert "hashpartitioning(g" in sliced._jdf.queryExecution().executedPlan().toString()
+    assert windows.quantile_slices(df, "name") == [] and windows.quantile_slices(df.where("i < 0"), "name", rows=0 + 1) == []
