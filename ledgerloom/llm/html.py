@@ -2,15 +2,18 @@
 
 The page becomes a tree. Each block of text passes points for its length and
 commas to its ancestors, less the further away; a container's points are
-discounted by the share of its text that stands in links. The best container
-and those of its siblings that score well too are kept, in page order.
+discounted by the share of its text that stands in links. From the best one the way leads up, however far, as long as
+what a parent adds is mostly text outside links (beyond ``article`` and ``main`` it does not, and to the whole page only if the
+greater part of its text is there): so an article keeps all its sections. That container
+and those of its siblings that score well too are kept, with their headings, in page order.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 reader comments are known by element, role, class or id and take no part. A class or
 id is no more than a hint: an element with a name of an article beside it stays
 (``content has-sidebar``), and so does one that holds the article (``_spared``). If
-nothing is left, the page is read again with less regard to names. Lists and tables of
-links are dropped outside ``article`` and ``main`` only.
+nothing is left, the page is read again with less regard to names. A compound of a word that sections of an
+article may be named by, as ``related-work``, counts only if its other words are words of layout, as in ``related-posts``.
+Lists and tables of links are dropped outside the container, and in it before its first text.
 
 Edge cases: a null or empty page, or one without a scoring block, gives an empty
 text. Cut-off pages are read as far as they go: an unfinished tag is dropped, open
@@ -63,10 +66,23 @@ UNLIKELY = frozenset(
     "sponsored subscribe subscription toolbar widget widgets".split()
 )
 LIKELY = frozenset("article body content entry main post story text".split())
+# Those that may name a section of an article, in compounds with words that are not of layout.
+SOFT = frozenset(
+    "comment comments notice notices notification promotion recommended related replies reply respond share sharing social sponsor subscription".split()
+)
+LAYOUT = UNLIKELY | LIKELY | frozenset(
+    "area articles bar block bottom box btn button buttons card cards container count counts entries feed form group head heading icon icons "
+    "inner item items label left link links list media meta module news outer page panel posts right row section site "
+    "slot stories thread title top topics unit videos wrap wrapper".split()
+)
 
 TAG_POINTS = {"article": 25.0, "main": 25.0, "div": 5.0, "section": 5.0, "td": 3.0, "pre": 3.0, "blockquote": 3.0}
 NAMED_POINTS = 25.0
 SIBLING_SHARE = 0.2
+# Greatest share of links in what a parent adds to the best container.
+ADDED_LINKS = 0.25
+PAGE = ("#page", "html", "body")
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 LINK_LIST = 0.66
 
 TOKEN = re.compile(
@@ -131,7 +147,7 @@ def _judge(tag: str, attributes: str) -> tuple[bool, int, float]:
                     parts = NAME_PART.findall(word)
                     hinted = not LIKELY.isdisjoint(parts)
                     named |= hinted
-                    if not UNLIKELY.isdisjoint(parts):
+                    if _unlikely(parts):
                         unlikely = max(unlikely, 1 + (len(parts) == 1))
                     else:
                         likely |= hinted
@@ -139,6 +155,14 @@ def _judge(tag: str, attributes: str) -> tuple[bool, int, float]:
     return out, 0 if likely else unlikely, points
 
 
+def _unlikely(parts: list[str]) -> bool:
+    """Whether a name, cut at dashes, names something other than the article."""
+    found = UNLIKELY.intersection(parts)
+    if not found or not found <= SOFT:
+        return bool(found)
+    return all(p in LAYOUT or p.isdigit() or len(p) == 1 for p in parts)
+
+
 def _read(page: str, spared: frozenset[int] | None) -> tuple[_Tree, list[tuple[int, str]]]:
     """The tree, and the blocks of text in page order with the element each stands in.
 
@@ -281,7 +305,7 @@ def _best(tree: _Tree, blocks: list[tuple[int, str]]) -> str:
     reached = [False] * len(parent)
     for node, text in blocks:
         gain = 1.0 + text.count(",") + min(len(text) / 100.0, 3.0)
-        if tree.tag[node] in ("h1", "h2", "h3", "h4", "h5", "h6"):
+        if tree.tag[node] in HEADINGS:
             gain = min(gain, 1.0)
         # A paragraph's points go to what holds it; text that stands in a container stays there.
         up = parent[node] if tree.tag[node] not in TAG_POINTS and parent[node] >= 0 else node
@@ -302,26 +326,46 @@ def _best(tree: _Tree, blocks: list[tuple[int, str]]) -> str:
         return points[node] * (1.0 - linked[node] / chars[node]) if chars[node] else 0.0
 
     scores = {n: score(n) for n in range(len(parent)) if reached[n] and not tree.out[n]}
-    best = max(scores, key=lambda n: (scores[n], -n))
+    best = _raised(tree, chars, linked, max(scores, key=lambda n: (scores[n], -n)))
     # Siblings of the best container: as good in their way, or plain paragraphs with hardly a link.
     kept = [False] * len(parent)
     kept[best] = True
-    limit = max(SIBLING_SHARE * scores[best], 4.0)
+    limit = max(SIBLING_SHARE * scores.get(best, 0.0), 4.0)
     if parent[best] >= 0:
-        for node in range(parent[best] + 1, len(parent)):
-            if parent[node] == parent[best] and not tree.out[node] and chars[node]:
-                loose = tree.tag[node] == "p" and linked[node] <= 0.25 * chars[node]
-                kept[node] |= scores.get(node, 0.0) >= limit or loose
+        beside = [n for n in range(parent[best] + 1, len(parent)) if parent[n] == parent[best] and not tree.out[n] and chars[n]]
+        for node in beside:
+            loose = tree.tag[node] == "p" and linked[node] <= ADDED_LINKS * chars[node]
+            kept[node] |= scores.get(node, 0.0) >= limit or loose
+        for node, after in reversed(list(zip(beside, beside[1:], strict=False))):  # headings of what is kept
+            kept[node] |= kept[after] and tree.tag[node] in HEADINGS and linked[node] <= ADDED_LINKS * chars[node]
+    within = [False] * len(parent)
+    within[best] = tree.tag[best] not in PAGE
+    for node in range(1, len(parent)):
+        within[node] |= within[parent[node]] or tree.tag[node] in ("article", "main")
+        kept[node] = kept[node] or kept[parent[node]]
+    opening = next((n for n, _ in blocks if kept[n] and tree.linked[n] <= ADDED_LINKS * tree.chars[n] and tree.tag[n] not in HEADINGS), 0)
     dropped, inside = [False] * len(parent), [False] * len(parent)
     for node in range(1, len(parent)):
         up = parent[node]
-        kept[node] = kept[node] or kept[up]
         inside[node] = inside[up] or tree.tag[node] in ("article", "main")
-        menu = not inside[node] and links[node] > 1 and linked[node] > LINK_LIST * chars[node] and tree.tag[node] in ("ul", "ol", "dl", "table", "div", "section")
+        menu = links[node] > 1 and linked[node] > LINK_LIST * chars[node] and tree.tag[node] in ("ul", "ol", "dl", "table", "div", "section")
+        menu = menu and not inside[node] and not (within[node] and node > opening)
         dropped[node] = dropped[up] or (menu and node != best)
     return "\n\n".join(text for node, text in blocks if kept[node] and not dropped[node])
 
 
+def _raised(tree: _Tree, chars: list[int], linked: list[int], best: int) -> int:
+    """The outermost container that adds hardly a link to what the best one holds."""
+    while tree.tag[best] not in ("article", "main") and (up := tree.parent[best]) >= 0:
+        added, added_links = chars[up] - chars[best], linked[up] - linked[best]
+        if added_links > ADDED_LINKS * added or tree.out[up]:
+            break
+        if tree.tag[up] in PAGE and added - added_links < chars[best] - linked[best]:
+            break
+        best = up
+    return best
+
+
 def main_text(pages: DataFrame, html: str = "html") -> DataFrame:
     """``page_id, url`` with the article's ``text`` and its length in code points."""
 

@@ -77,6 +77,50 @@ def test_lists_of_links_within_the_article_stay(tag):
     assert "reference" not in extract(f"<body><{tag}>{menu}{ARTICLE}</{tag}></body>")
 
 
+def section(i, depth, words="Paragraph {i} of the text, long enough, with commas, to count for something."):
+    return "<div>" * depth + f"<h2>Heading {i}</h2><p>{words.format(i=i)}</p>" + "</div>" * depth
+
+
+@pytest.mark.parametrize("depth", [1, 2, 3, 6])
+@pytest.mark.parametrize("outer", ["<div id=x>{}</div>", "<div><div><div>{}</div></div></div>", "<table><tr><td>{}</td></tr></table>"])
+def test_an_article_of_plain_divs_keeps_all_sections(depth, outer):
+    links = "".join(f'<li><a href="{i}">link number {i}</a></li>' for i in range(30))
+    sections = "<h1>The title</h1>" + "".join(section(i, depth) for i in range(12))
+    references = "<h2>References</h2><ol>" + "".join(f"<li><a href={i}>reference {i}</a></li>" for i in range(5)) + "</ol>"
+    page = f"<body><div><ul>{links}</ul></div>{outer.format(sections + references)}<div><ul>{links}</ul></div></body>"
+    found = extract(page).split("\n\n")
+    assert [b for b in found if b.startswith("Paragraph")] == [f"Paragraph {i} of the text, long enough, with commas, to count for something." for i in range(12)]
+    assert found[0] == "The title" and sum(b.startswith("Heading") for b in found) == 12
+    assert [b for b in found if b.startswith("reference")] == [f"reference {i}" for i in range(5)] and not any("link" in b for b in found)
+
+
+@pytest.mark.parametrize("depth", [0, 1, 2])
+def test_a_short_section_beside_a_long_one_and_its_heading_stay(depth):
+    long = section(1, depth + 1, "Long {i}, " * 200)
+    page = f"<body><div id=x>{long}<h2>Closing</h2>{'<div>' * depth}<p>The end.</p>{'</div>' * depth}</div></body>"
+    assert extract(page).endswith("Closing\n\nThe end.") and extract(page).startswith("Heading 1\n\nLong 1")
+
+
+def test_sections_in_the_body_are_all_kept():
+    page = "<body>" + "".join(section(i, 4) for i in range(9)) + "</body>"
+    assert extract(page).count("Paragraph") == 9
+
+
+@pytest.mark.parametrize("name", ["related-work", "share-of-voice", "social-sciences", "comment-on-method", "notice-periods"])
+@pytest.mark.parametrize("outer", ["<article>{}</article>", "<div id=x>{}</div>"])
+def test_sections_named_by_their_topic_stay(name, outer):
+    page = outer.format(f"{ARTICLE}<section class={name}><h2>Of that</h2><p>Others, too, have worked on it.</p></section>")
+    assert extract(f"<body>{page}</body>").endswith("Of that\n\nOthers, too, have worked on it.")
+
+
+@pytest.mark.parametrize("name", ["related-posts", "share-buttons", "social-bar", "comment-list", "comment-12", "cookie-info", "ad-slot-3", "my-ads", "newsletter-box"])
+def test_parts_named_by_their_layout_go(name):
+    assert extract(f"<body><article>{ARTICLE}<div class={name}><p>Some, words of it.</p></div></article></body>") == ARTICLE_TEXT
+
+
+ARTICLE_TEXT = "One, two, three of the article.\n\nFour, five, six of it."
+
+
 def test_deep_and_long_pages():
     assert extract("<div>" * 50_000 + "x") == "x"
     assert extract("<p>a</p></b>" * 20_000).count("a") == 20_000
