@@ -1,9 +1,11 @@
 """Even shards by balanced label propagation.
 
 Documents with equal texts are linked. Linked documents start in shards drawn by a
-hash. In each of at most sixteen rounds a group's documents ask for the shard that holds most of the
-group, and as many move as the shard's quota of bytes lets in. Which of them move
-is drawn by a hash, so no task ranks them. At the end the unlinked documents, which
+hash. Large groups, of more than a sixty-fourth of a shard's quota of bytes, so that there are few of them, move in one round, the
+largest first: a group is given the shards that hold most of it, as few as its size needs, and running
+totals in hash order tell which of its documents go to which. Then, round by round, the other groups ask for the shard that
+holds most of them among those with room for the whole group, and as many groups move as the quotas let in, drawn by a hash, until no group
+asks or nothing moves any more. At the end the unlinked documents, which
 cut no edge wherever they are, are dealt out in hash order, large ones first, to fill
 each shard to the same number of bytes.
 
@@ -12,7 +14,7 @@ unlinked documents can make up for the groups' uneven sizes.
 
 Edge cases: a null text has no bytes, crc32 0 and no links; equal rows are placed
 one by one; an empty table gives an empty one; a group larger than a shard's quota
-fills several shards. Other columns are not read.
+fills whole shards and shares one with others. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -25,7 +27,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import written
 
-ROUNDS = 16
+# A large group has more than this share of a shard's bytes; the driver sees at most this many a shard.
+LARGE = 64
 OVERHEAD = 16
 STRIPE_ROWS = 50_000
 SPACE = 1 << 30
@@ -77,32 +80,77 @@ def quotas(asked: dict[tuple[int, int], int], load: list[int], quota: float) ->
     return share
 
 
-def propagate(linked: DataFrame, shards: int, quota: float, rounds: int = ROUNDS) -> DataFrame:
-    """``rid, mark, size, shard`` after the rounds, starting from shards drawn by a hash."""
-    state = written(linked.withColumn("shard", F.pmod(F.xxhash64("rid", F.lit(11)), F.lit(shards)).cast("int")), "state")
-    for round_ in range(rounds):
+def allot(sizes: dict[str, int], held: dict[tuple[str, int], int], shards: int, quota: float) -> dict[str, list[tuple[int, float]]]:
+    """Shards of each group, with the bytes that go there: as few as there can be, and those that hold most of it."""
+    room, out = [quota] * shards, {}
+    for mark in sorted(sizes, key=lambda m: (-sizes[m], m)):
+        left, out[mark] = float(sizes[mark]), []
+        while left > 0:
+            fitting = [j for j in range(shards) if room[j] >= left]
+            if fitting:  # the last shard of the group: where most of it is, then the fullest
+                best = max(fitting, key=lambda j: (held.get((mark, j), 0), -room[j], -j))
+            else:
+                best = max(range(shards), key=lambda j: (room[j], held.get((mark, j), 0), -j))
+            taken = left if fitting or room[best] <= 0 else room[best]
+            out[mark].append((best, taken))
+            room[best] -= taken
+            left -= taken
+    return out
+
+
+def _gathered(linked: DataFrame, sizes: dict[str, int], shards: int, quota: float, stripes: int) -> DataFrame:
+    """``rid, mark, size, shard`` of the large groups, each on the shards it is allotted."""
+    spark = linked.sparkSession
+    found = linked.groupBy("mark", "shard").agg(F.sum("size").alias("bytes")).collect()  # of large groups only
+    plan = allot(sizes, {(r["mark"], r["shard"]): r["bytes"] for r in found}, shards, quota)
+    rows = [(m, [j for j, _ in parts], list(itertools.accumulate(b for _, b in parts))[:-1]) for m, parts in plan.items()]
+    table = spark.createDataFrame(rows, "mark string, places array<int>, ends array<double>")
+    numbered = running_total(linked.drop("shard"), "size", stripes, 12, ["mark"])
+    middle = F.col("before") + F.col("size") / 2
+    at = F.size(F.filter("ends", lambda e: e <= middle))
+    return numbered.join(table, "mark").select("rid", "mark", "size", F.get("places", at).alias("shard"))
+
+
+def propagate(linked: DataFrame, shards: int, quota: float, stripes: int = 16) -> DataFrame:
+    """``rid, mark, size, shard`` when no group asks for another shard, starting from shards drawn by a hash."""
+    state = linked.withColumn("shard", F.pmod(F.xxhash64("rid", F.lit(11)), F.lit(shards)).cast("int"))
+    groups = written(linked.groupBy("mark").agg(F.sum("size").alias("all_bytes")), "totals")
+    large = {r["mark"]: r["all_bytes"] for r in groups.where(F.col("all_bytes") > quota / LARGE).collect()}
+    settled, loads = None, [0] * shards
+    if large:
+        marks = groups.where(F.col("all_bytes") > quota / LARGE).select("mark")
+        settled = written(_gathered(state.join(marks, "mark"), large, shards, quota, stripes), "gathered")
+        loads = _loads(settled, shards)
+        state = state.join(marks, "mark", "left_anti")
+    state = written(state.select("rid", "mark", "size", "shard"), "state")
+    idle = 0
+    for round_ in itertools.count():
         held = state.groupBy("mark", "shard").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
-        held = written(held, "held")
-        load = _loads(held.withColumnRenamed("bytes", "size"), shards)
-        open_shards = [j for j in range(shards) if load[j] < 0.995 * quota]
-        if not open_shards:
-            break
+        held = written(held.join(groups, "mark"), "held")
+        load = [a + b for a, b in zip(loads, _loads(held.withColumnRenamed("bytes", "size"), shards), strict=True)]
+        room = F.array(*[F.lit(float(quota - x)) for x in load])
+        fits = F.get(room, F.col("shard")) >= F.col("all_bytes") - F.col("bytes")
         order = F.struct("n", F.xxhash64("mark", "shard").alias("tie"), "shard")
-        best = held.where(F.col("shard").isin(open_shards)).groupBy("mark").agg(F.max(order).alias("best"))
-        wish = held.join(best, "mark").where(
-            (F.col("shard") != F.col("best.shard"))
-            & ((F.col("n") < F.col("best.n")) | ((F.col("n") == F.col("best.n")) & (F.xxhash64("mark", "shard") < F.col("best.tie"))))
-        )
+        best = held.where(fits).groupBy("mark").agg(F.max(order).alias("best"))
+        wish = held.join(best, "mark").where(F.col("shard") != F.col("best.shard"))
         wish = written(wish.select("mark", "shard", F.col("best.shard").alias("to"), "bytes"), "wishes")
         asked = {(r["shard"], r["to"]): r["bytes"] for r in wish.groupBy("shard", "to").agg(F.sum("bytes").alias("bytes")).collect()}
         if not asked:
             break
         share = quotas(asked, load, quota)
         let_in = F.array(*[F.lit(int(s * SPACE)) for s in share])
-        moved = state.join(wish.drop("bytes"), ["mark", "shard"], "left")
-        go = F.col("to").isNotNull() & (_draw(100 + round_) < F.get(let_in, F.col("to")))
-        state = written(moved.select("rid", "mark", "size", F.when(go, F.col("to")).otherwise(F.col("shard")).alias("shard")), "state")
-    return state
+        # A group moves as a whole.
+        drawn = F.pmod(F.xxhash64("mark", F.lit(100 + round_)), F.lit(SPACE)) < F.get(let_in, F.col("to"))
+        moving = written(wish.where(drawn).select("mark", "shard", "to"), "moving")
+        if moving.isEmpty():
+            idle += 1
+            if idle == 3:
+                break
+            continue
+        idle = 0
+        moved = state.join(moving, ["mark", "shard"], "left")
+        state = written(moved.select("rid", "mark", "size", F.coalesce("to", "shard").alias("shard")), "state")
+    return state if settled is None else state.unionByName(settled)
 
 
 def _loads(placed: DataFrame, shards: int) -> list[int]:
@@ -121,7 +169,7 @@ def _filled(rows: DataFrame, load: list[int], stripes: int) -> DataFrame:
     return running_total(rows, "size", stripes, 7).select("rid", "size", at.cast("int").alias("shard"))
 
 
-def place(docs: DataFrame, shards: int = 40, rounds: int = ROUNDS) -> DataFrame:
+def place(docs: DataFrame, shards: int = 40) -> DataFrame:
     """``doc_id, size, text_crc32, law, shard, slot, grown_shard`` of every row."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(
@@ -136,7 +184,7 @@ def place(docs: DataFrame, shards: int = 40, rounds: int = ROUNDS) -> DataFrame:
     groups = rows.where("mark is not null").groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark")
     groups = written(groups, "groups")
     slim = rows.select("rid", "mark", "size")
-    linked = propagate(slim.join(groups, "mark", "left_semi"), shards, quota, rounds)
+    linked = propagate(slim.join(groups, "mark", "left_semi"), shards, quota, _stripes(count))
 
     single = slim.join(groups, "mark", "left_anti").select("rid", "size")
     placed = [linked.select("rid", "size", "shard")]

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import pytest
@@ -49,7 +50,40 @@ def test_a_group_of_a_third_of_all_rows(documents):
     sizes = [sum(r["size"] for r in own) for own in by.values()]
     assert max(sizes) - min(sizes) < 0.1 * max(sizes)
     held = sorted((sum(r["doc_id"] < 1000 for r in own) for own in by.values()), reverse=True)
-    assert held[0] > 200  # far more than an even share
+    assert [n > 0 for n in held] == [True] * 3 + [False] * 3  # it has 2.1 times the bytes of a shard
+
+
+def test_two_large_groups_take_the_least_number_of_shards(documents):
+    rows = [(i, "a" * 500) for i in range(1200)]
+    rows += [(2000 + i, "b" * 704) for i in range(300)]
+    rows += [(3000 + i, f"{i:04d} " * (10 + i % 20)) for i in range(700)]
+    sizes = {"a": 1200 * 516, "b": 300 * 720}
+    total = sum(len(t) + 16 for _, t in rows)
+    by = lawful(sh.place(documents(rows), shards=40).collect(), 40, len(rows))
+    where = {"a": set(), "b": set()}
+    for shard, own in by.items():
+        for r in own:
+            if r["doc_id"] < 3000:
+                where["a" if r["doc_id"] < 2000 else "b"].add(shard)
+    for name, bytes_ in sizes.items():
+        assert len(where[name]) == -(-bytes_ * 40 // total)  # no placement cuts fewer edges without breaking a quota
+    loads = [sum(r["size"] for r in own) for own in by.values()]
+    assert len(where["a"] & where["b"]) <= 1 and max(loads) - min(loads) <= 2 * 720
+
+
+def test_groups_are_allotted_as_few_shards_as_they_need():
+    r = random.Random(3)
+    for _ in range(50):
+        shards, quota = r.randint(1, 8), 100.0
+        sizes, left = {}, shards * 100
+        while left > 20 and len(sizes) < 12:
+            sizes[f"g{len(sizes)}"] = n = r.randint(1, min(left, 350))
+            left -= n
+        held = {(m, j): r.randint(0, 50) for m in sizes for j in range(shards)}
+        plan = sh.allot(sizes, held, shards, quota)
+        loads = [sum(b for parts in plan.values() for k, b in parts if k == j) for j in range(shards)]
+        assert max(loads) <= quota + 1e-6 and all(abs(sum(b for _, b in plan[m]) - sizes[m]) < 1e-6 for m in sizes)
+        assert len(plan[max(sizes, key=lambda m: (sizes[m], m))]) <= -(-max(sizes.values()) // 100)
 
 
 def test_edges(documents):
