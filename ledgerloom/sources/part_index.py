@@ -72,19 +72,33 @@ def parts_of_keys(store: Snapshots, layer: str, schema: T.StructType, batch: Dat
     A part without an index is always named. The driver sees one range per part, as it sees the parts' folders.
     """
     index = f"{layer}_index"
-    indexed = {n.removeprefix(f"{index}/") for n in store.parts(index)}
-    bare = [n for n in (n.removeprefix(f"{layer}/") for n in store.parts(layer)) if n not in indexed]
+    folders = {n.removeprefix(f"{index}/"): f for n, f in store.parts(index).items()}
+    bare = [n for n in (n.removeprefix(f"{layer}/") for n in store.parts(layer)) if n not in folders]
+    near = near_parts(store, folders, schema, batch.select(*key).distinct(), key)
+    return bare + ([r["of_part"] for r in near.select("of_part").distinct().collect()] if near is not None else [])
+
+
+def near_parts(
+    store: Snapshots, folders: dict[str, str], schema: T.StructType, keys: DataFrame, key: Sequence[str]
+) -> DataFrame | None:
+    """Each row of ``keys`` with every part, ``of_part``, that may hold its key, by the index in these folders; None without any."""
     table = _schema(schema[key[0]].dataType)
-    ranges = store.read(index, table).select("of_part", "blocks", "low", "high").distinct().collect()
+
+    def read(chosen: Sequence[str]) -> DataFrame:
+        if not chosen:
+            return store.spark.createDataFrame([], table)
+        return store.spark.read.schema(table).parquet(*[f"{store.root}/{folders[n]}" for n in chosen])
+
+    ranges = read(list(folders)).select("of_part", "blocks", "low", "high").distinct().collect()
     if not ranges:
-        return bare
+        return None
     kinds = "struct<of_part:string,blocks:bigint,low:{0},high:{0}>".format(schema[key[0]].dataType.simpleString())
     spans = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in ("of_part", "blocks", "low", "high")]).cast(kinds) for r in ranges])
     first = F.col(key[0])
     near = F.filter(spans, lambda s: (s["low"] <= first) & (first <= s["high"]))
-    asked = batch.select(*key).distinct().select(*key, F.inline(near)).drop("low", "high")
+    asked = keys.select("*", F.inline(near)).drop("low", "high")
     asked = asked.withColumns({"block": _block(key, F.col("blocks")), "spots": _spots(key)})
     within = [r["of_part"] for r in asked.select("of_part").distinct().collect()]
-    bits = store.read(index, table, within).select("of_part", "block", "bits")
+    bits = read(within).select("of_part", "block", "bits")
     found = asked.join(bits, ["of_part", "block"]).where(F.forall("spots", lambda s: _is_set(F.col("bits"), s)))
-    return bare + [r["of_part"] for r in found.select("of_part").distinct().collect()]
+    return found.select(*keys.columns, "of_part")

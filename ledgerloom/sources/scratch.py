@@ -11,9 +11,18 @@ from ledgerloom.sources.parquet import write_and_read
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``, or one inside the warehouse where that is unset."""
+    """The folder in ``spark.checkpoint.dir``, or one inside the warehouse where that is unset.
+
+    On several machines a local warehouse will not do: what one writes the others would not find.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder.rstrip("/") if folder else f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    if folder:
+        return folder.rstrip("/")
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    local_storage = spark._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration()).getScheme() == "file"
+    if local_storage and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"set spark.checkpoint.dir: {folder} is a folder of each machine, not one that all share")
+    return folder
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

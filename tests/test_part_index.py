@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import incremental as inc
 from ledgerloom.plans.incremental_orders import check_core, core_near, core_orders, load_batch, load_initial
 from ledgerloom.sources.contracts import ORDER_LINES
+from ledgerloom.sources.part_checks import standing_violations, write_checks
 from ledgerloom.sources.part_index import parts_of_keys, write_index
 from ledgerloom.sources.run_log import RunLog
 from ledgerloom.sources.snapshots import Snapshots
@@ -112,3 +113,43 @@ def test_every_month_has_one_file_per_bucket(tmp_path, table, spark, store):
     for folder in store.parts("core").values():
         buckets = [p.name.split("_")[-1] for p in (tmp_path / "store" / folder).glob("part-*")]
         assert len(buckets) == len(set(buckets)) <= ORDER_LINES.buckets
+
+
+def counts(df):
+    return {r["rule"]: r["violations"] for r in df.collect()}
+
+
+def test_stored_checks_equal_checks_of_the_whole_core(spark, tmp_path, table, store):
+    log, r = RunLog(spark, str(tmp_path / "runs")), random.Random(7)
+    for i in range(5):
+        day = f"2026-0{r.randint(1, 4)}-1{i}"
+        lines = "".join(line(f"{r.randint(0, 25):02d}-0{r.randint(1, 3)}", day, r.randint(1, 9), f"2026-05-{i + 1:02d}") for _ in range(6))
+        load_batch(store, log, lambda lines=lines: table(HEADER + lines))
+        assert counts(standing_violations(store, "core", ORDER_LINES)) == counts(ORDER_LINES.table_violations(core_orders(store)))
+    check_core(store)
+
+
+def test_faults_that_got_into_parts_are_counted(spark, tmp_path, table):
+    store = Snapshots(spark, str(tmp_path / "store"))
+    month = F.date_format("order_date", "yyyy-MM")
+
+    def put(*lines):  # writes parts past all checks of a load
+        rows = ORDER_LINES.typed(table(HEADER + "".join(lines))).select(*ORDER_LINES.columns)
+        written = store.write_parts("core", rows, month, ORDER_LINES.key, ORDER_LINES.buckets)
+        index = write_index(store, "core", rows, month, ORDER_LINES.key)
+        gone = {n.replace("core/", "core_shared/"): None for n in written}
+        after = [{**store.parts(layer), **made} for layer, made in (("core", written), ("core_index", index))]
+        checks = write_checks(store, "core", ORDER_LINES, rows, month, *after)
+        store.publish({**gone, **written, **index, **checks})
+        assert counts(standing_violations(store, "core", ORDER_LINES)) == counts(ORDER_LINES.table_violations(core_orders(store)))
+
+    assert standing_violations(store, "core", ORDER_LINES) is not None
+    put(line("A", "2026-01-05"), line("A", "2026-01-06"), line("B", "2026-01-05", -1), line("C", "2026-02-05"))
+    put(line("B", "2026-03-05"), line("C", "2026-03-05"), line("A", "2026-03-05"), line("D", "2026-03-05", 0))
+    assert counts(standing_violations(store, "core", ORDER_LINES))["key_unique"] == 3
+    with pytest.raises(Exception, match="key_unique: 3"):
+        check_core(store)
+    put(line("E", "2026-01-05"))  # only C is repeated now
+    put(line("F", "2026-02-05"))
+    check_now = counts(standing_violations(store, "core", ORDER_LINES))
+    assert check_now["key_unique"] == 0 and check_now["quantity_positive"] == 1

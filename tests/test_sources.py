@@ -279,3 +279,12 @@ def test_run_log_keeps_the_state_of_every_run(spark, tmp_path):
     assert (state[bad]["status"], state[bad]["error_message"]) == ("FAILED", "broken batch")
     assert (state[open_run]["status"], state[open_run]["finished_at"]) == ("RUNNING", None)
     assert log.state().filter(~F.col("status").isin("RUNNING", "SUCCESS", "FAILED")).isEmpty()
+
+
+def test_a_folder_of_one_machine_is_refused_on_several(spark, monkeypatch):
+    from ledgerloom.sources import scratch
+
+    assert scratch.shared_folder(spark).endswith("/_scratch")
+    monkeypatch.setattr(type(spark.sparkContext), "master", "yarn", raising=False)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch.shared_folder(spark)
