@@ -33,7 +33,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     folder = f"{shared_folder(spark)}/ledgerloom-{name}-{uuid4().hex}"
     atexit.register(_remove, spark, folder)
-    return write_and_read(df, folder)
+    return write_and_read(df, folder, "zstd")
 
 
 def _remove(spark: SparkSession, folder: str) -> None:
