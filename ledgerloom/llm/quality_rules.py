@@ -105,7 +105,8 @@ RULES = (
     Rule("too_short", lambda m: m("n_words") < 10),
     Rule("repeated_windows", lambda m: 100 * m("n_repeat_words") > 20 * m("n_words")),
     Rule("symbols", lambda m: 100 * m("n_symbols") > 10 * m("n_words")),
-    Rule("repeated_lines", lambda m: 100 * m("n_dup_lines") > 50 * m("n_lines")),
+    # One or two repeated lines are no fault of a short text.
+    Rule("repeated_lines", lambda m: (m("n_dup_lines") >= 3) & (100 * m("n_dup_lines") > 30 * m("n_lines"))),
     Rule("long_words", lambda m: m("word_chars") > 30 * m("n_words")),
     Rule("capitals", lambda m: 100 * m("n_capitals") > 50 * m("word_chars")),
 )

@@ -59,7 +59,7 @@ measured AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
        NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR 100 * n_symbols > 10 * n_words
-            OR 100 * n_dup_lines > 50 * n_lines OR word_chars > 30 * n_words
+            OR (n_dup_lines >= 3 AND 100 * n_dup_lines > 30 * n_lines) OR word_chars > 30 * n_words
             OR 100 * n_capitals > 50 * word_chars) AS kept
 FROM measured
 """

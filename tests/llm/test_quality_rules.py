@@ -52,6 +52,16 @@ def test_order_never_changes_the_verdict(documents):
     assert q.keep(docs, q.RULES).columns == docs.columns
 
 
+def test_lines_that_repeat_reject_a_text_from_three_on(documents):
+    lines = [f"line{i} says this{i}" for i in range(9)]
+    two = [*lines, lines[0], "apart from them", lines[1]]
+    three = [*two, "and once more", lines[2]]
+    half = [x for i, line in enumerate(lines[:4]) for x in (line, f"between {i} {i}", line)]
+    rows = [(i, "\n".join(x)) for i, x in enumerate((two, two[3:], three, three[4:], half))]
+    kept = {r["doc_id"]: (r["n_dup_lines"], r["kept"]) for r in q.judge(documents(rows), q.RULES).collect()}
+    assert kept == {0: (2, True), 1: (0, True), 2: (3, True), 3: (0, True), 4: (4, False)}
+
+
 def test_most_rejections_per_second_first():
     cheap, dear, idle = q.Rule("cheap", None), q.Rule("dear", None), q.Rule("idle", None)
     order = q.cascade([q.Profile(dear, 0.5, 10.0), q.Profile(idle, 0.0, 0.1), q.Profile(cheap, 0.2, 0.1)])
