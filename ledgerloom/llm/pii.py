@@ -124,12 +124,11 @@ def runs(text: str) -> list[list[tuple[int, int]]]:
 
 def shape(word: str) -> str:
     """The word with runs of letters as x and of digits as d, without closing punctuation."""
-    word = word.rstrip(".,;:!?\"'")[:200]
-    return re.sub(r"[0-9]+", "d", re.sub(r"[^\W\d_]+", "x", word))[:24]
+    return re.sub(r"[0-9]+", "d", re.sub(r"[^\W\d_]+", "x", word.rstrip(".,;:!?\"'")))
 
 
 def _amount(word: str) -> str:
-    n = len(_digits(word[:200]))
+    n = len(_digits(word))
     return str(n) if n < 5 else "5-8" if n < 9 else "9-11" if n < 12 else "12-19" if n < 20 else "20+"
 
 
@@ -342,10 +341,9 @@ def added_spans(field: Field, texts: Sequence[str], base: Sequence[list[Span]])
             while end < len(run) and LABELS[path[end]] == f"I-{kind}":
                 end += 1
             start = run[t][0]
-            found = INSIDE[kind].search(texts[i][start : run[end - 1][1]])
-            if found and _checked(kind, found[0]):
+            for found in INSIDE[kind].finditer(texts[i][start : run[end - 1][1]]):
                 span = (start + found.start(), start + found.end(), kind)
-                if not any(s[0] < span[1] and span[0] < s[1] for s in taken[i]):
+                if _checked(kind, found[0]) and not any(s[0] < span[1] and span[0] < s[1] for s in taken[i]):
                     out[i].append(span)
             t = end
     return out
