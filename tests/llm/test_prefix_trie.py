@@ -70,7 +70,7 @@ def test_equals_all_openings(spark, monkeypatch, fan, run_rows, starts):
     monkeypatch.setattr(p, "STARTS", starts)
     monkeypatch.setattr(p, "LAST_BLOCK", 3 if len(starts) < 4 else p.LAST_BLOCK)
     configure(spark)
-    rebuilt = made(120, 9, "ab", 1) | {5000 + c: ts for c, ts in made(60, 4, "abcde", 2).items()}
+    rebuilt = made(120, 9, "ab", 1) | {5000 + c: ts for c, ts in made(60, 4, "vwxyz", 2).items()}
     assert result(p.trie(*given(spark, rebuilt), fan=fan, run_rows=run_rows)) == brute(rebuilt)
 
 
