@@ -15,7 +15,7 @@ from ledgerloom.operators import incremental as inc
 from ledgerloom.operators.versions import latest_version
 from ledgerloom.queries.registry import Tables, as_types, money, query
 from ledgerloom.sources.contracts import ORDER_LINES
-from ledgerloom.sources.run_log import FAILED, RUNNING, SUCCESS, run_state
+from ledgerloom.sources.run_log import FAILED, RUN_EVENTS, RUNNING, SUCCESS, run_state
 
 _KEY = ["order_id", "line_id"]
 _VERSION = "updated_at"
@@ -257,3 +257,37 @@ def newest_run_state(t: Tables) -> DataFrame:
         "event_id",
     )
     return run_state(events, version="event_at", ties=["event_id"]).drop("event_id")
+
+
+@query(f"""
+    WITH log AS (
+        SELECT CAST(event_id AS VARCHAR) AS run_id, ts AS started_at,
+               CASE WHEN event_type IN ('error', 'purchase', 'view') THEN ts END AS finished_at,
+               CASE event_type WHEN 'error' THEN '{FAILED}' WHEN 'purchase' THEN '{SUCCESS}'
+                    WHEN 'signup' THEN NULL WHEN 'click' THEN '{RUNNING}'
+                    ELSE 'a status that is far too long' END AS status
+        FROM events)
+    SELECT 'status_known' AS rule, COUNT(*) FILTER (status NOT IN ('{RUNNING}', '{SUCCESS}', '{FAILED}'))
+               AS violations FROM log
+    UNION ALL SELECT 'finished_if_closed',
+        COUNT(*) FILTER ((status = '{RUNNING}') <> (finished_at IS NULL)) FROM log
+    UNION ALL SELECT 'status_not_null', COUNT(*) FILTER (status IS NULL) FROM log
+    UNION ALL SELECT 'status_length', COUNT(*) FILTER (length(status) > 20) FROM log
+    UNION ALL SELECT 'run_id_not_null', COUNT(*) FILTER (run_id IS NULL) FROM log
+    UNION ALL SELECT 'started_at_not_null', COUNT(*) FILTER (started_at IS NULL) FROM log
+    UNION ALL SELECT 'key_unique', COUNT(*) FROM (SELECT 1 FROM log GROUP BY run_id HAVING COUNT(*) > 1)
+    UNION ALL SELECT r, 0 FROM (VALUES ('event_number_not_null'), ('rows_not_negative')) v(r)""")
+def run_log_violations(t: Tables) -> DataFrame:
+    """User events read as a run log with faults: unknown and missing states, and open runs that are finished."""
+    kind = F.col("event_type")
+    status = F.when(kind == "error", FAILED).when(kind == "purchase", SUCCESS).when(kind == "click", RUNNING)
+    log = t.events.select(
+        F.col("event_id").cast("string").alias("run_id"),
+        F.lit(1).alias("event_number"),
+        F.col("ts").alias("started_at"),
+        F.when(kind.isin("error", "purchase", "view"), F.col("ts")).alias("finished_at"),
+        status.when(kind != "signup", "a status that is far too long").alias("status"),
+        F.lit(0).cast("long").alias("staged_rows"),
+        F.lit(0).cast("long").alias("affected_rows"),
+    )
+    return RUN_EVENTS.table_violations(log)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.operators.versions import latest_version
+from ledgerloom.sources.contracts import TableContract
 
 RUNNING, SUCCESS, FAILED = "RUNNING", "SUCCESS", "FAILED"
 
@@ -28,6 +29,20 @@ _EVENTS = T.StructType(
     ]
 )
 
+# What the events promise; a run is closed by its second event.
+RUN_EVENTS = TableContract(
+    name="run log",
+    schema=_EVENTS,
+    key=("run_id", "event_number"),
+    required=("run_id", "event_number", "started_at", "status"),
+    checks={
+        "status_known": f"status IN ('{RUNNING}', '{SUCCESS}', '{FAILED}')",
+        "finished_if_closed": f"(status = '{RUNNING}') = (finished_at IS NULL)",
+        "rows_not_negative": "staged_rows >= 0 AND affected_rows >= 0",
+    },
+    max_lengths={"status": 20},
+)
+
 
 def _now() -> datetime:
     return datetime.now(UTC).replace(tzinfo=None)
@@ -95,5 +110,9 @@ class RunLog:
                 raise
             return self.spark.createDataFrame([], _EVENTS)
 
+    def check(self) -> None:
+        """Raise if an event breaks the contract of the log."""
+        RUN_EVENTS.require_table(self.events())
+
     def state(self) -> DataFrame:
         return run_state(self.events()).drop("event_number")

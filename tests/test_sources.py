@@ -279,6 +279,10 @@ def test_run_log_keeps_the_state_of_every_run(spark, tmp_path):
     assert (state[bad]["status"], state[bad]["error_message"]) == ("FAILED", "broken batch")
     assert (state[open_run]["status"], state[open_run]["finished_at"]) == ("RUNNING", None)
     assert log.state().filter(~F.col("status").isin("RUNNING", "SUCCESS", "FAILED")).isEmpty()
+    log.check()
+    log._append("x", 1, None, None, "PAUSED", None, None, None)
+    with pytest.raises(RuleViolation, match="status_known: 1"):
+        log.check()
 
 
 def test_a_folder_of_one_machine_is_refused_on_several(spark, monkeypatch):
