@@ -288,13 +288,11 @@ def test_run_log_keeps_the_state_of_every_run(spark, tmp_path):
 def test_a_folder_of_one_machine_is_refused_on_several(spark, monkeypatch):
     from ledgerloom.sources import scratch
 
-    class Unset:
-        @staticmethod
-        def get(name, default=None):
-            return default if name == "spark.checkpoint.dir" else "file:/tmp/warehouse"
+    def get(self, name, default=None):
+        return default if name == "spark.checkpoint.dir" else "file:/tmp/warehouse"
 
-    monkeypatch.setattr(type(spark), "conf", Unset)
+    monkeypatch.setattr(type(spark.conf), "get", get)
     assert scratch.shared_folder(spark) == "file:/tmp/warehouse/_scratch"
-    monkeypatch.setattr(type(spark.sparkContext), "master", "yarn", raising=False)
+    monkeypatch.setattr(spark.sparkContext, "master", "yarn")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch.shared_folder(spark)
