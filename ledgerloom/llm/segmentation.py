@@ -11,6 +11,8 @@ from. The best region yields the next path; what is left of it goes back.
 No piece crosses the start of a run of blanks, so the lattice is a chain of units
 (a word with the blanks before it). The lattice of a unit is worked out once per task
 and met again by its text; paths walk through all units of a batch of texts together.
+Probabilities are kept as logarithms, that of leaving a path at a decision as the sum
+of the other arcs, so no decision is too unlikely to be counted, whatever ``alpha``.
 Noise depends on the row's id, its text and the seed alone.
 
 Each path comes with an inclusion score, the probability that its noisy value exceeds
@@ -34,13 +36,15 @@ from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLANK = "▁"
 ESCAPED = "\ud800"  # stands for a literal U+2581; valid text holds no lone surrogate
-MOST_ARCS = 12_000_000
+MOST_ARCS = 8_000_000
+# Texts that are sampled together: so many, and so many characters unless one alone is longer.
+SLICE_ROWS, SLICE_CHARS = 250, 1_000_000
 UNIT = re.compile(f"{BLANK}*[^{BLANK}\n\t]+|{BLANK}+|[\n\t]")
 # Where no piece goes on from a letter to another kind of character, units end there too.
 LETTER = r"[^\W\d_]"
@@ -80,8 +84,17 @@ def _slots(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return mixed >> _U64(42), (mixed >> _U64(20)) & _U64((1 << 22) - 1)
 
 
+def log_weights(ids: np.ndarray, scores: np.ndarray) -> np.ndarray:
+    """Log-weights of pieces: their scores, or Zipf's law in the order of ids where the scores are whole numbers.
+
+    The scores of a unigram model are log-probabilities; those of a BPE model only
+    count its merges.
+    """
+    return -np.log(ids + 1.0) if (scores == np.round(scores)).all() else scores
+
+
 def vocabulary(model_file: str) -> Vocabulary:
-    """Read a SentencePiece model. Its pieces are weighted by Zipf's law in the order of their ids."""
+    """Read a SentencePiece model; ``log_weights`` weighs its pieces, the bytes less than any of them."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=model_file)
@@ -103,6 +116,8 @@ def vocabulary(model_file: str) -> Vocabulary:
     hashes = np.array([_hash(t) for t in texts], dtype=np.uint64)
     order = np.argsort(hashes)
     ids = np.array(ids, dtype=np.int64)[order]
+    weights = log_weights(ids, np.array([model.get_score(int(i)) for i in ids], dtype=np.float64))
+    byte_weight = min(-np.log(n + 1.0), float(weights.min(initial=0.0)))
     onward = re.compile(rf"{LETTER}(?!{LETTER})[^{BLANK}]")
     unit = UNIT if any(onward.search(t) for t in texts) else FINE_UNIT
     hashes = hashes[order]
@@ -116,7 +131,7 @@ def vocabulary(model_file: str) -> Vocabulary:
         raise ValueError("pieces share both slots")
     letters, ends = np.frombuffer(b"".join(spelt), dtype=np.uint8), np.cumsum([len(b) for b in spelt])
     return Vocabulary(
-        letters, ends, hashes, ids, -np.log(ids + 1.0), byte_ids, -np.log(n + 1.0), max(map(len, texts)), unit, by_head, by_tail
+        letters, ends, hashes, ids, weights, byte_ids, byte_weight, max(map(len, texts)), unit, by_head, by_tail
     )
 
 
@@ -162,11 +177,11 @@ class _Numbers(dict):
 
 
 class Lattices:
-    """The lattices of units: per node its arcs, per arc its piece, end, probability and running sum."""
+    """The lattices of units: per node its arcs, per arc its piece, end, running sum, and logs of taking and of not taking it."""
 
     def __init__(self, words: Vocabulary, alpha: float) -> None:
         self.words = words
-        self.weights, self.byte_weight = np.exp(alpha * words.weights), np.exp(3 * alpha * words.byte_weight)
+        self.weights, self.byte_weight = alpha * words.weights, 3 * alpha * words.byte_weight
         self.reset()
 
     def reset(self) -> None:
@@ -174,7 +189,7 @@ class Lattices:
         self.root = _Grown(np.int64)
         self.first, self.count = _Grown(np.int64), _Grown(np.int32)
         self.piece, self.to = _Grown(np.int32), _Grown(np.int32)
-        self.log, self.sum = _Grown(np.float32), _Grown(np.float32)
+        self.log, self.leave, self.sum = _Grown(np.float32), _Grown(np.float32), _Grown(np.float32)
 
     def roots(self, found: Iterable[str], count: int = -1) -> np.ndarray:
         """The first node of each unit; new units are worked out."""
@@ -182,70 +197,79 @@ class Lattices:
             self.reset()
         number = np.fromiter(map(self.numbers.__getitem__, found), dtype=np.int64, count=count)
         new, done = self.numbers.new, self.root.size
-        order = sorted(range(len(new)), key=lambda i: len(new[i]))
+        sizes = np.fromiter(map(len, new), dtype=np.int64, count=len(new))
+        order = np.argsort(sizes, kind="stable")
         self.root.add(np.zeros(len(new), dtype=np.int64))
-        at = 0
-        while at < len(order):
-            length = len(new[order[at]])
-            end = at
-            while end < len(order) and len(new[order[end]]) == length and (end - at) * length < 16_000:
-                end += 1
-            group = order[at:end]
-            base = self._build([new[i] for i in group], length)
-            self.root.data[done + np.array(group)] = base + np.arange(len(group)) * length
-            at = end
+        cuts = np.flatnonzero(np.diff(sizes[order])) + 1
+        for same in np.split(order, cuts) if len(new) else []:
+            length = int(sizes[same[0]])
+            step = max(1, 16_000 // length)
+            for at in range(0, len(same), step):
+                group = same[at : at + step]
+                base = self._build([new[i] for i in group], length)
+                self.root.data[done + group] = base + np.arange(len(group))
         new.clear()
         return self.root.data[number]
 
     def _build(self, group: list[str], length: int) -> int:
-        """Add the lattices of units of one length, one after another; returns the first one's first node."""
+        """Add the lattices of units of one length; returns the first one's first node, the others' follow it.
+
+        Nodes are numbered place by place, so that the units at one place lie together.
+        """
         words, n = self.words, len(group)
         points = np.frombuffer("".join(group).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).reshape(n, length)
-        points = points.astype(np.uint64)
+        points = np.ascontiguousarray(points.T).astype(np.uint64)
         longest = min(words.longest, length)
-        # By unit, place and falling size, which is the order of the arcs.
-        weight = np.zeros((n, length, longest))
-        piece = np.full((n, length, longest), -1, dtype=np.int32)
-        value = np.zeros((n, length), dtype=np.uint64)
+        # By place, unit and falling size, which is the order of the arcs.
+        weight = np.full((length, n, longest), -np.inf)
+        piece = np.full((length, n, longest), -1, dtype=np.int32)
+        value = np.zeros((length, n), dtype=np.uint64)
         for size in range(1, longest + 1):
             width = length - size + 1
-            value = value[:, :width] * _U64(0x100000001B3) + points[:, size - 1 :] + _U64(1)
+            value = value[:width] * _U64(0x100000001B3) + points[size - 1 :] + _U64(1)
             found = words.find(value)
-            row, col = np.nonzero(found >= 0)
-            near = found[row, col]
-            weight[row, col, longest - size] = self.weights[near]
-            piece[row, col, longest - size] = words.ids[near]
+            place, unit = np.nonzero(found >= 0)
+            near = found[place, unit]
+            weight[place, unit, longest - size] = self.weights[near]
+            piece[place, unit, longest - size] = words.ids[near]
         # A character without a piece is spelt in bytes: one arc, marked by a number below -1.
         spelt = piece[:, :, -1] < 0
         piece[:, :, -1][spelt] = -2 - points.astype(np.int64)[spelt]
         weight[:, :, -1][spelt] = self.byte_weight
-        # Sums over all ways to the end, scaled at each place so that long units stay in range.
-        rest = np.zeros((n, length + longest))
-        rest[:, length] = 1.0
+        # Logs of the sums over all ways to the end.
+        rest = np.full((length + longest, n), -np.inf)
+        rest[length] = 0.0
         for i in range(length - 1, -1, -1):
-            ahead = rest[:, i + 1 : i + longest + 1][:, ::-1]
-            weight[:, i] *= ahead
-            total = weight[:, i].sum(axis=1)
-            weight[:, i] /= total[:, None]
-            rest[:, i] = total
-            if i % 8 == 0:
-                rest[:, i : i + longest] /= total[:, None]
-        at = np.flatnonzero(weight)
-        q = weight.ravel()[at]
+            way = weight[i]
+            way += rest[i + 1 : i + longest + 1][::-1].T
+            top = way.max(axis=1)
+            way -= top[:, None]
+            total = np.log(np.exp(way).sum(axis=1))
+            way -= total[:, None]
+            rest[i] = top + total
+        at = np.flatnonzero(weight > -np.inf)
+        log = weight.ravel()[at]
+        q = np.exp(log)
         node, back = np.divmod(at, longest)
         counts = np.bincount(node, minlength=n * length)
         ends = np.cumsum(counts)
+        # An arc over one half is known by the sum of the others, which does not round to nothing.
+        main = q > 0.5
+        others = np.repeat(np.logaddexp.reduceat(np.where(main, -np.inf, log), ends - counts), counts)
+        leave = np.where(main, others, np.log1p(-np.minimum(q, 0.5)))
+        log[main] = np.log1p(-np.exp(others[main]))
         running = np.cumsum(q)
         running -= np.repeat(np.concatenate([[0.0], running])[ends - counts], counts)
         running = np.minimum(running, 1.0 - 2.0**-24)  # only a node's last arc reaches 1, also when rounded
         running[ends - 1] = 1.0
         base = self.first.size
-        goal = node + longest - back
-        self.to.add(np.where(goal // length == node // length, base + goal, -1).astype(np.int32))
+        goal = node + (longest - back) * n
+        self.to.add(np.where(goal < n * length, base + goal, -1).astype(np.int32))
         self.piece.add(piece.ravel()[at])
         self.first.add(self.log.size + ends - counts)
         self.count.add(counts.astype(np.int32))
-        self.log.add(np.where(np.repeat(counts, counts) == 1, 0.0, np.log(q)))
+        self.log.add(log)
+        self.leave.add(leave)
         self.sum.add(running)
         return base
 
@@ -321,57 +345,45 @@ class _Region(NamedTuple):
     at: np.ndarray
     mass: np.ndarray  # log-probability of leaving at each
 
+    @property
+    def total(self) -> float:
+        top = float(self.mass.max())
+        return top + math.log(float(np.exp(self.mass - top).sum()))
 
-REACH = 48
-NEVER = 40.0
 
+class _Tail(NamedTuple):
+    """The same for all decisions from one on, which are listed once the tail is the best."""
 
-def _leaving(lattices: Lattices, paths: list[_Path]) -> list[_Region]:
-    """All ways to leave each path within its region; at its first decision some arcs are barred.
+    path: _Path
+    start: int
+    total: float
 
-    Ways less likely by e^-40 than the likeliest are never drawn and left out. So only
-    the decisions near the start matter, and are looked at together for all paths.
-    """
-    logs = np.zeros((len(paths), REACH + 1))
-    for i, path in enumerate(paths):
-        near = path.logs[path.start : path.start + REACH + 1]
-        logs[i, : len(near)] = near
-    ahead = np.cumsum(logs, axis=1) - logs
-    with np.errstate(divide="ignore"):
-        mass = (ahead + np.log(-np.expm1(logs)))[:, :REACH]
-    for i, path in enumerate(paths):
-        if path.barred and len(path.logs):
-            mass[i, 0] = _barred_mass(lattices, path)
-    best = mass.max(axis=1)
-    likely = mass > np.maximum(best - NEVER, -1e300)[:, None]
-    row, at = np.nonzero(likely)
-    cuts = np.searchsorted(row, np.arange(len(paths) + 1))
-    near, whole = mass[row, at], ahead[:, REACH] < best - NEVER
-    out = []
-    for i, path in enumerate(paths):
-        own = slice(cuts[i], cuts[i + 1])
-        place, value = at[own] + path.start, near[own]
-        if not whole[i] and path.start + REACH < len(path.logs):
-            rest = path.logs[path.start :].astype(np.float64)
-            with np.errstate(divide="ignore"):
-                far = np.cumsum(rest) - rest + np.log(-np.expm1(rest))
-            far[0] = mass[i, 0]
-            place = np.flatnonzero(far > max(far.max() - NEVER, -1e300))
-            place, value = place + path.start, far[place]
-        before = float(path.logs[: path.start].sum()) if path.start else 0.0
-        out.append(_Region(path, place, value + before))
-    return out
+
+# Decisions of a path that are listed at once; later ones are seldom reached.
+REACH = 48
+
+
+def _listed(lattices: Lattices, path: _Path, start: int, end: int) -> _Region:
+    """The ways to leave a path at the decisions from ``start`` to before ``end``; at its first one some arcs are barred."""
+    logs = path.logs[start:end].astype(np.float64)
+    mass = np.cumsum(logs) - logs + path.logs[:start].sum(dtype=np.float64)
+    first = mass[:1].copy()
+    mass += lattices.leave.data[path.arcs[start:end]]
+    if path.barred and start == path.start:
+        mass[:1] = first + np.logaddexp.reduce(lattices.log.data[_choices(lattices, path, start)], initial=-np.inf)
+    at = np.flatnonzero(mass > -np.inf)
+    return _Region(path, at + start, mass[at])
 
 
-def _barred_mass(lattices: Lattices, path: _Path) -> float:
-    """Log-probability of the arcs at a path's first decision that are neither barred nor its own."""
-    arcs = _choices(lattices, path, path.start)
-    return math.log(float(np.exp(lattices.log.data[arcs]).sum())) if len(arcs) else -math.inf
+def _tail(path: _Path, start: int) -> _Tail | None:
+    """All ways to leave a path after its first decision, from ``start`` on: those that follow it to there but not to its end."""
+    rest = float(path.logs[start:].sum(dtype=np.float64))
+    return _Tail(path, start, float(path.logs[:start].sum(dtype=np.float64)) + math.log(-math.expm1(rest))) if rest < 0.0 else None
 
 
 def _choices(lattices: Lattices, path: _Path, decision: int) -> np.ndarray:
     """Arcs by which the path can be left at a decision."""
-    arc = path.arcs[decision]
+    arc = int(path.arcs[decision])
     ends = lattices.sum.data
     low = arc
     while low > 0 and ends[low - 1] < 1.0:
@@ -379,9 +391,8 @@ def _choices(lattices: Lattices, path: _Path, decision: int) -> np.ndarray:
     high = arc
     while ends[high] < 1.0:
         high += 1
-    out = np.arange(low, high + 1)
-    out = out[out != arc]
-    return out[~np.isin(out, path.barred)] if decision == path.start and path.barred else out
+    gone = {arc, *path.barred} if decision == path.start else {arc}
+    return np.array([a for a in range(low, high + 1) if a not in gone], dtype=np.int64)
 
 
 class Sample(NamedTuple):
@@ -396,7 +407,7 @@ class _Search:
 
     def __init__(self, lattices: Lattices, key: int) -> None:
         self.lattices, self.key = lattices, key
-        self.queue: list[tuple[float, int, _Region]] = []
+        self.queue: list[tuple[float, int, _Region | _Tail]] = []
         self.paths: list[_Path] = []
         self.drawn = 0
 
@@ -408,29 +419,33 @@ class _Search:
         x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & _WORD
         return (((x ^ (x >> 31)) >> 11) + 0.5) * 2.0**-53
 
-    def push(self, region: _Region, limit: float) -> None:
-        if len(region.at):
-            top = float(region.mass.max())
-            mass = top + math.log(float(np.exp(region.mass - top).sum()))
-            heapq.heappush(self.queue, (-_below(mass, self.uniform(), limit), self.drawn, region))
+    def push(self, region: _Region | _Tail, limit: float) -> None:
+        heapq.heappush(self.queue, (-_below(region.total, self.uniform(), limit), self.drawn, region))
 
-    def emit(self, region: _Region) -> None:
+    def emit(self, path: _Path) -> None:
         """Take in a new path, with the region of all ways to leave it."""
-        self.paths.append(region.path)
-        self.push(region, region.path.value)
+        self.paths.append(path)
+        near = _listed(self.lattices, path, path.start, path.start + REACH)
+        if len(near.at):
+            self.push(near, path.value)
+        if tail := _tail(path, path.start + REACH):
+            self.push(tail, path.value)
 
     def leave(self) -> tuple[_Path, int, int, float] | None:
         """Take the best region: the path to follow, the decision to leave it at, the arc to take and the value."""
         if not self.queue:
             return None
         value, _, region = heapq.heappop(self.queue)
+        if isinstance(region, _Tail):
+            region = _listed(self.lattices, region.path, region.start, len(region.path.arcs))
         weights = np.cumsum(np.exp(region.mass - region.mass.max()))
         i = min(int(np.searchsorted(weights, self.uniform() * weights[-1])), len(weights) - 1)
         decision = int(region.at[i])
-        rest = np.arange(len(region.at)) != i
-        self.push(_Region(region.path, region.at[rest], region.mass[rest]), -value)
+        if len(region.at) > 1:
+            self.push(_Region(region.path, np.delete(region.at, i), np.delete(region.mass, i)), -value)
         arcs = _choices(self.lattices, region.path, decision)
-        weights = np.cumsum(np.exp(self.lattices.log.data[arcs]))
+        logs = self.lattices.log.data[arcs]
+        weights = np.cumsum(np.exp(logs - logs.max(), dtype=np.float64))
         arc = arcs[min(int(np.searchsorted(weights, self.uniform() * weights[-1])), len(arcs) - 1)]
         return region.path, decision, int(arc), -value
 
@@ -459,12 +474,9 @@ def sample(lattices: Lattices, texts: list[str], keys: np.ndarray, k: int) -> li
     arcs, unit, bounds = walked(every, np.zeros(len(texts), dtype=np.int64), 0)
     logs = lattices.log.data
     all_logs = logs[arcs]
-    paths = []
     for i, s in enumerate(searches):
         own = slice(bounds[i], bounds[i + 1])
-        paths.append(_Path(arcs[own], unit[own], all_logs[own], 0, (), _gumbel(s.uniform())))
-    for s, region in zip(searches, _leaving(lattices, paths), strict=True):
-        s.emit(region)
+        s.emit(_Path(arcs[own], unit[own], all_logs[own], 0, (), _gumbel(s.uniform())))
     for turn in range(1, k):
         going = [(i, left) for i, s in enumerate(searches) if (left := s.leave())]
         if not going:
@@ -478,15 +490,12 @@ def sample(lattices: Lattices, texts: list[str], keys: np.ndarray, k: int) -> li
         cuts = np.zeros(len(going) + 1, dtype=np.int64)
         cuts[1:][inside] = taken
         cuts = np.cumsum(cuts)
-        paths = []
-        for j, (_, (path, decision, arc, value)) in enumerate(going):
+        for j, (i, (path, decision, arc, value)) in enumerate(going):
             middle = rest[cuts[j] : cuts[j + 1]]
             own = np.concatenate([path.arcs[:decision], [arc], middle, arcs[bounds[j] : bounds[j + 1]]])
             of = np.concatenate([path.unit[:decision], np.full(1 + len(middle), units_left[j]), unit[bounds[j] : bounds[j + 1]]])
             barred = (int(path.arcs[decision]), *(path.barred if decision == path.start else ()))
-            paths.append(_Path(own, of, logs[own], decision, barred, value))
-        for i, region in zip(which, _leaving(lattices, paths), strict=True):
-            searches[i].emit(region)
+            searches[i].emit(_Path(own, of, logs[own], decision, barred, value))
     out = []
     for s in searches:
         limit = -s.queue[0][0] if s.queue else -np.inf
@@ -499,39 +508,79 @@ def sample(lattices: Lattices, texts: list[str], keys: np.ndarray, k: int) -> li
     return out
 
 
+def _with_bytes(words: Vocabulary, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the pieces, characters without a piece as ids of their bytes; and how many ids each became."""
+    width = np.ones(len(marked), dtype=np.int64)
+    out = np.flatnonzero(marked < 0)
+    if not len(out):
+        return marked, width
+    kinds, which = np.unique(marked[out], return_inverse=True)
+    chars = [chr(-2 - int(m)) for m in kinds]
+    spellings = [words.byte_ids[list((BLANK if c == ESCAPED else c).encode())] for c in chars]
+    width[out] = np.array([len(x) for x in spellings])[which]
+    ids = np.repeat(marked, width)
+    ids[ids < 0] = np.concatenate([spellings[i] for i in which])
+    return ids, width
+
+
 def piece_ids(words: Vocabulary, marked: np.ndarray) -> np.ndarray:
     """Ids of the pieces; characters without a piece become the ids of their bytes."""
-    spelt_out = np.flatnonzero(marked < 0)
-    if not len(spelt_out):
-        return marked
-    points = -2 - marked[spelt_out]
-    if points.max() < 128:  # one byte each
-        ids = marked.copy()
-        ids[spelt_out] = words.byte_ids[points]
-        return ids
-    parts: list[np.ndarray] = []
-    at = 0
-    for i in spelt_out:
-        char = chr(-2 - int(marked[i]))
-        char = BLANK if char == ESCAPED else char
-        parts += [marked[at:i], words.byte_ids[list(char.encode())]]
-        at = i + 1
-    return np.concatenate([*parts, marked[at:]]).astype(np.int32)
-
-
-def spelt(words: Vocabulary, ids: np.ndarray) -> bytes:
-    """The bytes that the pieces spell, without the blank in front."""
+    return _with_bytes(words, marked)[0]
+
+
+def spelt(words: Vocabulary, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """The bytes that the pieces spell, one after another, and where each piece's end."""
     ends = words.ends[ids]
     sizes = ends - np.where(ids > 0, words.ends[ids - 1], 0)
     after = np.cumsum(sizes)
     place = np.repeat(ends - after, sizes)
     place += np.arange(len(place))
-    return words.letters[place].tobytes()[1:]
+    return words.letters[place].tobytes(), after
 
 
 def decode(words: Vocabulary, ids: np.ndarray) -> str:
-    """The text that the pieces spell."""
-    return spelt(words, ids).decode()
+    """The text that the pieces spell, without the blank in front."""
+    return spelt(words, ids)[0][1:].decode()
+
+
+def _slices(texts: list[str]) -> Iterator[slice]:
+    """Runs of texts to sample together."""
+    start = held = 0
+    for i, t in enumerate(texts):
+        if i > start and (i - start >= SLICE_ROWS or held + len(t) > SLICE_CHARS):
+            yield slice(start, i)
+            start, held = i, 0
+        held += len(t)
+    if texts:
+        yield slice(start, len(texts))
+
+
+def _rows(words: Vocabulary, doc_ids: pa.Array, texts: list[str], found: list[list[Sample]], with_ids: bool) -> pa.RecordBatch:
+    """The samples of some texts as rows."""
+    counts = [len(samples) for samples in found]
+    every = [s for samples in found for s in samples]
+    ids, width = _with_bytes(words, np.concatenate([s.pieces for s in every]))
+    ids = np.ascontiguousarray(ids, dtype="<i4")
+    ends = np.concatenate([[0], np.cumsum(width)])[np.cumsum([0, *(len(s.pieces) for s in every)])]
+    letters, after = spelt(words, ids)
+    cuts = np.concatenate([[0], after])[ends].tolist()
+    raw = [t.encode() for t in texts]
+    of = np.repeat(np.arange(len(texts)), counts)
+    bounds = ends.tolist()
+    columns = {
+        "doc_id": doc_ids.take(pa.array(of)),
+        "sample": pa.array(np.concatenate([np.arange(1, c + 1) for c in counts]), pa.int32()),
+        "n_pieces": pa.array(np.diff(ends), pa.int64()),
+        "log_prob": pa.array([s.log_prob for s in every], pa.float64()),
+        "value": pa.array([s.value for s in every], pa.float64()),
+        "inclusion": pa.array([s.inclusion for s in every], pa.float64()),
+        "ids_crc32": pa.array([zlib.crc32(ids[a:b]) for a, b in itertools.pairwise(bounds)], pa.int64()),
+        # The pieces of a text begin with a blank of their own.
+        "round_trip": pa.array([letters[a + 1 : b] == raw[i] for (a, b), i in zip(itertools.pairwise(cuts), of, strict=True)], pa.bool_()),
+    }
+    if with_ids:
+        columns["ids"] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+    return pa.RecordBatch.from_pydict(columns)
 
 
 def segment(docs: DataFrame, model_file: str, k: int = 2, alpha: float = 1.0, seed: int = 0, with_ids: bool = True) -> DataFrame:
@@ -539,24 +588,15 @@ def segment(docs: DataFrame, model_file: str, k: int = 2, alpha: float = 1.0, se
     words = vocabulary(model_file)
     rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text", F.lit(seed)).alias("key"))
 
-    def segmented(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def segmented(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattices = Lattices(words, alpha)
         for batch in batches:
-            for at in range(0, len(batch), 250):
-                b = batch.iloc[at : at + 250]
-                texts = [t or "" for t in b["text"]]
-                found = sample(lattices, texts, b["key"].to_numpy(dtype=np.int64).view(np.uint64), k)
-                out: dict[str, list] = {c: [] for c in ("doc_id", "sample", "n_pieces", "log_prob", "value", "inclusion", "ids_crc32", "round_trip", "ids")}
-                for doc_id, text, samples in zip(b["doc_id"].astype("Int64"), texts, found, strict=True):
-                    raw = text.encode()
-                    for number, s in enumerate(samples, 1):
-                        ids = piece_ids(words, s.pieces)
-                        row = (doc_id, number, len(ids), s.log_prob, s.value, s.inclusion, zlib.crc32(ids.astype("<i4").tobytes()), spelt(words, ids) == raw, ids if with_ids else None)
-                        for c, v in zip(out, row, strict=True):
-                            out[c].append(v)
-                if not with_ids:
-                    del out["ids"]
-                yield pd.DataFrame(out).astype({"doc_id": "Int64"})
+            doc_ids = batch.column("doc_id").cast(pa.int64())
+            every = [t or "" for t in batch.column("text").to_pylist()]
+            keys = batch.column("key").to_numpy().view(np.uint64)
+            for own in _slices(every):
+                found = sample(lattices, every[own], keys[own], k)
+                yield _rows(words, doc_ids[own], every[own], found, with_ids)
 
     schema = "doc_id long, sample int, n_pieces long, log_prob double, value double, inclusion double, ids_crc32 long, round_trip boolean"
-    return rows.mapInPandas(segmented, schema + ", ids array<int>" * with_ids)
+    return rows.mapInArrow(segmented, schema + ", ids array<int>" * with_ids)

@@ -89,6 +89,44 @@ def test_all_segmentations_come_out_in_the_end(words):
     assert {tuple(s.pieces) for s in found} == p.keys() and found[-1].inclusion == 1.0
 
 
+@pytest.mark.parametrize("alpha", [1.0, 3.0, 5.0, 40.0])
+@pytest.mark.parametrize("text", ["the", "hello", "the on", "é日 a"])
+def test_all_segmentations_come_out_at_any_sharpness(words, text, alpha):
+    # The lattice of a flat model lists the paths, however unlikely a sharp one makes them.
+    p = paths(sg.Lattices(words, 0.01), text)
+    (found,) = sg.sample(sg.Lattices(words, alpha), [text], np.array([9], dtype=np.uint64), len(p) + 5)
+    assert {tuple(s.pieces) for s in found} == p.keys() and len(found) == len(p)
+    assert found[-1].inclusion == 1.0 and all(np.isfinite(s.log_prob) for s in found)
+
+
+def test_decisions_beyond_the_listed_ones(words, monkeypatch):
+    lattices = sg.Lattices(words, 0.5)
+    p = paths(lattices, "ab c")
+    for reach in (1, 2):
+        monkeypatch.setattr(sg, "REACH", reach)
+        keys = np.arange(1, 401, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        found = sg.sample(lattices, ["ab c"] * 400, keys, len(p) + 5)
+        assert all({tuple(s.pieces) for s in samples} == p.keys() for samples in found)
+        second = collections.Counter(tuple(samples[1].pieces) for samples in found)
+        for way in sorted(p, key=p.get, reverse=True)[:3]:
+            want = sum(p[a] * p[way] / (1 - p[a]) for a in p if a != way)
+            assert abs(second[way] / 400 - want) < 5 * (want / 400) ** 0.5 + 1e-2
+
+
+def test_scores_weigh_a_unigram_model_and_ranks_any_other():
+    ids = np.array([3, 4, 9])
+    assert sg.log_weights(ids, np.array([-0.5, -2.25, -3.0])).tolist() == [-0.5, -2.25, -3.0]
+    assert sg.log_weights(ids, np.array([0.0, -1.0, -6.0])).tolist() == pytest.approx((-np.log([4, 5, 10])).tolist())
+
+
+def test_slices_hold_every_text_once():
+    texts = ["a" * 400_000] * 4 + ["b" * 3_000_000, ""] + ["c"] * 600
+    cut = list(sg._slices(texts))
+    assert [i for s in cut for i in range(s.start, s.stop)] == list(range(len(texts)))
+    assert all(s.stop - s.start <= sg.SLICE_ROWS for s in cut) and list(sg._slices([])) == []
+    assert all(sum(map(len, texts[s])) <= sg.SLICE_CHARS or s.stop - s.start == 1 for s in cut)
+
+
 TEXTS = ["", "a", "Hello  world\nfoo\tbar  ", " lead", "▁x y▁▁", "é日本😀 ﷐", "\n\n", "ab" * 3000, "x1234.5,6", "nul\x00\x0b", "A" * 50 + "日" * 30]
 
 
