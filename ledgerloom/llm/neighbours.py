@@ -30,8 +30,13 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import written
 
 TREES = 16
-SAMPLE_ROWS = 16_384
-DEPTH = 8
+# Trees get deeper with the table, so that a leaf holds this many rows and ``search_rows``
+# bounds the work of a query. Beyond the greatest depth, whose planes take 16 MB and
+# whose sample 32 MB at 64 dimensions, leaves grow again: from 4 million rows on.
+LEAF_ROWS = 1024
+LEAST_DEPTH, MOST_DEPTH = 8, 12
+# Rows of the sample, at least and by leaf.
+SAMPLE_ROWS, SAMPLE_PER_LEAF = 16_384, 16
 # Rows that a query looks at, counted once per tree, as a share of all rows. Vectors
 # without any structure need this much for a recall of 0.9; for others a number of
 # rows, ``search_rows``, is enough.
@@ -51,7 +56,12 @@ class Forest(NamedTuple):
         return (self.offsets.shape[1] + 1).bit_length() - 1
 
 
-def grow(sample: np.ndarray, trees: int = TREES, depth: int = DEPTH, seed: int = 1) -> Forest:
+def depth_for(rows: int) -> int:
+    """Levels after which a leaf holds about ``LEAF_ROWS`` of so many rows, within the bounds."""
+    return min(max(LEAST_DEPTH, (max(rows, 1) // LEAF_ROWS).bit_length()), MOST_DEPTH)
+
+
+def grow(sample: np.ndarray, trees: int = TREES, depth: int = LEAST_DEPTH, seed: int = 1) -> Forest:
     """Fit the trees on a sample of vectors; nodes without points get any plane."""
     random = np.random.default_rng(seed)
     nodes = (1 << depth) - 1
@@ -148,15 +158,21 @@ def nearest(
     key: str = "vec_id",
     vector: str = "embedding",
     trees: int = TREES,
-    depth: int = DEPTH,
+    depth: int | None = None,
 ) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the ``k`` nearest rows found for each row that ``queries`` selects."""
+    """``query_id, rank, vec_id, score``: the ``k`` nearest rows found for each row that ``queries`` selects.
+
+    ``search_rows``: rows that a query looks at, counted once per tree; the last leaf
+    may bring more. ``depth`` of the trees follows the table unless it is given.
+    """
     rows = valid(table, key, vector)
     kinds = classes(rows, k)
     n = kinds.count()
-    share = min(1.0, SAMPLE_ROWS / max(n, 1))
+    depth = depth or depth_for(n)
+    wanted = max(SAMPLE_ROWS, SAMPLE_PER_LEAF << depth)
+    share = min(1.0, wanted / max(n, 1))
     drawn = kinds.where(F.pmod(F.xxhash64("embedding"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    sample = _stacked(drawn.select("embedding").limit(2 * SAMPLE_ROWS).toPandas()["embedding"])
+    sample = _stacked(drawn.select("embedding").limit(2 * wanted).toPandas()["embedding"])
     forest = grow(sample if len(sample) else np.ones((1, 1)), trees, depth)
     enough = min(search_rows or int(SEARCH_SHARE * n) + k + 1, n * trees)
 

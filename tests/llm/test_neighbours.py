@@ -89,3 +89,23 @@ def test_the_queue_takes_the_nearest_leaves_first():
     assert len(set(every)) == len(every) == (rows > 0).sum()
     own = {(t, int(leaf)) for t, leaf in enumerate(nb.leaves(forest, sample[:1])[0])}
     assert set(every[:2]) == own and nb.search(forest, sample[0], rows, 1) == every[:1]
+
+
+def test_depth_follows_the_table():
+    assert [nb.depth_for(n) for n in (0, 1, 1000, 200_000, 300_000, 4_000_000, 10**12)] == [8, 8, 8, 8, 9, 12, 12]
+    assert all(nb.LEAF_ROWS // 2 <= n >> nb.depth_for(n) <= nb.LEAF_ROWS for n in range(270_000, 4_000_000, 7919))
+
+
+def test_recall_on_clusters_within_few_rows(vectors, monkeypatch):
+    # Leaves of eight rows: the trees are as deep as for a hundred times the rows.
+    monkeypatch.setattr(nb, "LEAF_ROWS", 8)
+    r = np.random.default_rng(11)
+    centres = r.normal(size=(60, 16)) * 3
+    rows = [(i, centres[i % 60] + r.normal(size=16) * 0.3) for i in range(6000)]
+    assert nb.depth_for(len(rows)) == 10
+    found = nb.nearest(vectors(rows), F.col("vec_id") % 300 == 0, k=10, search_rows=1200, trees=8).collect()
+    hits = []
+    for q in range(0, 6000, 300):
+        mine = {x["vec_id"] for x in found if x["query_id"] == q}
+        hits.append(np.mean([i in mine for i, _ in exact(rows, q, 10)]))
+    assert np.mean(hits) >= 0.9
