@@ -184,3 +184,18 @@ def test_job_publishes_checked_tables_only(spark, tmp_path):
     with pytest.raises(RuleViolation, match="fact_keys_not_null: 1"):
         star_schema.run(spark, {**sources, "sales": str(bad)}, store)
     assert store.version == 1
+
+
+def test_checks_count_keys_before_they_look_them_up(model):
+    _, dims, fact = model
+    # Rows whose product was not found all have the key null, which would meet in one task of a join.
+    unfound = fact.withColumn("product_key", F.when(F.col("quantity") > 1, F.col("product_key")))
+    checks = dim.model_checks(unfound, dims)
+    nulls = unfound.filter("product_key IS NULL").count()
+    found = {r[0]: r[1] for r in checks.collect()}
+    assert nulls and found["fact_keys_not_null"] == nulls
+    assert found["fact_product_key_in_dim_product"] == 0
+    text = dim._fact_checks(unfound.localCheckpoint(), dims)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in text and "LeftOuter" not in text
+    joined = text[text.index("LeftAnti") :]
+    assert "Aggregate [product_key" in joined and "isnotnull(product_key" in joined
