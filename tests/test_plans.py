@@ -96,3 +96,18 @@ def test_partition_control(spark, lines):
     assert "Coalesce" in partitions.plan_text(merged, "simple")
     sizes = [r["row_count"] for r in partitions.rows_per_partition(partitions.spread(lines, 4)).collect()]
     assert len(sizes) == 4 and sum(sizes) == 2000 and max(sizes) - min(sizes) < 100
+
+
+def test_a_task_gets_a_bounded_part_of_a_shuffle_or_of_files(spark):
+    from ledgerloom.session import MOST_BYTES, configure
+
+    kept = {name: spark.conf.get(name) for name in MOST_BYTES}
+    try:
+        for given, expected in (("64MB", None), ("4m", 4 * 1024 * 1024)):
+            for name in MOST_BYTES:
+                spark.conf.set(name, given)
+            configure(spark)
+            assert all(int(spark.conf.get(n).rstrip("b")) == (expected or most) for n, most in MOST_BYTES.items())
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
