@@ -121,3 +121,12 @@ def test_rows_are_reduced_before_copies_are_sought(table):
     plan = sales_cleaning.clean_sales(table(fv.DIRTY_SALES))._jdf.queryExecution().executedPlan().toString()
     shuffle = next(line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
     assert "_mark_a" in shuffle and plan.index("Exchange hashpartitioning") < plan.rindex("Filter")
+
+
+def test_only_lines_that_pass_the_other_rules_have_their_date_read(table):
+    header = "order_id,customer_id,order_date,product,category,quantity,unit_price,country\n"
+    raw = table(header + "1,c,2 May 2026,p,k,1,2,x\n2,c,2 May 2026,p,k,none,2,x\n3,c,2 May 2026,p,k,1,2,\n4,c,2 Mai 2026,p,k,1,2,x\n")
+    dates = {r["order_id"]: r["_date"] for r in sales_cleaning.read_values(raw).collect()}
+    assert [str(dates[i]) for i in "1234"] == ["2026-05-02", "None", "None", "None"]
+    steps = {r[0]: r[1] for r in sales_cleaning.cleaning_report(raw).collect()}
+    assert steps == {"kept": 1, "invalid_number": 1, "missing_country": 1, "invalid_date": 1, "exact_duplicate": 0}

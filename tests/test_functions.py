@@ -129,3 +129,28 @@ def test_calendar_attributes(spark):
     named = {name: c.alias(name) for name, c in dates.calendar_attributes(F.col("d")).items()}
     row = df.select(dates.date_key(F.col("d")).alias("key"), *named.values()).first()
     assert tuple(row) == (20260801, 1, 8, "August", 3, 2026, 5, "Saturday", True)
+
+
+def test_common_dates_are_read_as_by_their_tokens(spark):
+    from ledgerloom.functions import dates
+
+    days, months = ["1", "02", "13", "31", "32", "45", "00"], ["2", "08", "13", "40", "feb", "June", "sept", "AUGUST", "febr"]
+    texts = [a + s + b + t + y for a in days for b in months for y in ("2026", "26", "01", "1900") for s, t in ("//", "-.", "  ", "- ")]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").repartition(4).localCheckpoint()
+    read = lambda: [r[0] for r in df.select(dates.parse_mixed_date(F.col("t"))).collect()]
+    shape, found = dates._DAY_MONTH_YEAR, read()
+    assert df.filter(F.lower("t").rlike(shape)).count() > len(texts) // 3
+    try:
+        dates._DAY_MONTH_YEAR = r"^never\z"
+        assert read() == found
+    finally:
+        dates._DAY_MONTH_YEAR = shape
+    assert sum(d is None for d in found) not in (0, len(found))
+
+
+def test_whole_numbers_are_cast_only_in_range(spark):
+    numbers = [1.9, -1.9, 0.0, 2.0**63, -(2.0**63), 1e30, -1e30, float("nan"), float("inf"), None]
+    df = spark.createDataFrame([(n,) for n in numbers], "n double")
+    plain = [r[0] for r in df.select(F.col("n").try_cast("bigint")).collect()]
+    assert [r[0] for r in df.select(text.to_whole(F.col("n"))).collect()] == plain
+    assert "CASE WHEN" in text.to_whole(F.col("n"))._jc.toString()
