@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 BLANK = "▁"
 ESCAPED = "\ud800"  # stands for a literal U+2581; valid text holds no lone surrogate
 MOST_ARCS = 8_000_000
+BUILT_CHARS = 1 << 16  # characters of units whose lattices are worked out together
 # Texts that are sampled together: so many, and so many characters unless one alone is longer.
 SLICE_ROWS, SLICE_CHARS = 250, 1_000_000
 UNIT = re.compile(f"{BLANK}*[^{BLANK}\n\t]+|{BLANK}+|[\n\t]")
@@ -52,6 +53,7 @@ FINE_UNIT = re.compile(rf"{BLANK}*(?:(?!{LETTER})[^{BLANK}\n\t])*{LETTER}+|{BLAN
 
 _U64 = np.uint64
 _STEP = _U64(0x9E3779B97F4A7C15)
+_TAIL = _U64((1 << 22) - 1)
 _WORD = (1 << 64) - 1
 
 
@@ -67,21 +69,22 @@ class Vocabulary(NamedTuple):
     byte_weight: float
     longest: int
     unit: re.Pattern
-    by_head: np.ndarray  # by the first slot of a hash, a piece that has it
+    by_head: np.ndarray  # by the first slot of a hash (22 bits), a piece that has it
     by_tail: np.ndarray  # by the second slot, a piece that another one keeps from its first
+    sieve: np.ndarray  # by 20 bits of the first slot, whether a piece has them (1), the start of a longer one (2), or both
 
-    def find(self, hashes: np.ndarray) -> np.ndarray:
-        """Places of hashes among those of the pieces; -1 for none."""
-        head, tail = _slots(hashes)
-        place = self.by_head[head]
-        place = np.where(self.hashes[place] == hashes, place, self.by_tail[tail])
-        return np.where(self.hashes[place] == hashes, place, -1)
+    def likely(self, hashes: np.ndarray) -> np.ndarray:
+        """What the hashes may be those of: 1 a piece, 2 the start of a longer one, 3 both; seldom more than is so."""
+        return self.sieve[hashes * _STEP >> _U64(44)]
 
-
-def _slots(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two numbers of 22 bits from each hash."""
-    mixed = hashes * _STEP
-    return mixed >> _U64(42), (mixed >> _U64(20)) & _U64((1 << 22) - 1)
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the hashes are those of pieces, and their places among these."""
+        mixed = hashes * _STEP
+        place = self.by_head[mixed >> _U64(42)]
+        late = np.flatnonzero(self.hashes[place] != hashes)
+        place[late] = self.by_tail[(mixed[late] >> _U64(20)) & _TAIL]
+        there = np.flatnonzero(self.hashes[place] == hashes)
+        return there, place[there]
 
 
 def log_weights(ids: np.ndarray, scores: np.ndarray) -> np.ndarray:
@@ -122,8 +125,12 @@ def vocabulary(model_file: str) -> Vocabulary:
     unit = UNIT if any(onward.search(t) for t in texts) else FINE_UNIT
     hashes = hashes[order]
     place = np.arange(len(hashes), dtype=np.int32)
-    by_head, by_tail = np.zeros(1 << 22, dtype=np.int32), np.zeros(1 << 22, dtype=np.int32)
-    head, tail = _slots(hashes)
+    by_head, by_tail, sieve = np.zeros(1 << 22, dtype=np.int32), np.zeros(1 << 22, dtype=np.int32), np.zeros(1 << 20, dtype=np.uint8)
+    mixed = hashes * _STEP
+    head, tail = mixed >> _U64(42), (mixed >> _U64(20)) & _TAIL
+    starts = np.array(list({_hash(t[:i]) for t in texts for i in range(1, len(t))}), dtype=np.uint64)
+    sieve[starts * _STEP >> _U64(44)] = 2
+    sieve[head >> _U64(2)] |= 1
     by_head[head] = place
     late = place[by_head[head] != place]
     by_tail[tail[late]] = late
@@ -131,7 +138,7 @@ def vocabulary(model_file: str) -> Vocabulary:
         raise ValueError("pieces share both slots")
     letters, ends = np.frombuffer(b"".join(spelt), dtype=np.uint8), np.cumsum([len(b) for b in spelt])
     return Vocabulary(
-        letters, ends, hashes, ids, weights, byte_ids, byte_weight, max(map(len, texts)), unit, by_head, by_tail
+        letters, ends, hashes, ids, weights, byte_ids, byte_weight, max(map(len, texts)), unit, by_head, by_tail, sieve
     )
 
 
@@ -198,85 +205,93 @@ class Lattices:
         number = np.fromiter(map(self.numbers.__getitem__, found), dtype=np.int64, count=count)
         new, done = self.numbers.new, self.root.size
         sizes = np.fromiter(map(len, new), dtype=np.int64, count=len(new))
-        order = np.argsort(sizes, kind="stable")
         self.root.add(np.zeros(len(new), dtype=np.int64))
-        cuts = np.flatnonzero(np.diff(sizes[order])) + 1
-        for same in np.split(order, cuts) if len(new) else []:
-            length = int(sizes[same[0]])
-            step = max(1, 16_000 // length)
-            for at in range(0, len(same), step):
-                group = same[at : at + step]
-                base = self._build([new[i] for i in group], length)
-                self.root.data[done + group] = base + np.arange(len(group))
+        ends = np.cumsum(sizes)
+        at = 0
+        while at < len(new):
+            end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BUILT_CHARS, side="right")))
+            self.root.data[done + at : done + end] = self._build(new[at:end], sizes[at:end])
+            at = end
         new.clear()
         return self.root.data[number]
 
-    def _build(self, group: list[str], length: int) -> int:
-        """Add the lattices of units of one length; returns the first one's first node, the others' follow it.
+    def _build(self, group: list[str], sizes: np.ndarray) -> np.ndarray:
+        """Add the lattices of units; returns their first nodes.
 
-        Nodes are numbered place by place, so that the units at one place lie together.
+        Nodes are numbered by what is left of their units, so that those that are as near to an end lie together.
         """
-        words, n = self.words, len(group)
-        points = np.frombuffer("".join(group).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).reshape(n, length)
-        points = np.ascontiguousarray(points.T).astype(np.uint64)
+        words = self.words
+        points = np.frombuffer("".join(group).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+        n, ends = len(points), np.cumsum(sizes)
+        left = np.repeat(ends, sizes) - np.arange(n)
+        length = int(sizes.max())
+        order = np.argsort(left.astype(np.uint16) if length < 1 << 16 else left, kind="stable")
+        rank = np.empty(n, dtype=np.int64)
+        rank[order] = np.arange(n)
         longest = min(words.longest, length)
-        # By place, unit and falling size, which is the order of the arcs.
-        weight = np.full((length, n, longest), -np.inf)
-        piece = np.full((length, n, longest), -1, dtype=np.int32)
-        value = np.zeros((length, n), dtype=np.uint64)
+        # By node and falling size, which is the order of the arcs.
+        cells = np.full(n * longest, -1, dtype=np.int32)
+        value, here = np.zeros(n, dtype=np.uint64), np.arange(n)
         for size in range(1, longest + 1):
-            width = length - size + 1
-            value = value[:width] * _U64(0x100000001B3) + points[size - 1 :] + _U64(1)
-            found = words.find(value)
-            place, unit = np.nonzero(found >= 0)
-            near = found[place, unit]
-            weight[place, unit, longest - size] = self.weights[near]
-            piece[place, unit, longest - size] = words.ids[near]
+            value = value * _U64(0x100000001B3) + points[here + (size - 1)] + _U64(1)
+            likely = words.likely(value)
+            maybe = np.flatnonzero(likely & 1)
+            there, place = words.find(value[maybe])
+            cells[rank[here[maybe[there]]] * longest + (longest - size)] = place
+            on = np.flatnonzero((likely & 2).astype(bool) & (left[here] > size))
+            value, here = value[on], here[on]
         # A character without a piece is spelt in bytes: one arc, marked by a number below -1.
-        spelt = piece[:, :, -1] < 0
-        piece[:, :, -1][spelt] = -2 - points.astype(np.int64)[spelt]
-        weight[:, :, -1][spelt] = self.byte_weight
+        single = cells[longest - 1 :: longest]
+        single[single < 0] = -2
+        at = np.flatnonzero(cells != -1)
+        found = cells[at]
+        node, back = np.divmod(at, longest)
+        weight, piece = self.weights[found], words.ids[found]
+        spelt = np.flatnonzero(found < 0)
+        weight[spelt] = self.byte_weight
+        piece[spelt] = -2 - points[order[node[spelt]]].astype(np.int64)
+        counts = np.bincount(node, minlength=n)
+        ends_at = np.cumsum(counts)
+        starts_at = ends_at - counts
+        after = order[node] + (longest - back)
+        goal = np.where(left[order][node] == longest - back, n, rank[np.minimum(after, n - 1)])
         # Logs of the sums over all ways to the end.
-        rest = np.full((length + longest, n), -np.inf)
-        rest[length] = 0.0
-        for i in range(length - 1, -1, -1):
-            way = weight[i]
-            way += rest[i + 1 : i + longest + 1][::-1].T
-            top = way.max(axis=1)
-            way -= top[:, None]
-            total = np.log(np.exp(way).sum(axis=1))
-            way -= total[:, None]
-            rest[i] = top + total
-        at = np.flatnonzero(weight > -np.inf)
-        log = weight.ravel()[at]
+        rest = np.zeros(n + 1)
+        log = np.empty(len(at))
+        bounds = np.cumsum(np.bincount(left, minlength=length + 1)).tolist()
+        for low, high in itertools.pairwise(bounds):
+            nodes, arcs = slice(low, high), slice(starts_at[low], ends_at[high - 1])
+            way = weight[arcs] + rest[goal[arcs]]
+            starts, several = starts_at[nodes] - starts_at[low], counts[nodes]
+            top = np.maximum.reduceat(way, starts)
+            way -= np.repeat(top, several)
+            total = np.log(np.add.reduceat(np.exp(way), starts))
+            way -= np.repeat(total, several)
+            rest[nodes] = top + total
+            log[arcs] = way
         q = np.exp(log)
-        node, back = np.divmod(at, longest)
-        counts = np.bincount(node, minlength=n * length)
-        ends = np.cumsum(counts)
         # An arc over one half is known by the sum of the others, which does not round to nothing.
         main = q > 0.5
-        others = np.repeat(np.logaddexp.reduceat(np.where(main, -np.inf, log), ends - counts), counts)
+        others = np.repeat(np.logaddexp.reduceat(np.where(main, -np.inf, log), starts_at), counts)
         leave = np.where(main, others, np.log1p(-np.minimum(q, 0.5)))
         log[main] = np.log1p(-np.exp(others[main]))
         running = np.cumsum(q)
-        running -= np.repeat(np.concatenate([[0.0], running])[ends - counts], counts)
+        running -= np.repeat(np.concatenate([[0.0], running])[starts_at], counts)
         running = np.minimum(running, 1.0 - 2.0**-24)  # only a node's last arc reaches 1, also when rounded
-        running[ends - 1] = 1.0
+        running[ends_at - 1] = 1.0
         base = self.first.size
-        goal = node + (longest - back) * n
-        self.to.add(np.where(goal < n * length, base + goal, -1).astype(np.int32))
-        self.piece.add(piece.ravel()[at])
-        self.first.add(self.log.size + ends - counts)
+        self.to.add(np.where(goal < n, base + goal, -1).astype(np.int32))
+        self.piece.add(piece)
+        self.first.add(self.log.size + starts_at)
         self.count.add(counts.astype(np.int32))
         self.log.add(log)
         self.leave.add(leave)
         self.sum.add(running)
-        return base
+        return base + rank[ends - sizes]
 
 
-def _noise(key: np.ndarray, counter: np.ndarray) -> np.ndarray:
-    """Uniform numbers in (0, 1) by row key and counter."""
-    x = key + counter.astype(np.uint64) * _STEP
+def _noise(x: np.ndarray) -> np.ndarray:
+    """Uniform numbers in (0, 1) by row key plus counter times step; the argument is overwritten."""
     x ^= x >> _U64(30)
     x *= _U64(0xBF58476D1CE4E5B9)
     x ^= x >> _U64(27)
@@ -290,21 +305,19 @@ def walk(lattices: Lattices, nodes: np.ndarray, keys: np.ndarray, counters: np.n
 
     ``counters`` start each way's noise; a way uses 64 numbers apart from its step.
     """
-    first, count = lattices.first.data, lattices.count.data
-    to, total = lattices.to.data, lattices.sum.data
+    first, to, total = lattices.first.data, lattices.to.data, lattices.sum.data
+    noise = keys + counters.astype(np.uint64) * _STEP
     steps: list[tuple[np.ndarray, np.ndarray]] = []
     taken = np.zeros(len(nodes), dtype=np.int64)
     live, node = np.arange(len(nodes)), nodes
     while len(live):
-        at = slice(None) if len(live) == len(nodes) else live
-        u = _noise(keys[at], counters[at] + len(steps))
+        u = _noise((noise if len(live) == len(nodes) else noise[live]) + _U64(len(steps) * int(_STEP) & _WORD))
         arc = first[node]
-        last = arc + count[node] - 1
         on = np.flatnonzero(total[arc] < u)
-        while len(on):
-            on = on[arc[on] < last[on]]
-            arc[on] += 1
-            on = on[total[arc[on]] < u[on]]
+        while len(on):  # a node's last arc reaches 1, which no number does
+            after = arc[on] + 1
+            arc[on] = after
+            on = on[total[after] < u[on]]
         steps.append((live, arc))
         taken[live] += 1
         node = to[arc]
@@ -328,27 +341,27 @@ def _below(location: float, u: float, limit: float) -> float:
 
 
 class _Path(NamedTuple):
-    """An emitted path: its arcs with the unit each belongs to, and the decision where its region starts."""
+    """An emitted path: its arcs, and the decision where its region starts."""
 
     arcs: np.ndarray
-    unit: np.ndarray
     logs: np.ndarray
     start: int
     barred: tuple[int, ...]
     value: float
 
 
+def _total(mass: np.ndarray) -> float:
+    top = float(mass.max())
+    return top + math.log(float(np.exp(mass - top).sum()))
+
+
 class _Region(NamedTuple):
     """The paths of an emitted path's region that leave it at one of these decisions."""
 
     path: _Path
     at: np.ndarray
     mass: np.ndarray  # log-probability of leaving at each
-
-    @property
-    def total(self) -> float:
-        top = float(self.mass.max())
-        return top + math.log(float(np.exp(self.mass - top).sum()))
+    total: float
 
 
 class _Tail(NamedTuple):
@@ -363,16 +376,42 @@ class _Tail(NamedTuple):
 REACH = 48
 
 
-def _listed(lattices: Lattices, path: _Path, start: int, end: int) -> _Region:
-    """The ways to leave a path at the decisions from ``start`` to before ``end``; at its first one some arcs are barred."""
-    logs = path.logs[start:end].astype(np.float64)
+def _near(lattices: Lattices, paths: list[_Path]) -> list[_Region]:
+    """The ways to leave each path at the first ``REACH`` decisions of its region; at the very first some arcs are barred."""
+    if not paths:
+        return []
+    ends = [min(p.start + REACH, len(p.arcs)) for p in paths]
+    sizes = np.array([end - p.start for p, end in zip(paths, ends, strict=True)], dtype=np.int64)
+    inside = np.arange(REACH) < sizes[:, None]
+    arcs = np.zeros(inside.shape, dtype=np.int64)
+    arcs[inside] = np.concatenate([p.arcs[p.start : end] for p, end in zip(paths, ends, strict=True)])
+    logs = lattices.log.data[arcs].astype(np.float64)
+    mass = np.cumsum(logs, axis=1) - logs + np.array([p.logs[: p.start].sum(dtype=np.float64) for p in paths])[:, None]
+    first = mass[:, 0].copy()
+    mass += lattices.leave.data[arcs]
+    for i, path in enumerate(paths):
+        if path.barred and sizes[i]:
+            mass[i, 0] = first[i] + np.logaddexp.reduce(lattices.log.data[_choices(lattices, path, path.start)], initial=-np.inf)
+    mass[~inside] = -np.inf
+    top = mass.max(axis=1, initial=-np.inf)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        total = (top + np.log(np.exp(mass - top[:, None]).sum(axis=1))).tolist()
+    places = np.arange(REACH)
+    whole = (mass > -np.inf).all(axis=1).tolist()
+    out = []
+    for i, path in enumerate(paths):
+        at = places if whole[i] else np.flatnonzero(mass[i] > -np.inf)
+        out.append(_Region(path, at + path.start, mass[i, at], total[i]))
+    return out
+
+
+def _rest(lattices: Lattices, path: _Path, start: int) -> _Region:
+    """The ways to leave a path at the decisions from ``start`` on, which is not its first one."""
+    logs = path.logs[start:].astype(np.float64)
     mass = np.cumsum(logs) - logs + path.logs[:start].sum(dtype=np.float64)
-    first = mass[:1].copy()
-    mass += lattices.leave.data[path.arcs[start:end]]
-    if path.barred and start == path.start:
-        mass[:1] = first + np.logaddexp.reduce(lattices.log.data[_choices(lattices, path, start)], initial=-np.inf)
+    mass += lattices.leave.data[path.arcs[start:]]
     at = np.flatnonzero(mass > -np.inf)
-    return _Region(path, at + start, mass[at])
+    return _Region(path, at + start, mass[at], _total(mass[at]))
 
 
 def _tail(path: _Path, start: int) -> _Tail | None:
@@ -422,10 +461,9 @@ class _Search:
     def push(self, region: _Region | _Tail, limit: float) -> None:
         heapq.heappush(self.queue, (-_below(region.total, self.uniform(), limit), self.drawn, region))
 
-    def emit(self, path: _Path) -> None:
+    def emit(self, path: _Path, near: _Region) -> None:
         """Take in a new path, with the region of all ways to leave it."""
         self.paths.append(path)
-        near = _listed(self.lattices, path, path.start, path.start + REACH)
         if len(near.at):
             self.push(near, path.value)
         if tail := _tail(path, path.start + REACH):
@@ -437,16 +475,22 @@ class _Search:
             return None
         value, _, region = heapq.heappop(self.queue)
         if isinstance(region, _Tail):
-            region = _listed(self.lattices, region.path, region.start, len(region.path.arcs))
-        weights = np.cumsum(np.exp(region.mass - region.mass.max()))
-        i = min(int(np.searchsorted(weights, self.uniform() * weights[-1])), len(weights) - 1)
+            region = _rest(self.lattices, region.path, region.start)
+        mass, top = region.mass, region.mass.max()
+        shares = np.exp(mass - top)
+        weights = shares.cumsum()
+        i = min(int(weights.searchsorted(self.uniform() * weights[-1])), len(weights) - 1)
         decision = int(region.at[i])
-        if len(region.at) > 1:
-            self.push(_Region(region.path, np.delete(region.at, i), np.delete(region.mass, i)), -value)
+        if len(mass) > 1:
+            shares[i] = 0.0
+            mass = np.concatenate((mass[:i], mass[i + 1 :]))
+            # The sum is worked out anew where the others are next to nothing beside the one that goes.
+            total = float(top) + math.log(left) if (left := float(shares.sum())) > 1e-200 else _total(mass)
+            self.push(_Region(region.path, np.concatenate((region.at[:i], region.at[i + 1 :])), mass, total), -value)
         arcs = _choices(self.lattices, region.path, decision)
         logs = self.lattices.log.data[arcs]
-        weights = np.cumsum(np.exp(logs - logs.max(), dtype=np.float64))
-        arc = arcs[min(int(np.searchsorted(weights, self.uniform() * weights[-1])), len(arcs) - 1)]
+        weights = np.exp(logs - logs.max(), dtype=np.float64).cumsum()
+        arc = arcs[min(int(weights.searchsorted(self.uniform() * weights[-1])), len(arcs) - 1)]
         return region.path, decision, int(arc), -value
 
 
@@ -459,43 +503,45 @@ def sample(lattices: Lattices, texts: list[str], keys: np.ndarray, k: int) -> li
     searches = [_Search(lattices, int(key)) for key in keys]
 
     def walked(which: np.ndarray, after: np.ndarray, turn: int):
-        """Free ways through the units of these texts from given places on: arcs, units, and each text's share."""
+        """Free ways through the units of these texts from given places on: arcs, and each text's share."""
         sizes = lengths[which] - after
         ends = np.cumsum(sizes)
         place = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - sizes - after, sizes)
         at = place + np.repeat(starts[which], sizes)
-        counters = (place + np.int64(turn << 40)) * 64
-        arcs, taken = walk(lattices, roots[at], np.repeat(keys[which], sizes), counters)
-        unit = np.repeat(place, taken)
-        bounds = np.concatenate([[0], np.cumsum(taken)])[np.concatenate([[0], ends])]
-        return arcs, unit, bounds
+        arcs, taken = walk(lattices, roots[at], np.repeat(keys[which], sizes), (place + np.int64(turn << 40)) * 64)
+        return arcs, np.concatenate([[0], np.cumsum(taken)])[np.concatenate([[0], ends])]
 
     every = np.arange(len(texts))
-    arcs, unit, bounds = walked(every, np.zeros(len(texts), dtype=np.int64), 0)
-    logs = lattices.log.data
+    arcs, bounds = walked(every, np.zeros(len(texts), dtype=np.int64), 0)
+    logs, to = lattices.log.data, lattices.to.data
     all_logs = logs[arcs]
-    for i, s in enumerate(searches):
-        own = slice(bounds[i], bounds[i + 1])
-        s.emit(_Path(arcs[own], unit[own], all_logs[own], 0, (), _gumbel(s.uniform())))
+    spans = [slice(a, b) for a, b in itertools.pairwise(bounds)]
+    paths = [_Path(arcs[own], all_logs[own], 0, (), _gumbel(s.uniform())) for s, own in zip(searches, spans, strict=True)]
+    for s, path, near in zip(searches, paths, _near(lattices, paths), strict=True):
+        s.emit(path, near)
     for turn in range(1, k):
         going = [(i, left) for i, s in enumerate(searches) if (left := s.leave())]
         if not going:
             break
         which = np.array([i for i, _ in going])
-        units_left = np.array([path.unit[decision] for _, (path, decision, _, _) in going], dtype=np.int64)
-        arcs, unit, bounds = walked(which, units_left + 1, turn)
-        node = np.array([lattices.to.data[arc] for _, (_, _, arc, _) in going], dtype=np.int64)
+        units_left = np.array([np.count_nonzero(to[path.arcs[:decision]] < 0) for _, (path, decision, _, _) in going], dtype=np.int64)
+        arcs, bounds = walked(which, units_left + 1, turn)
+        node = np.array([to[arc] for _, (_, _, arc, _) in going], dtype=np.int64)
         inside = node >= 0
         rest, taken = walk(lattices, node[inside], keys[which[inside]], (units_left[inside] + np.int64(turn << 40)) * 64 + 32)
         cuts = np.zeros(len(going) + 1, dtype=np.int64)
         cuts[1:][inside] = taken
         cuts = np.cumsum(cuts)
-        for j, (i, (path, decision, arc, value)) in enumerate(going):
-            middle = rest[cuts[j] : cuts[j + 1]]
-            own = np.concatenate([path.arcs[:decision], [arc], middle, arcs[bounds[j] : bounds[j + 1]]])
-            of = np.concatenate([path.unit[:decision], np.full(1 + len(middle), units_left[j]), unit[bounds[j] : bounds[j + 1]]])
+        all_logs, rest_logs = logs[arcs], logs[rest]
+        paths = []
+        for j, (_, (path, decision, arc, value)) in enumerate(going):
+            middle, end = slice(cuts[j], cuts[j + 1]), slice(bounds[j], bounds[j + 1])
+            own = np.concatenate((path.arcs[:decision], (arc,), rest[middle], arcs[end]))
+            own_logs = np.concatenate((path.logs[:decision], logs[arc : arc + 1], rest_logs[middle], all_logs[end]))
             barred = (int(path.arcs[decision]), *(path.barred if decision == path.start else ()))
-            searches[i].emit(_Path(own, of, logs[own], decision, barred, value))
+            paths.append(_Path(own, own_logs, decision, barred, value))
+        for i, path, near in zip(which, paths, _near(lattices, paths), strict=True):
+            searches[i].emit(path, near)
     out = []
     for s in searches:
         limit = -s.queue[0][0] if s.queue else -np.inf
@@ -530,12 +576,12 @@ def piece_ids(words: Vocabulary, marked: np.ndarray) -> np.ndarray:
 
 def spelt(words: Vocabulary, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
     """The bytes that the pieces spell, one after another, and where each piece's end."""
-    ends = words.ends[ids]
-    sizes = ends - np.where(ids > 0, words.ends[ids - 1], 0)
-    after = np.cumsum(sizes)
-    place = np.repeat(ends - after, sizes)
-    place += np.arange(len(place))
-    return words.letters[place].tobytes(), after
+    offsets = np.concatenate([[0], words.ends]).astype(np.int64)
+    pieces = pa.Array.from_buffers(pa.large_binary(), len(words.ends), [None, pa.py_buffer(offsets), pa.py_buffer(words.letters)])
+    found = pieces.take(pa.array(ids))
+    _, after, letters = found.buffers()
+    after = np.frombuffer(after, dtype=np.int64, count=len(ids) + 1)[1:]
+    return letters.to_pybytes() if letters else b"", after
 
 
 def decode(words: Vocabulary, ids: np.ndarray) -> str:

@@ -1,6 +1,8 @@
+import cProfile
 import collections
 import itertools
 import os
+import pstats
 
 import numpy as np
 import pytest
@@ -181,3 +183,32 @@ def test_known_units_are_forgotten_beyond_a_bound(words, monkeypatch):
         for samples in sg.sample(lattices, texts, np.arange(2, dtype=np.uint64), 2):
             assert all(sg.decode(words, sg.piece_ids(words, s.pieces)) == texts[0] for s in samples)
     assert os.path.exists(MODEL)
+
+
+def test_sampling_texts_together_shares_their_calls(words):
+    lattices, n = sg.Lattices(words, 1.0), 100
+    texts = ["some words of a text that is cut in many ways " * 12] * n
+    keys = np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    sg.sample(lattices, texts, keys, 4)
+    profile = cProfile.Profile()
+    profile.runcall(sg.sample, lattices, texts, keys, 4)
+    assert pstats.Stats(profile).total_calls < 470 * n
+
+
+def test_lattices_do_not_depend_on_what_is_worked_out_together(words, monkeypatch):
+    texts = [*TEXTS, "units of several lengths, met together or alone"]
+    keys = np.arange(len(texts), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    told = lambda: [[(s.pieces.tolist(), s.log_prob, s.value) for s in x] for x in sg.sample(sg.Lattices(words, 0.7), texts, keys, 3)]
+    whole = told()
+    for most in (1, 20):
+        monkeypatch.setattr(sg, "BUILT_CHARS", most)
+        assert told() == whole
+
+
+def test_pieces_are_found_by_their_hashes(words):
+    there, place = words.find(np.concatenate([words.hashes, words.hashes + np.uint64(1)]))
+    assert there[: len(words.hashes)].tolist() == list(range(len(words.hashes))) and (place[: len(words.hashes)] == there[: len(words.hashes)]).all()
+    assert (words.likely(words.hashes) & 1).all()
+    pieces = [words.letters[words.ends[i - 1] : words.ends[i]].tobytes().decode().replace(" ", sg.BLANK) for i in words.ids]
+    starts = {p[:i] for p in pieces for i in range(1, len(p))}
+    assert (words.likely(np.array([sg._hash(x) for x in starts], dtype=np.uint64)) & 2).all()
